@@ -36,6 +36,15 @@ def map_value(values, key: str) -> Column:
     return F.try_element_at(values, F.lit(key))
 
 
+def parsed_once(expression: Column) -> Column:
+    """A costly expression as a generator of one row.
+
+    Selected like this, the value is computed once per row: later filters and projections
+    read it, where the optimizer would otherwise copy the expression into each of them.
+    """
+    return F.explode_outer(F.array(expression))
+
+
 def prefix(values, length: int) -> Column:
     """The first ``length`` elements of an array."""
     return F.slice(values, 1, length)

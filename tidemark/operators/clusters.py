@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations, product
@@ -12,6 +13,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,17 +71,53 @@ def with_fold(df: DataFrame, key: str, folds: int) -> DataFrame:
     return df.withColumn("fold", F.pmod(F.xxhash64(key), F.lit(folds)).cast("int"))
 
 
-def fit_kmeans(vectors: DataFrame, point: GridPoint, seed: int) -> KMeansModel:
-    """k-means with one setting on a frame that has the feature vector."""
+def mean_variance(vectors: DataFrame) -> float:
+    """Mean over the features of their variance; the scale of a tolerance."""
+    row = vectors.agg(
+        F.count("*").alias("n"),
+        vector_to_array(Summarizer.variance(F.col(VECTOR))).alias("v"),
+    ).first()
+    if not row["n"]:
+        raise ValueError("no rows to cluster")
+    return sum(row["v"]) / len(row["v"]) * (row["n"] - 1) / row["n"]
+
+
+def _estimator(k: int, init: str, max_iter: int, shift: float, seed: int) -> KMeans:
     return KMeans(
-        k=point.n_clusters,
-        initMode=START_METHODS[point.init],
-        maxIter=point.max_iter,
-        tol=point.tol,
+        k=k,
+        initMode=START_METHODS[init],
+        maxIter=max_iter,
+        tol=shift,
         seed=seed,
         featuresCol=VECTOR,
         predictionCol="cluster_labels",
-    ).fit(vectors)
+    )
+
+
+def fit_kmeans(
+    vectors: DataFrame, point: GridPoint, seed: int, variance: float | None = None
+) -> KMeansModel:
+    """k-means with one setting on a frame that has the feature vector.
+
+    ``tol`` is relative, as usual for k-means: the fit ends when the squared shifts of all
+    centres sum to ``tol`` times the mean variance of the features. Spark ML bounds the
+    shift of each centre, so it is given each centre's share of that sum. Without a
+    known ``variance`` it takes a pass of its own, and the rows are cached for both.
+    """
+    cached = vectors.storageLevel != StorageLevel.NONE
+    own_pass = variance is None and not cached
+    if own_pass:
+        vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if variance is None:
+            variance = mean_variance(vectors)
+        shift = math.sqrt(point.tol * variance / point.n_clusters)
+        return _estimator(
+            point.n_clusters, point.init, point.max_iter, shift, seed
+        ).fit(vectors)
+    finally:
+        if own_pass:
+            vectors.unpersist()
 
 
 def _centres(model: KMeansModel) -> list[list[float]]:
@@ -145,6 +183,7 @@ def kmeans_grid(
     folded = with_fold(with_vector(df, features), key, params.cross_validations)
     folded = folded.select("fold", VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        variance = mean_variance(folded)
         jobs = [
             (i, fold)
             for fold in range(params.cross_validations)
@@ -154,7 +193,8 @@ def kmeans_grid(
         def fit(job):
             i, fold = job
             rows = folded.filter(F.col("fold") != fold)
-            return i, fold, fit_kmeans(rows, points[i], params.random_state)
+            model = fit_kmeans(rows, points[i], params.random_state, variance)
+            return i, fold, model
 
         with ThreadPool(params.parallelism) as pool:
             models = pool.map(fit, jobs, chunksize=1)
@@ -170,7 +210,7 @@ def kmeans_grid(
         means = {i: sum(v) / len(v) for i, v in values.items()}
         pick = min if params.metric == "inertia" else max
         best = pick(means, key=lambda i: means[i])
-        model = fit_kmeans(folded, points[best], params.random_state)
+        model = fit_kmeans(folded, points[best], params.random_state, variance)
     finally:
         folded.unpersist()
 
@@ -264,10 +304,13 @@ def centroid_pairs(
                 bump = F.randn(seed + n * len(features) + i) * noise
                 noisy = noisy.withColumn(f"_noisy{i}", quoted(c) + bump)
             vectors = with_vector(noisy, [f"_noisy{i}" for i in range(len(features))])
-            point = GridPoint(
-                model.getK(), model.getInitMode(), model.getMaxIter(), model.getTol()
-            )
-            again = fit_kmeans(vectors, point, seed)
+            again = _estimator(
+                model.getK(),
+                model.getInitMode(),
+                model.getMaxIter(),
+                model.getTol(),
+                seed,
+            ).fit(vectors)
             fitted.append(([pair], again, vectors))
     for some, fit, source in fitted:
         vectors = source if noise else with_vector(source, features)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,15 +114,16 @@ def anova_table(df: DataFrame, features: Sequence[str], label: str) -> DataFrame
 def top_features(table: DataFrame, k: int) -> DataFrame:
     """The ``k`` features with the highest F, NaN last, ties to the later column, with
     their rank from 1."""
-    best_first = [
-        F.when(F.isnan("f_score"), F.lit(float("-inf")))
-        .otherwise(F.col("f_score"))
-        .desc(),
-        F.col("position").desc(),
-    ]
-    top = table.orderBy(*best_first).limit(k)
-    # At most k rows, one per column of the feature table: a single task is enough.
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(*best_first)))
+    worth = F.when(F.isnan("f_score"), float("-inf")).otherwise(F.col("f_score"))
+    # One entry per feature column, so the whole table fits in an array.
+    entries = F.collect_list(F.struct(worth.alias("worth"), "position", "feature", "f_score"))
+    best = table.agg(F.slice(F.sort_array(entries, asc=False), 1, k).alias("best"))
+    return best.select(F.posexplode("best").alias("place", "entry")).select(
+        (F.col("place") + 1).alias("rank"),
+        "entry.position",
+        "entry.feature",
+        "entry.f_score",
+    )
 
 
 def select_features(

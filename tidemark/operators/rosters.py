@@ -13,6 +13,7 @@ from tidemark.functions.nested import (
     PLAYERS_DDL,
     TEAMS_DDL,
     element,
+    parsed_once,
     without_nulls,
 )
 from tidemark.operators.cohorts import keep_modes
@@ -44,7 +45,7 @@ def _with_rosters(
     columns: Sequence[str],
     keep_empty: bool,
 ) -> DataFrame:
-    rows = df.withColumn("_roster", roster)
+    rows = df.select(*columns, parsed_once(roster).alias("_roster"))
     if not keep_empty:
         rows = rows.filter(F.size("_roster") > 0)
     return rows.select(*columns, tags.alias(PLAYERS), names.alias(BRAWLERS))

@@ -45,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
     It lies under the session's ``spark.checkpoint.dir``. Only a local session may do
     without that setting; it gets a temporary folder that goes with the process.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
+    base = spark.conf.get(CHECKPOINT_DIR, None)  # set by the cluster
     if base:
         return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.nested import parsed_once
+
 BAD_RECORD = "_bad_record"
 
 # The payload documents, one JSON object per line. Flattened, their leaves
@@ -67,18 +71,24 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def split_id_list(lists: DataFrame, text: str) -> DataFrame:
-    """(pos, tag) from id lists that are values of a column."""
-    return lists.select(F.posexplode(F.split(text, ",")).alias("pos", "tag"))
+def split_id_list(lists: DataFrame, text: str, keys: Sequence[str] = ()) -> DataFrame:
+    """([keys,] pos, tag) from id lists that are values of a column."""
+    return lists.select(*keys, F.posexplode(F.split(text, ",")).alias("pos", "tag"))
 
 
-def read_csv(spark: SparkSession, path: str, ddl: str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, ddl: str | None = None, multi_line: bool = False
+) -> DataFrame:
     """CSV with a header. With a DDL schema a value that does not fit fails the read;
-    without one the types are inferred. Quoted values may hold line ends."""
+    without one the types are inferred.
+
+    ``multi_line`` admits line ends inside quoted values, but then a file is read by one
+    task; without it large files are split.
+    """
     reader = (
         spark.read.option("header", True)
         .option("sep", ",")
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
     )
     if ddl is None:
@@ -99,10 +109,8 @@ def read_payloads(
     documents."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
     lines = spark.read.text(path).filter(F.trim("value") != "")
-    records = lines.select(
-        "value",
-        F.from_json("value", f"{ddl}, {BAD_RECORD} STRING", options).alias("record"),
-    )
+    record = F.from_json("value", f"{ddl}, {BAD_RECORD} STRING", options)
+    records = lines.select("value", parsed_once(record).alias("record"))
     failed = F.col(f"record.{BAD_RECORD}").isNotNull()
     good = records.filter(~failed).select("record.*").drop(BAD_RECORD)
     bad = records.filter(failed).select(F.col("value").alias(BAD_RECORD))

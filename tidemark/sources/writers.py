@@ -41,10 +41,10 @@ def read_version(
     spark: SparkSession, path: str, version: str | None = None
 ) -> DataFrame:
     """One version of a table, by default the latest; only its files are read."""
-    table = spark.read.schema(
-        # The version is a directory name; keep it text whatever it looks like.
-        spark.read.parquet(path).withColumn("version", F.col("version").cast("string")).schema
-    ).parquet(path)
+    stored = spark.read.parquet(path)
+    # The version is a directory name; keep it text whatever it looks like.
+    as_text = stored.withColumn("version", F.col("version").cast("string"))
+    table = spark.read.schema(as_text.schema).parquet(path)
     if version is None:
         wanted = table.agg(F.max("version")).scalar()
     else:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.clusters import (
+    VECTOR,
     GridPoint,
     assign_clusters,
     best_point,
@@ -30,6 +31,9 @@ from tidemark.operators.quality import (
 )
 from tidemark.operators.shape import count_parity, null_profile
 from tidemark.params import ClusterParams
+from tidemark.sources.layout import shared_folder
+from tidemark.sources.readers import read_parquet
+from tidemark.sources.writers import write_parquet
 from tidemark.workload.views import FEATURES, profiles, table
 
 POINT = GridPoint(4, "k-means++", 200, 1e-4)
@@ -140,12 +144,17 @@ def _silhouette_exact(spark, d):
 
 
 def _reduced(spark, d):
-    return select_features(_scaled(spark, d), "segment", 4, features=FEATURES)
+    """Selected features as a stored table: model fits and scores read it many times."""
+    folder = shared_folder(spark)
+    write_parquet(_scaled(spark, d), f"{folder}/scaled")
+    scaled = read_parquet(spark, f"{folder}/scaled")
+    return select_features(scaled, "segment", 4, features=FEATURES)
 
 
 def _fitted(spark, d):
     rows, names = _reduced(spark, d)
-    model = fit_kmeans(with_vector(rows, names), POINT, SEED)
+    vectors = with_vector(rows, names).select(VECTOR)
+    model = fit_kmeans(vectors, POINT, SEED)
     return rows, names, model
 
 

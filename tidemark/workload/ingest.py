@@ -40,14 +40,12 @@ from tidemark.workload.views import EVENT_RANGES, event_cohorts, raw_logs, table
 
 
 def _tag_lists(spark, d):
-    # Supplier names and customer segments as comma-separated lists, one per row.
+    # Customer names and segments as comma-separated lists, one per row.
     lists = table(spark, d, "customer").select(
         "c_custkey",
         F.concat_ws(",", "c_name", "c_mktsegment", F.lit(" x ")).alias("tags"),
     )
-    return lists.select(
-        "c_custkey", F.posexplode(F.split("tags", ",")).alias("pos", "tag")
-    )
+    return split_id_list(lists, "tags", ["c_custkey"])
 
 
 def _id_list_file(spark, d):
@@ -58,12 +56,9 @@ def _id_list_file(spark, d):
 
 
 def _tag_list_sample(spark, d):
-    names = split_id_list(
-        table(spark, d, "region").select(F.concat_ws(",", "r_name", "r_regionkey").alias("t")),
-        "t",
-    )
-    ranked = names.select(F.concat("tag", F.lit("/"), F.col("pos")).alias("pos"), "tag")
-    return head_of_list(ranked, 4)
+    # The first 25 items when all lists are read as one.
+    place = (F.col("c_custkey") * 3 + F.col("pos")).alias("pos")
+    return head_of_list(_tag_lists(spark, d).select(place, "tag"), 25)
 
 
 def _csv_round_trip(spark, d):
@@ -77,6 +72,7 @@ def _csv_round_trip(spark, d):
         path,
         "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
         "c_mktsegment STRING, note STRING",
+        multi_line=True,
     )
 
 
@@ -103,10 +99,12 @@ def _record_sink(spark, d):
 
 def _versioned_table(spark, d):
     path = shared_folder(spark)
-    nations = table(spark, d, "nation").select("n_nationkey", "n_name")
-    append_version(nations, path, "2024-01-01T00.00.00.000Z")
+    customers = table(spark, d, "customer").select("c_custkey", "c_name")
+    append_version(customers, path, "2024-01-01T00.00.00.000Z")
     append_version(
-        nations.withColumn("n_name", F.lower("n_name")), path, "2024-01-02T00.00.00.000Z"
+        customers.withColumn("c_name", F.lower("c_name")),
+        path,
+        "2024-01-02T00.00.00.000Z",
     )
     return read_version(spark, path)
 
@@ -119,7 +117,7 @@ def _model_round_trip(spark, d):
 
 
 def _battle_payloads(spark, d):
-    # Each event as one payload document with one item, and a broken document per region.
+    # Each event as one payload document with one item, and a broken document per supplier.
     path = shared_folder(spark)
     logs = raw_logs(spark, d)
     players = "array<struct<tag:string,brawler:struct<name:string>>>"
@@ -138,8 +136,8 @@ def _battle_payloads(spark, d):
         ).alias("battle"),
     )
     document = F.to_json(F.struct("player_id", F.array(item).alias("items")))
-    broken = table(spark, d, "region").select(
-        F.concat(F.lit('{"player_id": '), "r_name").alias("value")
+    broken = table(spark, d, "supplier").select(
+        F.concat(F.lit('{"player_id": '), "s_name").alias("value")
     )
     logs.select(document.alias("value")).union(broken).write.text(path)
     return read_payloads(spark, path, BATTLE_PAYLOAD_DDL)
@@ -200,7 +198,7 @@ def _flatten_nested(spark, d):
         F.col("n_nationkey").alias("c_nationkey"),
         F.struct("n_name", F.struct("n_regionkey").alias("region")).alias("nation"),
     )
-    customers = table(spark, d, "customer").join(F.broadcast(nations), "c_nationkey")
+    customers = table(spark, d, "customer").join(nations, "c_nationkey")
     nested = customers.select(
         F.struct("c_custkey", "c_name").alias("who"),
         "nation",
@@ -240,10 +238,11 @@ ORACLES = {
             SELECT c_custkey, unnest(tags) AS tag, generate_subscripts(tags, 1) AS pos
             FROM (SELECT c_custkey, [c_name, c_mktsegment, ' x '] AS tags FROM customer)
         )""",
-    "tag_list_sample": """SELECT tag || '/' || pos AS pos, tag FROM (
-            SELECT r_name AS tag, 0 AS pos FROM region
-            UNION ALL SELECT CAST(r_regionkey AS VARCHAR), 1 FROM region
-        ) ORDER BY 1 LIMIT 4""",
+    "tag_list_sample": """SELECT pos, tag FROM (
+            SELECT c_custkey * 3 AS pos, c_name AS tag FROM customer
+            UNION ALL SELECT c_custkey * 3 + 1, c_mktsegment FROM customer
+            UNION ALL SELECT c_custkey * 3 + 2, ' x ' FROM customer
+        ) ORDER BY pos LIMIT 25""",
     "id_list_file": "SELECT c_name AS tag FROM customer",
     "csv_round_trip": """SELECT *, 'said "hi", ' || c_mktsegment || chr(10) || 'bye' AS note
         FROM customer""",
@@ -253,14 +252,14 @@ ORACLES = {
         AND CAST(ts AS DATE) < DATE '{EVENT_RANGES[1][1]}'""",
     "record_sink": """SELECT count(*) AS n_orders, max(o_totalprice) AS top_order
         FROM orders""",
-    "versioned_table": """SELECT n_nationkey, lower(n_name) AS n_name,
-        '2024-01-02T00.00.00.000Z' AS version FROM nation""",
+    "versioned_table": """SELECT c_custkey, lower(c_name) AS c_name,
+        '2024-01-02T00.00.00.000Z' AS version FROM customer""",
     "battle_ingest": f"""WITH {RAW_SQL}
         SELECT player_id, battle_time AS battleTime, event_id, event_mode,
                trophies AS "battle_trophyChange", star AS "battle_starPlayer_tag",
                CASE WHEN k < 80 AND size > 1 THEN '#' || k END AS second_tag
         FROM raw""",
-    "bad_payloads": """SELECT '{"player_id": ' || r_name AS record FROM region""",
+    "bad_payloads": """SELECT '{"player_id": ' || s_name AS record FROM supplier""",
     "profile_ingest": """SELECT '#' || c_custkey AS player_id, c_name AS name,
         c_custkey AS trophies, c_acctbal AS "highestPowerPlayPoints",
         CAST(c_nationkey AS BIGINT) AS icon_id, c_mktsegment AS club_name

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.nested import parsed_once
 from tidemark.operators.cohorts import assign_cohorts, within_ranges
 from tidemark.params import BATTLE_LOG_DDL, FamilyParams
 
@@ -90,9 +91,10 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     teams of 0 to 4. Errors have no event id; from k = 90 on the id is NULL, and so are
     the rosters from k = 80 on.
     """
-    events = table(spark, sf_dir, "events")
-    k = F.from_json("props", "k INT")["k"]
-    user, kind = F.col("user_id"), F.col("event_type")
+    events = table(spark, sf_dir, "events").select(
+        "*", parsed_once(F.from_json("props", "k INT")["k"]).alias("k")
+    )
+    user, kind, k = F.col("user_id"), F.col("event_type"), F.col("k")
     size = F.floor(k / 20).cast("int")
     one = _player(_tag(user), F.upper(kind))
     two = _player(_tag(k), F.concat(F.lit("K"), k.cast("string")))
