@@ -8,6 +8,7 @@ from tidemark.operators.clusters import (
     GridPoint,
     assign_clusters,
     best_point,
+    centre_lists,
     centroid_pairs,
     fit_kmeans,
     grid_points,
@@ -72,8 +73,8 @@ def test_fit_is_repeatable(players, model):
 def test_held_out_inertia(players, model):
     folded = with_fold(with_vector(players, FEATURES), "player_id", 2)
     assert {r[0] for r in folded.select("fold").distinct().collect()} == {0, 1}
-    scores = held_out_inertia(folded, [(0, 0, model), (0, 1, model)]).collect()
-    centres = [list(c) for c in model.clusterCenters()]
+    centres = centre_lists(model)
+    scores = held_out_inertia(folded, [(0, 0, centres), (0, 1, centres)]).collect()
     for score in scores:
         rows = folded.filter(f"fold = {score['fold']}").collect()
         expected = sum(

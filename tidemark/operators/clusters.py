@@ -120,22 +120,22 @@ def fit_kmeans(
             vectors.unpersist()
 
 
-def _centres(model: KMeansModel) -> list[list[float]]:
+def centre_lists(model: KMeansModel) -> list[list[float]]:
+    """The cluster centres as plain lists."""
     return [[float(x) for x in c] for c in model.clusterCenters()]
 
 
 def held_out_inertia(
-    folded: DataFrame, models: Sequence[tuple[int, int, KMeansModel]]
+    folded: DataFrame, fitted: Sequence[tuple[int, int, list[list[float]]]]
 ) -> DataFrame:
     """(point, fold, inertia): sum of squared distances of a fold's rows to their nearest
-    centre, for models given as (point, fold, model). One pass scores all models.
+    centre, for centres given as (point, fold, centres). One pass scores all of them.
 
-    The centres are a small table (grid points x folds), each model of a fold as one row.
+    The centres come from the driver, one row per grid point and fold, and are broadcast.
     """
     spark = folded.sparkSession
     table = spark.createDataFrame(
-        [(p, fold, _centres(m)) for p, fold, m in models],
-        "point int, fold int, centres array<array<double>>",
+        list(fitted), "point int, fold int, centres array<array<double>>"
     )
     x = F.col("_x")
     nearest = F.array_min(F.transform("centres", lambda c: squared_distance(x, c)))
@@ -199,7 +199,9 @@ def kmeans_grid(
         with ThreadPool(params.parallelism) as pool:
             models = pool.map(fit, jobs, chunksize=1)
         if params.metric == "inertia":
-            scored = held_out_inertia(folded, models)
+            scored = held_out_inertia(
+                folded, [(i, fold, centre_lists(m)) for i, fold, m in models]
+            )
         else:
             scored = _held_out_silhouette(folded, models, params.parallelism)
         rows = {(r["point"], r["fold"]): r[params.metric] for r in scored.collect()}
@@ -334,7 +336,7 @@ def centroid_pairs(
                 [
                     (features[i], features[j], "centroid", label, c[i], c[j])
                     for i, j in some
-                    for label, c in enumerate(_centres(fit))
+                    for label, c in enumerate(centre_lists(fit))
                 ],
                 "feature_x string, feature_y string, kind string, cluster_labels int, "
                 "x double, y double",

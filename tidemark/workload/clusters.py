@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import squared_distance
 from tidemark.operators.clusters import (
     VECTOR,
     GridPoint,
     assign_clusters,
     best_point,
+    centre_lists,
     centroid_pairs,
     fit_kmeans,
+    held_out_inertia,
     kmeans_grid,
     with_vector,
 )
@@ -143,15 +148,18 @@ def _silhouette_exact(spark, d):
     return rows.select("key", "label", F.round("silhouette", 6).alias("silhouette"))
 
 
+def _stored_scaled(spark, d):
+    """Scaled features as a stored table: model fits and scores read it many times."""
+    path = shared_folder(spark)
+    write_parquet(_scaled(spark, d), path)
+    return read_parquet(spark, path)
+
+
 def _reduced(spark, d):
-    """Selected features as a stored table: model fits and scores read it many times."""
-    folder = shared_folder(spark)
-    write_parquet(_scaled(spark, d), f"{folder}/scaled")
-    scaled = read_parquet(spark, f"{folder}/scaled")
-    return select_features(scaled, "segment", 4, features=FEATURES)
+    return select_features(_stored_scaled(spark, d), "segment", 4, features=FEATURES)
 
 
-def _fitted(spark, d):
+def fitted(spark, d):
     rows, names = _reduced(spark, d)
     vectors = with_vector(rows, names).select(VECTOR)
     model = fit_kmeans(vectors, POINT, SEED)
@@ -159,7 +167,7 @@ def _fitted(spark, d):
 
 
 def _kmeans_assign(spark, d):
-    rows, names, model = _fitted(spark, d)
+    rows, names, model = fitted(spark, d)
     return assign_clusters(rows, model, names)
 
 
@@ -177,15 +185,56 @@ def _kmeans_best(spark, d):
 
 
 def _kmeans_metrics(spark, d):
-    rows, names, model = _fitted(spark, d)
+    rows, names, model = fitted(spark, d)
     return cluster_metrics(as_points(assign_clusters(rows, model, names), names))
 
 
 def _centroid_pairs(spark, d):
-    rows, names, model = _fitted(spark, d)
+    rows, names, model = fitted(spark, d)
     return centroid_pairs(rows, model, names)
 
 
+def _kmeans_properties(spark, d):
+    """What holds for any k-means assignment: all rows labelled, every label used, no row
+    nearer to another centre."""
+    rows, names, model = fitted(spark, d)
+    x = F.array(*[F.col(c) for c in names])
+    centres = [F.array(*[F.lit(v) for v in c]) for c in centre_lists(model)]
+    gaps = F.array(*[squared_distance(x, c) for c in centres])
+    labelled = assign_clusters(rows, model, names)
+    own = F.get(gaps, F.col("cluster_labels"))
+    return labelled.agg(
+        F.count("cluster_labels").alias("n_players"),
+        F.count_distinct("cluster_labels").alias("n_clusters"),
+        F.count_if(own > F.array_min(gaps) + 1e-9).alias("n_misplaced"),
+    )
+
+
+# Fixed centres, one list per grid point, to score without a fitted model.
+CENTRES = (
+    [[0.0] * len(FEATURES), [0.5] * len(FEATURES)],
+    [[0.1] * len(FEATURES), [0.4] * len(FEATURES), [0.9] * len(FEATURES)],
+)
+FOLDS = 3
+
+
+def _held_out_inertia(spark, d):
+    fold = F.pmod("player_id", F.lit(FOLDS)).cast("int")
+    folded = with_vector(_scaled(spark, d), FEATURES).withColumn("fold", fold)
+    fitted = [(p, f, c) for p, c in enumerate(CENTRES) for f in range(FOLDS)]
+    rows = held_out_inertia(folded, fitted)
+    return rows.withColumn("inertia", F.round("inertia", 6))
+
+
+def _centroid_pair_points(spark, d):
+    rows = _stored_scaled(spark, d)
+    model = fit_kmeans(with_vector(rows, FEATURES).select(VECTOR), POINT, SEED)
+    points = centroid_pairs(rows, model, FEATURES).filter("kind = 'point'")
+    return points.select(
+        "feature_x", "feature_y", F.round("x", 6).alias("x"), F.round("y", 6).alias("y")
+    )
+
+
 # ------------------------------------------------------------------------------- SQL
 
 _PROFILES = """orders_of AS (
@@ -279,7 +328,10 @@ QUERIES = {
     "kmeans_grid": _kmeans_grid,
     "kmeans_best": _kmeans_best,
     "kmeans_metrics": _kmeans_metrics,
+    "kmeans_properties": _kmeans_properties,
+    "held_out_inertia": _held_out_inertia,
     "centroid_pairs": _centroid_pairs,
+    "centroid_pair_points": _centroid_pair_points,
 }
 
 ORACLES = {
@@ -350,6 +402,26 @@ ORACLES = {
             GROUP BY la
         )
         SELECT round(avg(r), 6) AS davies_bouldin_score FROM worst""",
+    "kmeans_properties": """SELECT count(*) AS n_players, CAST(4 AS BIGINT) AS n_clusters,
+        CAST(0 AS BIGINT) AS n_misplaced FROM customer""",
+    "held_out_inertia": f"""WITH {_PROFILES},
+        centres(point, centre) AS (VALUES {
+        ", ".join(f"({p}, {c}::DOUBLE[])" for p, cs in enumerate(CENTRES) for c in cs)
+    }),
+        nearest AS (
+            SELECT point, player_id % {FOLDS} AS fold, player_id,
+                   min(list_distance([{", ".join(FEATURES)}]::DOUBLE[], centre) ** 2) AS d2
+            FROM scaled, centres GROUP BY point, player_id
+        )
+        SELECT CAST(point AS INT) AS point, CAST(fold AS INT) AS fold,
+               round(sum(d2), 6) AS inertia
+        FROM nearest GROUP BY point, fold""",
+    "centroid_pair_points": f"WITH {_PROFILES} "
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS feature_x, '{b}' AS feature_y, "
+        f"CAST(round({a}, 6) AS DOUBLE) AS x, CAST(round({b}, 6) AS DOUBLE) AS y FROM scaled"
+        for a, b in combinations(FEATURES, 2)
+    ),
     "silhouette_squared": f"""WITH {
         _PAIRS.format(distance="list_distance(a.x, b.x) * list_distance(a.x, b.x)")
     }

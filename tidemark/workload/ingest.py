@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import names_like, underscored
-from tidemark.operators.clusters import assign_clusters
+from tidemark.operators.clusters import with_vector
 from tidemark.operators.ingest import battle_rows, profile_rows
 from tidemark.operators.shape import (
     apply_ddl,
@@ -111,9 +111,19 @@ def _versioned_table(spark, d):
 
 def _model_round_trip(spark, d):
     path = shared_folder(spark)
-    rows, names, model = clusters._fitted(spark, d)
+    rows, names, model = clusters.fitted(spark, d)
     write_model(model, path)
-    return assign_clusters(rows, read_model(path), names)
+    before = model.transform(with_vector(rows, names)).withColumnRenamed(
+        "cluster_labels", "label_before"
+    )
+    return (
+        read_model(path)
+        .transform(before)
+        .select(
+            "player_id",
+            (F.col("cluster_labels") == F.col("label_before")).alias("same_label"),
+        )
+    )
 
 
 def _battle_payloads(spark, d):
@@ -254,6 +264,7 @@ ORACLES = {
         FROM orders""",
     "versioned_table": """SELECT c_custkey, lower(c_name) AS c_name,
         '2024-01-02T00.00.00.000Z' AS version FROM customer""",
+    "model_round_trip": "SELECT c_custkey AS player_id, TRUE AS same_label FROM customer",
     "battle_ingest": f"""WITH {RAW_SQL}
         SELECT player_id, battle_time AS battleTime, event_id, event_mode,
                trophies AS "battle_trophyChange", star AS "battle_starPlayer_tag",
