@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tests.session import local_session  # noqa: E402
+from tidemark.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

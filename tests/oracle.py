@@ -51,7 +51,7 @@ def differences(spark_df, con, sql: str) -> list[str]:
 if __name__ == "__main__":
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as entry
-    from tests.session import local_session
+    from tidemark.session import local_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]

@@ -82,9 +82,12 @@ def test_a_long_range_list_gives_the_same(spark, monkeypatch):
         spark, ["2022-12-31", "2023-01-02", "2023-01-25", "2023-12-31", "2024-01-01"]
     )
     short = sorted(map(tuple, assign_cohorts(days, "day", RANGES).collect()))
-    monkeypatch.setattr(cohort_operators, "BROADCAST_ROWS", 1)
-    long = sorted(map(tuple, assign_cohorts(days, "day", RANGES).collect()))
-    assert short == long and len(short) == 4
+    assert len(short) == 4
+    monkeypatch.setattr(cohort_operators, "RANGE_JOIN_ROWS", 1)
+    for limit in (1_000_000, 10):
+        monkeypatch.setattr(cohort_operators, "BROADCAST_DAYS", limit)
+        rows = assign_cohorts(days, "day", RANGES)
+        assert sorted(map(tuple, rows.collect())) == short
 
 
 def test_no_ranges_is_an_error(spark):

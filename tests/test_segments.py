@@ -38,6 +38,10 @@ def test_join_fans_out_and_keeps_unlabelled(spark):
     rows = label_activity(activity(spark), labels(spark))
     counts = {r[0]: r[1] for r in rows.groupBy("player_id").count().collect()}
     assert counts == {"a": 4, "b": 2, "c": 1, "nobody": 1}
+    plain = label_activity(activity(spark), labels(spark), unique_labels=True)
+    assert sorted(plain.collect(), key=str) == sorted(
+        rows.select(*plain.columns).collect(), key=str
+    )
 
 
 def test_cluster_retention(spark):

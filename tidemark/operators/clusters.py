@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import quoted
 from tidemark.functions.numbers import squared_distance
+from tidemark.operators.lookup import BROADCAST_ROWS
 from tidemark.params import ClusterParams
 
 # Names of the starting methods, and what Spark ML calls them.
@@ -131,7 +132,8 @@ def held_out_inertia(
     """(point, fold, inertia): sum of squared distances of a fold's rows to their nearest
     centre, for centres given as (point, fold, centres). One pass scores all of them.
 
-    The centres come from the driver, one row per grid point and fold, and are broadcast.
+    The centres come from the driver, one row per grid point and fold, and are broadcast
+    unless the grid is very long.
     """
     spark = folded.sparkSession
     table = spark.createDataFrame(
@@ -141,7 +143,7 @@ def held_out_inertia(
     nearest = F.array_min(F.transform("centres", lambda c: squared_distance(x, c)))
     return (
         folded.select("fold", vector_to_array(VECTOR).alias("_x"))
-        .join(F.broadcast(table), "fold")
+        .join(F.broadcast(table) if len(fitted) <= BROADCAST_ROWS else table, "fold")
         .groupBy("point", "fold")
         .agg(F.sum(nearest).alias("inertia"))
     )

@@ -11,11 +11,16 @@ from pyspark.sql import types as T
 
 from tidemark.functions.dates import parse_log_day
 from tidemark.functions.nested import json_fragments
-from tidemark.operators.lookup import BROADCAST_ROWS
 from tidemark.params import CohortParams, one_of, require_columns
 
 Ranges = Sequence[tuple[str, str]]
 
+# Every row is compared with each range of a range join, so the list has to be short.
+RANGE_JOIN_ROWS = 64
+
+# (cohort, day) rows of 16 bytes that may be broadcast.
+BROADCAST_DAYS = 1_000_000
+
 _ONE_DAY = dt.timedelta(days=1)
 
 
@@ -92,15 +97,19 @@ def assign_cohorts(
     """One copy of a row per cohort range that holds its day; other rows vanish.
 
     A short list of ranges is broadcast and matched by range. A long one is written
-    out as (cohort, day) rows and matched by equality, which Spark may sort-merge.
+    out as (cohort, day) rows and matched by equality; these are broadcast up to a known
+    number, and beyond it Spark picks the join.
     """
     table = range_table(logs.sparkSession, ranges, closed)
-    if len(ranges) <= BROADCAST_ROWS:
+    if len(ranges) <= RANGE_JOIN_ROWS:
         held = F.col(day).between(F.col("first_day"), F.col("last_day"))
         return logs.join(F.broadcast(table), held).drop("first_day", "last_day")
     days = table.filter("first_day <= last_day").select(
         "cohort", F.explode(F.sequence("first_day", "last_day")).alias(day)
     )
+    spans = _inclusive(ranges, closed)
+    if sum((last - first).days + 1 for _, first, last in spans) <= BROADCAST_DAYS:
+        days = F.broadcast(days)
     return logs.join(days, day).select(*logs.columns, "cohort")
 
 

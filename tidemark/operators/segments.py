@@ -11,12 +11,23 @@ from tidemark.operators.retention import retention_columns, sum_columns, with_ra
 from tidemark.params import RatioParams
 
 
-def label_activity(activity: DataFrame, labels: DataFrame) -> DataFrame:
+def label_activity(
+    activity: DataFrame, labels: DataFrame, unique_labels: bool = False
+) -> DataFrame:
     """Activity rows with their player's cluster label. A player without a label keeps
-    its row; one with several labels has a row for each."""
-    return activity.join(
-        labels.select("player_id", "cluster_labels"), "player_id", "left"
-    )
+    its row; one with several labels has a row for each.
+
+    With one row per player in the label table (``unique_labels``) this is a left join.
+    Otherwise labelled and unlabelled rows are joined apart: Spark can split a hot player
+    on either side of an inner join, but not on the right side of a left join.
+    """
+    labels = labels.select("player_id", "cluster_labels")
+    if unique_labels:
+        return activity.join(labels, "player_id", "left")
+    labelled = activity.join(labels, "player_id")
+    players = labels.select("player_id").distinct()
+    unlabelled = activity.join(players, "player_id", "left_anti")
+    return labelled.unionByName(unlabelled, allowMissingColumns=True)
 
 
 def cluster_retention(

@@ -1,4 +1,4 @@
-"""The Spark session of tests and benchmarks."""
+"""A local Spark session for tests and benchmarks."""
 
 from __future__ import annotations
 

@@ -351,7 +351,8 @@ def _report_sql() -> str:
     return f"SELECT first_log, {', '.join(columns)} FROM activity GROUP BY first_log"
 
 
-PIVOT_DAYS = (0, 1, 2, 7, 14, 29)
+# All days between two days of the event table.
+PIVOT_DAYS = tuple(range(30))
 
 
 def _activity_pivot(spark, d):
@@ -427,6 +428,11 @@ QUERIES = {
         ActivityParams(days=EVENT_DAYS, day_index="observed"),
         len(EVENT_RANGES),
     ),
+    "retention_observed_all": _activity(
+        event_cohorts,
+        ActivityParams(days=EVENT_DAYS, day_index="observed"),
+        len(EVENT_RANGES),
+    ),
     "retention_observed_salted": _activity(
         order_cohorts, ActivityParams(days=OBSERVED_DAYS, day_index="observed")
     ),
@@ -505,6 +511,8 @@ ORACLES = {
     + f" SELECT {_flags_sql(EVENT_DAYS)} FROM activity",
     "retention_observed": activity_sql(PURCHASE_LOGS, observed_sql(EVENT_DAYS))
     + " SELECT * FROM activity",
+    "retention_observed_all": activity_sql(EVENT_LOGS, observed_sql(EVENT_DAYS))
+    + " SELECT * FROM activity",
     "retention_observed_salted": activity_sql(ORDER_LOGS, observed_sql(OBSERVED_DAYS))
     + " SELECT * FROM activity",
     "retention_observed_exact": activity_sql(
