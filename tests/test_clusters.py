@@ -18,6 +18,7 @@ from tidemark.operators.clusters import (
     with_fold,
     with_vector,
 )
+from tidemark.operators import quality
 from tidemark.operators.quality import (
     as_points,
     cluster_metrics,
@@ -171,8 +172,10 @@ def by_hand(points):
     }
 
 
-@pytest.mark.parametrize("block_rows", [7, 1000])
-def test_scores_by_hand(spark, block_rows):
+@pytest.mark.parametrize(("block_rows", "few"), [(7, 10_000), (1000, 10_000), (2, 1)])
+def test_scores_by_hand(spark, monkeypatch, block_rows, few):
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", few)
+    monkeypatch.setattr(quality, "BLOCK_ROWS", block_rows)
     rng = random.Random(5)
     data = [
         (i, i % 4, [rng.random(), rng.random() + i % 4]) for i in range(40)

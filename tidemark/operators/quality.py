@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import quoted
 from tidemark.functions.numbers import squared_distance
+from tidemark.operators.lookup import BROADCAST_ROWS, lookup_join
 
-# Rows of one block of the exact silhouette; a task holds two blocks.
+# Rows of one block of a measure over all pairs; a task holds two blocks.
 BLOCK_ROWS = 4_096
 
 
@@ -41,24 +42,31 @@ def centres(points: DataFrame) -> DataFrame:
     )
 
 
-def with_own_centre(points: DataFrame) -> DataFrame:
+def cluster_count(points: DataFrame) -> int:
+    """Number of clusters, by one aggregation. It decides how centres reach the points."""
+    return points.select("label").distinct().count()
+
+
+def with_own_centre(points: DataFrame, n_clusters: int) -> DataFrame:
     """Add the centre of each point's own cluster.
 
-    The centres are one map from label to mean. A k-means model keeps the same table on
-    the driver, so it is small, and no point is moved.
+    Up to a bounded number of clusters the centres are one map, used as a scalar subquery,
+    and no point is moved. Beyond it they are joined with salted labels.
     """
-    table = centres(points).agg(
-        F.map_from_entries(F.collect_list(F.struct("label", "centre")))
-    )
-    return points.withColumn("centre", F.try_element_at(table.scalar(), F.col("label")))
+    table = centres(points).select("label", "centre")
+    if n_clusters > BROADCAST_ROWS:
+        spread_by = "key" if "key" in points.columns else "x"
+        return lookup_join(points, table, "label", spread_by, n_clusters)
+    whole = table.agg(F.map_from_entries(F.collect_list(F.struct("label", "centre"))))
+    return points.withColumn("centre", F.try_element_at(whole.scalar(), F.col("label")))
 
 
-def cluster_spread(points: DataFrame) -> DataFrame:
+def cluster_spread(points: DataFrame, n_clusters: int) -> DataFrame:
     """(label, n, centre, sse, mean_distance) per cluster: squared and plain distances of
     its points to its centre."""
     d2 = squared_distance(F.col("x"), F.col("centre"))
     return (
-        with_own_centre(points)
+        with_own_centre(points, n_clusters)
         .select("label", "centre", d2.alias("d2"))
         .groupBy("label")
         .agg(
@@ -70,65 +78,113 @@ def cluster_spread(points: DataFrame) -> DataFrame:
     )
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+def block_pairs(df: DataFrame, key: str, blocks: int) -> DataFrame:
+    """Rows cut into blocks by a hash of ``key`` and copied once per pair of blocks they
+    take part in: adds ``block``, ``lo`` and ``hi``. A pair holds two blocks, or one with
+    itself."""
+    block = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    return (
+        df.withColumn("block", block)
+        .withColumn("_other", other)
+        .withColumns(
+            {"lo": F.least("block", "_other"), "hi": F.greatest("block", "_other")}
+        )
+        .drop("_other")
+    )
 
 
-def _calinski_harabasz(clusters: Column) -> Column:
-    n = _sum(F.transform(clusters, lambda c: c["n"].cast("double")))
-    k = F.size(clusters)
-    within = _sum(F.transform(clusters, lambda c: c["sse"]))
-    weighted = F.transform(
-        clusters, lambda c: F.transform(c["centre"], lambda v: v * c["n"])
+def _calinski_harabasz(spread: DataFrame) -> DataFrame:
+    """One row (total_inertia, calinski_harabasz_score)."""
+    weight = F.col("n").cast("double")
+    grand = spread.agg(
+        vector_to_array(
+            Summarizer.mean(array_to_vector(F.col("centre")), weightCol=weight)
+        )
+    ).scalar()
+    off_grand = squared_distance(F.col("centre"), F.col("grand"))
+    totals = spread.withColumn("grand", grand).agg(
+        F.sum("sse").alias("within"),
+        F.sum(weight * off_grand).alias("between"),
+        F.sum(weight).alias("n"),
+        F.count("*").alias("k"),
     )
-    total = F.aggregate(
-        F.slice(weighted, 2, F.greatest(k - 1, F.lit(0))),
-        F.get(weighted, 0),
-        lambda acc, c: F.zip_with(acc, c, lambda a, b: a + b),
+    k, n, within = F.col("k"), F.col("n"), F.col("within")
+    score = F.when(within == 0, F.lit(1.0)).otherwise(
+        F.try_divide(F.col("between") / (k - 1), within / (n - k))
     )
-    grand = F.transform(total, lambda v: v / n)
-    between = _sum(
-        F.transform(
-            clusters, lambda c: c["n"].cast("double") * squared_distance(c["centre"], grand)
-        )
+    return totals.select(
+        within.alias("total_inertia"),
+        F.when((k >= 2) & (k < n), score)
+        .otherwise(F.raise_error(F.lit("needs 2 .. n-1 clusters for n points")))
+        .alias("calinski_harabasz_score"),
     )
-    score = (between / (k - 1)) / (within / (n - k))
-    return F.when(within == 0, F.lit(1.0)).otherwise(score)
 
 
-def _davies_bouldin(clusters: Column) -> Column:
-    def worst(a: Column) -> Column:
-        def ratio(b: Column) -> Column:
-            gap = F.sqrt(squared_distance(a["centre"], b["centre"]))
-            spread = a["mean_distance"] + b["mean_distance"]
-            return F.when(gap == 0, F.lit(0.0)).otherwise(spread / gap)
+def _worst_ratios(spread: DataFrame) -> DataFrame:
+    """(worst) per cluster: largest (spread + spread) / distance to another cluster. Each
+    cluster is held against one array of all clusters."""
+    everyone = spread.agg(F.collect_list(F.struct("centre", "mean_distance"))).scalar()
 
-        return F.array_max(F.transform(clusters, ratio))
+    def ratio(other: Column) -> Column:
+        gap = F.sqrt(squared_distance(F.col("centre"), other["centre"]))
+        both = F.col("mean_distance") + other["mean_distance"]
+        return F.when(gap == 0, F.lit(0.0)).otherwise(both / gap)
 
-    return _sum(F.transform(clusters, worst)) / F.size(clusters)
+    held = spread.withColumn("everyone", everyone)
+    return held.select(F.array_max(F.transform("everyone", ratio)).alias("worst"))
 
 
-def separation(points: DataFrame) -> DataFrame:
+def _worst_ratios_by_blocks(spread: DataFrame, blocks: int) -> DataFrame:
+    """As :func:`_worst_ratios`, for more clusters than one array should hold."""
+
+    def measure(pdf):
+        import numpy as np
+        import pandas as pd
+
+        lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
+        a, b = pdf[pdf["block"] == lo], pdf[pdf["block"] == hi]
+        if a.empty or b.empty:
+            return pd.DataFrame({"label": [], "worst": []})
+        xa, xb = (np.stack(side["centre"].to_numpy()) for side in (a, b))
+        squares = (xa**2).sum(1)[:, None] + (xb**2).sum(1)[None, :] - 2 * (xa @ xb.T)
+        gaps = np.sqrt(np.maximum(squares, 0))
+        if lo == hi:
+            np.fill_diagonal(gaps, 0)
+        gaps[gaps == 0] = np.inf
+        wa, wb = (side["mean_distance"].to_numpy() for side in (a, b))
+        ratios = (wa[:, None] + wb[None, :]) / gaps
+        labels = np.concatenate([a["label"].to_numpy(), b["label"].to_numpy()])
+        worst = np.concatenate([ratios.max(1), ratios.max(0)])
+        return pd.DataFrame({"label": labels, "worst": worst})
+
+    rows = spread.select("label", "centre", "mean_distance")
+    label_type = dict(rows.dtypes)["label"]
+    return (
+        block_pairs(rows, "label", blocks)
+        .groupBy("lo", "hi")
+        .applyInPandas(measure, f"label {label_type}, worst double")
+        .groupBy("label")
+        .agg(F.max("worst").alias("worst"))
+    )
+
+
+def separation(points: DataFrame, n_clusters: int | None = None) -> DataFrame:
     """One row (total_inertia, calinski_harabasz_score, davies_bouldin_score).
 
-    Two passes over the points: centres, then spreads. Everything after that works on one
-    entry per cluster. Needs at least two clusters and fewer clusters than points.
+    Two passes over the points, for centres and for spreads; after that there is one row per
+    cluster. Needs at least two clusters and fewer clusters than points. Without a known
+    number of clusters they are counted first.
     """
-    one = cluster_spread(points).agg(
-        F.array_sort(
-            F.collect_list(F.struct("label", "n", "centre", "sse", "mean_distance"))
-        ).alias("clusters")
-    )
-    clusters = F.col("clusters")
-    n = _sum(F.transform(clusters, lambda c: c["n"].cast("double")))
-    checked = F.when(
-        (F.size(clusters) >= 2) & (F.size(clusters) < n), clusters
-    ).otherwise(F.raise_error(F.lit("needs 2 .. n-1 clusters for n points")))
-    return one.select(checked.alias("clusters")).select(
-        _sum(F.transform(clusters, lambda c: c["sse"])).alias("total_inertia"),
-        _calinski_harabasz(clusters).alias("calinski_harabasz_score"),
-        _davies_bouldin(clusters).alias("davies_bouldin_score"),
-    )
+    if n_clusters is None:
+        n_clusters = cluster_count(points)
+    spread = cluster_spread(points, n_clusters)
+    if n_clusters <= BROADCAST_ROWS:
+        worst = _worst_ratios(spread)
+    else:
+        worst = _worst_ratios_by_blocks(spread, -(-n_clusters // BLOCK_ROWS))
+    davies_bouldin = worst.agg(F.avg("worst")).scalar()
+    return _calinski_harabasz(spread).withColumn("davies_bouldin_score", davies_bouldin)
 
 
 def silhouette(points: DataFrame) -> float:
@@ -191,19 +247,7 @@ def distance_sums(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         return pd.concat([side(a, b, distances), side(b, a, distances.T)])
 
     types = dict(points.dtypes)
-    block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    copies = (
-        points.withColumn("block", block)
-        .withColumn("_other", other)
-        .withColumns(
-            {
-                "lo": F.least("block", "_other"),
-                "hi": F.greatest("block", "_other"),
-            }
-        )
-        .drop("_other")
-    )
+    copies = block_pairs(points, "key", blocks)
     partial = copies.groupBy("lo", "hi").applyInPandas(
         measure,
         f"key {types['key']}, label {types['label']}, other {types['label']}, "
@@ -237,14 +281,17 @@ def silhouette_values(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFr
 
 
 def cluster_metrics(
-    points: DataFrame, exact_silhouette: bool = False, block_rows: int = BLOCK_ROWS
+    points: DataFrame,
+    n_clusters: int | None = None,
+    exact_silhouette: bool = False,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """One row with the four quality scores. The exact silhouette needs a ``key``."""
     if exact_silhouette:
         mean = silhouette_values(points, block_rows).agg(F.avg("silhouette")).scalar()
     else:
         mean = F.lit(silhouette(points))
-    return separation(points).select(
+    return separation(points, n_clusters).select(
         mean.alias("silhouette_score"),
         "davies_bouldin_score",
         "calinski_harabasz_score",

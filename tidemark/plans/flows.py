@@ -114,7 +114,7 @@ def cluster_flow(
     clustered = _stored(
         assign_clusters(reduced, grid.model, names), base, "profiles_clustered"
     )
-    metrics = cluster_metrics(as_points(clustered, names))
+    metrics = cluster_metrics(as_points(clustered, names), grid.model.getK())
     write_record(metrics, table_path(base, "metrics"))
     append_version(
         centroid_pairs(reduced, grid.model, names),

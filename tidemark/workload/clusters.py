@@ -28,6 +28,7 @@ from tidemark.operators.features import (
 )
 from tidemark.operators.quality import (
     as_points,
+    cluster_count,
     cluster_metrics,
     cluster_spread,
     separation,
@@ -118,7 +119,8 @@ def _points(spark, d):
 
 
 def _cluster_spread(spark, d):
-    rows = cluster_spread(_points(spark, d).drop("key"))
+    points = _points(spark, d).drop("key")
+    rows = cluster_spread(points, cluster_count(points))
     return rows.select(
         "label",
         "n",
@@ -186,7 +188,8 @@ def _kmeans_best(spark, d):
 
 def _kmeans_metrics(spark, d):
     rows, names, model = fitted(spark, d)
-    return cluster_metrics(as_points(assign_clusters(rows, model, names), names))
+    points = as_points(assign_clusters(rows, model, names), names)
+    return cluster_metrics(points, model.getK())
 
 
 def _centroid_pairs(spark, d):
