@@ -20,6 +20,18 @@ def duck(sf_dir: str):
     return con
 
 
+# Spark type names and what DuckDB calls them.
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _cell(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else repr(v + 0.0)
@@ -35,11 +47,19 @@ def differences(spark_df, con, sql: str) -> list[str]:
     """What differs between a query result and its SQL; empty when nothing does."""
     result = con.execute(sql)
     names = [c[0] for c in result.description]
+    types = {c[0]: str(c[1]) for c in result.description}
     expected = _rows(names, result.fetchall())
     got = _rows(spark_df.columns, [tuple(r) for r in spark_df.collect()])
     found = []
     if sorted(names) != sorted(spark_df.columns):
         found.append(f"columns {sorted(spark_df.columns)} != {sorted(names)}")
+    wrong = [
+        f"{name}: {dtype} != {types[name]}"
+        for name, dtype in spark_df.dtypes
+        if name in types and TYPES.get(dtype) != types[name]
+    ]
+    if wrong:
+        found.append("types " + ", ".join(wrong))
     if len(got) != len(expected):
         found.append(f"{len(got)} rows != {len(expected)}")
     if got != expected and not found:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import quoted
 from tidemark.functions.numbers import squared_distance
 from tidemark.operators.lookup import BROADCAST_ROWS
+from tidemark.operators.shape import union_by_position
 from tidemark.params import ClusterParams
 
 # Names of the starting methods, and what Spark ML calls them.
@@ -284,6 +285,60 @@ def assign_clusters(
     )
 
 
+def _pair_rows(
+    labelled: DataFrame,
+    model: KMeansModel,
+    features: Sequence[str],
+    pairs: Sequence[tuple[int, int]],
+) -> DataFrame:
+    """Points and centroids of some pairs of features, from one labelled frame."""
+    points = [
+        F.struct(
+            F.lit(features[i]).alias("feature_x"),
+            F.lit(features[j]).alias("feature_y"),
+            F.lit("point").alias("kind"),
+            F.col("cluster_labels"),
+            quoted(features[i]).cast("double").alias("x"),
+            quoted(features[j]).cast("double").alias("y"),
+        )
+        for i, j in pairs
+    ]
+    centroids = labelled.sparkSession.createDataFrame(
+        [
+            (features[i], features[j], "centroid", label, centre[i], centre[j])
+            for i, j in pairs
+            for label, centre in enumerate(centre_lists(model))
+        ],
+        "feature_x string, feature_y string, kind string, cluster_labels int, "
+        "x double, y double",
+    )
+    return labelled.select(F.inline(F.array(*points))).union(centroids)
+
+
+def _fit_on_noise(
+    df: DataFrame,
+    model: KMeansModel,
+    features: Sequence[str],
+    noise: float,
+    seed: int,
+) -> tuple[DataFrame, KMeansModel]:
+    """The rows labelled by a new fit, with the model's settings, on noisy features."""
+    noisy = {
+        f"_noisy{i}": quoted(c) + F.randn(seed + i) * noise
+        for i, c in enumerate(features)
+    }
+    # Seeded noise is the same in every pass over a stored table.
+    vectors = with_vector(df.withColumns(noisy), list(noisy))
+    again = _estimator(
+        model.getK(),
+        model.getInitMode(),
+        model.getMaxIter(),
+        model.getTol(),
+        seed,
+    ).fit(vectors)
+    return again.transform(vectors), again
+
+
 def centroid_pairs(
     df: DataFrame,
     model: KMeansModel,
@@ -297,54 +352,14 @@ def centroid_pairs(
     With ``noise`` the model's settings are fitted again, per pair, on features with
     seeded normal noise of that deviation; the points shown stay the clean ones.
     """
-    spark = df.sparkSession
     pairs = list(combinations(range(len(features)), 2))
+    if not noise:
+        labelled = model.transform(with_vector(df, features))
+        return _pair_rows(labelled, model, features, pairs)
     parts = []
-    fitted = [(pairs, model, df)] if not noise else []
-    if noise:
-        for n, pair in enumerate(pairs):
-            noisy = df
-            for i, c in enumerate(features):
-                bump = F.randn(seed + n * len(features) + i) * noise
-                noisy = noisy.withColumn(f"_noisy{i}", quoted(c) + bump)
-            vectors = with_vector(noisy, [f"_noisy{i}" for i in range(len(features))])
-            again = _estimator(
-                model.getK(),
-                model.getInitMode(),
-                model.getMaxIter(),
-                model.getTol(),
-                seed,
-            ).fit(vectors)
-            fitted.append(([pair], again, vectors))
-    for some, fit, source in fitted:
-        vectors = source if noise else with_vector(source, features)
-        labelled = fit.transform(vectors)
-        points = F.array(
-            *[
-                F.struct(
-                    F.lit(features[i]).alias("feature_x"),
-                    F.lit(features[j]).alias("feature_y"),
-                    F.lit("point").alias("kind"),
-                    F.col("cluster_labels"),
-                    quoted(features[i]).cast("double").alias("x"),
-                    quoted(features[j]).cast("double").alias("y"),
-                )
-                for i, j in some
-            ]
-        )
-        parts.append(labelled.select(F.inline(points)))
-        parts.append(
-            spark.createDataFrame(
-                [
-                    (features[i], features[j], "centroid", label, c[i], c[j])
-                    for i, j in some
-                    for label, c in enumerate(centre_lists(fit))
-                ],
-                "feature_x string, feature_y string, kind string, cluster_labels int, "
-                "x double, y double",
-            )
+    for n, pair in enumerate(pairs):
+        labelled, again = _fit_on_noise(
+            df, model, features, noise, seed + n * len(features)
         )
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.union(part)
-    return whole
+        parts.append(_pair_rows(labelled, again, features, [pair]))
+    return union_by_position(parts)
