@@ -97,6 +97,18 @@ def test_busy_week(spark):
     assert flags(observed[1, "a"]) == [0] and flags(observed[1, "b"]) == [1]
 
 
+def test_calendar_weeks_are_counted_as_one_row(spark):
+    rows = [(1, "a", 0), (1, "a", 2), (1, "a", 2), (1, "a", 8)]
+    logs = logs_of(spark, rows)
+    assert sorted(
+        (r["days_to_return"], r["daily_sessions"])
+        for r in player_days(logs, "weekly", per_day=False).collect()
+    ) == [(0, 3), (7, 1)]
+    assert player_days(logs, "weekly").count() == 3
+    got = activity(spark, rows, days=(0, 7), frequency="weekly")[1, "a"]
+    assert (got["D0_Sessions"], got["D7_Sessions"]) == (3, 4)
+
+
 def test_weeks_start_on_monday(spark):
     got = activity(spark, [(1, "a", 6), (1, "b", -1)], days=(0,), frequency="weekly")
     assert got[1, "a"]["first_log"] == dt.date(2024, 1, 1)

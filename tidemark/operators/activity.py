@@ -17,9 +17,9 @@ def daily_sessions(logs: DataFrame) -> DataFrame:
     )
 
 
-def with_bucket(daily: DataFrame, frequency: str | None) -> DataFrame:
+def with_bucket(rows: DataFrame, frequency: str | None) -> DataFrame:
     """Add ``bucket``: the day, or the start of its week or month."""
-    return daily.withColumn("bucket", bucket_start("battleTime", frequency))
+    return rows.withColumn("bucket", bucket_start("battleTime", frequency))
 
 
 def with_first_log(bucketed: DataFrame, scope: str = "global") -> DataFrame:
@@ -30,17 +30,33 @@ def with_first_log(bucketed: DataFrame, scope: str = "global") -> DataFrame:
     )
 
 
+def bucket_sessions(logs: DataFrame, frequency: str | None) -> DataFrame:
+    """(cohort, bucket, player_id, daily_sessions): log rows per player and bucket."""
+    return (
+        with_bucket(logs, frequency)
+        .groupBy("cohort", "bucket", "player_id")
+        .agg(F.count("*").alias("daily_sessions"))
+    )
+
+
 def player_days(
-    logs: DataFrame, frequency: str | None = "daily", scope: str = "global"
+    logs: DataFrame,
+    frequency: str | None = "daily",
+    scope: str = "global",
+    per_day: bool = True,
 ) -> DataFrame:
     """(cohort, player_id, first_log, days_to_return, daily_sessions).
 
     Sessions are counted before the window, so a player brings one row per day and
     cohort to its task, however many log rows there are. Under a weekly or monthly
-    frequency several active days share one ``days_to_return``.
+    frequency several active days share one ``days_to_return``; with ``per_day`` off they
+    are counted together, in fewer rows.
     """
-    rows = with_first_log(with_bucket(daily_sessions(logs), frequency), scope)
-    return rows.select(
+    if per_day:
+        counted = with_bucket(daily_sessions(logs), frequency)
+    else:
+        counted = bucket_sessions(logs, frequency)
+    return with_first_log(counted, scope).select(
         "cohort",
         "player_id",
         "first_log",

@@ -104,8 +104,10 @@ def user_activity(
     ``n_cohorts`` is the number of cohort ranges, if known; it only matters for
     ``day_index='observed'``, where it allows the per-cohort day list to be broadcast.
     """
-    days = player_days(logs, params.frequency, params.first_log_scope)
-    if params.day_index == "calendar":
+    # Only the observed rule asks how many days of a week or month were active.
+    observed = params.day_index == "observed"
+    days = player_days(logs, params.frequency, params.first_log_scope, observed)
+    if not observed:
         return _calendar(days, params)
     return _observed(days, params, n_cohorts)
 
