@@ -109,7 +109,8 @@ def test_missing_roster_column_is_null(spark):
     assert row["players_collection"] is None
 
 
-def test_families(spark):
+@pytest.mark.parametrize("typed", [False, True])
+def test_families(spark, typed):
     players = json.dumps([player("#A", "x")])
     teams = json.dumps([[player("#A", "x"), player("#B", "y")]])
     modes = ["soloShowdown", "duoShowdown", "heist", "bigGame", "unknown"]
@@ -127,7 +128,8 @@ def test_families(spark):
             for m in modes
         ],
     )
-    cohort_logs = cohort_filter(logs, CohortParams(ranges=[("2023-01-01", "2024-01-01")]))
+    params = CohortParams(ranges=[("2023-01-01", "2024-01-01")], typed_rosters=typed)
+    cohort_logs = cohort_filter(logs, params)
     tables = split_event_families(cohort_logs)
     assert {n: [r["event_mode"] for r in t.collect()] for n, t in tables.items()} == {
         "solo": ["soloShowdown"],
@@ -137,6 +139,9 @@ def test_families(spark):
     }
     collected = ["players_collection", "brawlers_collection"]
     assert tables["duo"].columns == [*STANDARD_COLUMNS, *collected]
+    row = tables["duo"].first()
+    assert [row[c] for c in collected] == [[["#A", "#B"]], [["x", "y"]]]
+    assert tables["solo"].first()["players_collection"] == ["#A"]
 
     off = split_event_families(cohort_logs, FamilyParams(duo=()))["duo"]
     assert off.schema == tables["duo"].schema and off.count() == 0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.dates import parse_log_day
-from tidemark.functions.nested import json_fragments
+from tidemark.functions.nested import PLAYERS_DDL, TEAMS_DDL, json_fragments
 from tidemark.params import CohortParams, one_of, require_columns
 
 Ranges = Sequence[tuple[str, str]]
@@ -132,13 +132,13 @@ def filter_cohort(logs: DataFrame, cohort: int) -> DataFrame:
     return logs.filter(F.col("cohort") == cohort)
 
 
-def _roster_fragments(logs: DataFrame) -> DataFrame:
-    texts = {
-        name: json_fragments(name)
-        for name in ("battle_teams", "battle_players")
+def _parsed_rosters(logs: DataFrame, typed: bool) -> DataFrame:
+    parsed = {
+        name: F.from_json(name, ddl) if typed else json_fragments(name)
+        for name, ddl in (("battle_teams", TEAMS_DDL), ("battle_players", PLAYERS_DDL))
         if name in logs.columns and isinstance(logs.schema[name].dataType, T.StringType)
     }
-    return logs.withColumns(texts) if texts else logs
+    return logs.withColumns(parsed) if parsed else logs
 
 
 def cohort_filter(logs: DataFrame, params: CohortParams = CohortParams()) -> DataFrame:
@@ -157,7 +157,7 @@ def cohort_filter(logs: DataFrame, params: CohortParams = CohortParams()) -> Dat
         day = parse_log_day("battleTime", params.bad_time)
     else:
         day = F.col("battleTime").cast("date")
-    logs = _roster_fragments(logs).withColumns(
+    logs = _parsed_rosters(logs, params.typed_rosters).withColumns(
         {
             "is_starPlayer": star_flag("battle_starPlayer_tag", "player_id"),
             "battleTime": day,

@@ -118,13 +118,20 @@ class CohortParams:
     """How raw logs are cut into cohorts.
 
     ``closed`` says which range ends belong to a cohort: ``neither`` (default),
-    ``left``, ``right`` or ``both``. ``bad_time`` is ``raise`` or ``null``.
+    ``left``, ``right`` or ``both``. ``bad_time`` is ``raise`` or ``null``. Roster texts
+    become arrays of JSON texts, or with ``typed_rosters`` arrays of tag and brawler name,
+    which the roster tables then read without parsing again.
     """
 
     ranges: Sequence[tuple[str, str]] = COHORT_RANGES
     closed: str = "neither"
     exclude_missing_events: bool = True
     bad_time: str = "raise"
+    typed_rosters: bool = False
+
+    def __post_init__(self):
+        one_of("closed", self.closed, ("neither", "left", "right", "both"))
+        one_of("bad_time", self.bad_time, ("raise", "null"))
 
 
 @dataclass(frozen=True)

@@ -36,7 +36,7 @@ from tidemark.sources.writers import (
 )
 from tidemark.workload import clusters
 from tidemark.workload.retention import RAW_SQL
-from tidemark.workload.views import EVENT_RANGES, event_cohorts, raw_logs, table
+from tidemark.workload.views import EVENT_RANGES, event_cohorts, nested_logs, table
 
 
 def _tag_lists(spark, d):
@@ -129,8 +129,7 @@ def _model_round_trip(spark, d):
 def _battle_payloads(spark, d):
     # Each event as one payload document with one item, and a broken document per supplier.
     path = shared_folder(spark)
-    logs = raw_logs(spark, d)
-    players = "array<struct<tag:string,brawler:struct<name:string>>>"
+    logs = nested_logs(spark, d)
     item = F.struct(
         F.col("battleTime"),
         F.struct(
@@ -141,8 +140,8 @@ def _battle_payloads(spark, d):
         F.struct(
             F.col("battle_trophyChange").alias("trophyChange"),
             F.struct(F.col("battle_starPlayer_tag").alias("tag")).alias("starPlayer"),
-            F.from_json("battle_players", players).alias("players"),
-            F.from_json("battle_teams", f"array<{players}>").alias("teams"),
+            F.col("battle_players").alias("players"),
+            F.col("battle_teams").alias("teams"),
         ).alias("battle"),
     )
     document = F.to_json(F.struct("player_id", F.array(item).alias("items")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.nested import (
@@ -45,8 +47,9 @@ def _kept_empty(spark, d):
     return _as_text(solo_roster(raw_logs(spark, d), KEYS, keep_empty=True))
 
 
-def _families(spark, d):
-    logs = cohort_filter(raw_logs(spark, d), CohortParams(ranges=EVENT_RANGES))
+def _families(spark, d, typed=False):
+    params = CohortParams(ranges=EVENT_RANGES, typed_rosters=typed)
+    logs = cohort_filter(raw_logs(spark, d), params)
     parts = split_event_families(logs, FAMILIES)
     rows = None
     for name, part in parts.items():
@@ -176,6 +179,7 @@ QUERIES = {
     "trio_roster": _roster(trio_roster),
     "special_roster": _roster(special_roster),
     "event_families": _families,
+    "event_families_typed": partial(_families, typed=True),
     "disabled_family": _disabled_family,
     "json_map_extract": _json_map_extract,
     "json_lists": _json_lists,
@@ -193,6 +197,7 @@ ORACLES = {
     "trio_roster": _roster_sql(_team_columns(3), "k < 80"),
     "special_roster": _roster_sql(_solo_columns(), _HAS_PLAYERS, _BOSS_SQL),
     "event_families": _families_sql(),
+    "event_families_typed": _families_sql(),
     "disabled_family": f"""WITH {RAW_SQL}, {ranges_sql(EVENT_RANGES)}
         SELECT 'solo' AS family, count(*) AS n_rows FROM raw
         JOIN ranges ON CAST(ts AS DATE) > lo AND CAST(ts AS DATE) < hi

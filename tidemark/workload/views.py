@@ -84,8 +84,8 @@ def _player(tag: Column, name: Column) -> Column:
     return F.struct(tag.alias("tag"), F.struct(name.alias("name")).alias("brawler"))
 
 
-def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as raw battle logs with all 28 columns.
+def nested_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as battle records with nested rosters, under the names of the raw logs.
 
     ``k`` in ``props`` gives the star player, and the size of the rosters: 0 to 3 players,
     teams of 0 to 4. Errors have no event id; from k = 90 on the id is NULL, and so are
@@ -103,7 +103,7 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     mode = F.lit(None).cast("string")
     for event_type, name in MODES.items():
         mode = F.when(kind == event_type, name).otherwise(mode)
-    known = {
+    columns = {
         "battleTime": F.date_format("ts", "yyyyMMdd'T'HHmmss.SSS'Z'"),
         "event_id": F.when(kind == "error", 0).when(k < 90, F.col("event_id") + 1),
         "event_mode": mode,
@@ -111,22 +111,29 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "battle_trophyChange": F.floor("value"),
         "battle_starPlayer_tag": F.when(k >= 10, _tag(k)),
         "battle_players": F.when(
-            k < 80, F.to_json(F.slice(F.array(one, two, three), F.lit(1), size))
+            k < 80, F.slice(F.array(one, two, three), F.lit(1), size)
         ),
         "battle_teams": F.when(
             k < 80,
-            F.to_json(
-                F.array(
-                    F.slice(F.array(one, two, three, four), F.lit(1), size + 1),
-                    F.slice(F.array(three, one), F.lit(1), size),
-                )
+            F.array(
+                F.slice(F.array(one, two, three, four), F.lit(1), size + 1),
+                F.slice(F.array(three, one), F.lit(1), size),
             ),
         ),
         "player_id": _tag(user),
         "battle_bigBrawler_tag": _tag(size),
         "battle_bigBrawler_brawler_name": F.upper(mode),
     }
-    return events.select(
+    return events.select(*[column.alias(name) for name, column in columns.items()])
+
+
+def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The battle records as raw logs: rosters as JSON text, all 28 columns."""
+    logs = nested_logs(spark, sf_dir)
+    known = {name: F.col(name) for name in logs.columns}
+    for name in ("battle_players", "battle_teams"):
+        known[name] = F.to_json(name)
+    return logs.select(
         *[
             known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
             for f in T.StructType.fromDDL(BATTLE_LOG_DDL).fields
