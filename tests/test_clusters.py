@@ -174,7 +174,7 @@ def by_hand(points):
 
 @pytest.mark.parametrize(("block_rows", "few"), [(7, 10_000), (1000, 10_000), (2, 1)])
 def test_scores_by_hand(spark, monkeypatch, block_rows, few):
-    monkeypatch.setattr(quality, "BROADCAST_ROWS", few)
+    monkeypatch.setattr(quality, "CENTRE_ROWS", few)
     monkeypatch.setattr(quality, "BLOCK_ROWS", block_rows)
     rng = random.Random(5)
     data = [
@@ -198,6 +198,14 @@ def test_metrics_of_a_model(players, model):
     assert row["total_inertia"] == pytest.approx(model.summary.trainingCost)
 
 
+def test_rows_without_a_label_are_left_out(spark):
+    df = spark.createDataFrame(
+        [(1, [0.0]), (1, [1.0]), (2, [5.0]), (None, [9.0])], "label int, x array<double>"
+    )
+    assert as_points(df, "x", "label").count() == 3
+    assert separation(as_points(df, "x", "label")).first()["total_inertia"] == 0.5
+
+
 def test_one_cluster_is_an_error(spark):
     df = spark.createDataFrame([(1, [0.0]), (1, [1.0])], "label int, x array<double>")
     with pytest.raises(Exception, match="needs 2"):

@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import quoted
 from tidemark.functions.numbers import squared_distance
-from tidemark.operators.lookup import BROADCAST_ROWS, lookup_join
+from tidemark.operators.lookup import lookup_join
+
+# Centres that may be shared with every task; at 4,096 dimensions they take 32 MB.
+CENTRE_ROWS = 1_000
 
 # Rows of one block of a measure over all pairs; a task holds two blocks.
 BLOCK_ROWS = 4_096
@@ -25,13 +28,15 @@ def as_points(
     label: str = "cluster_labels",
     key: str | None = None,
 ) -> DataFrame:
-    """([key,] label, x) from an array column or from a list of columns."""
+    """([key,] label, x) from an array column or from a list of columns. A row without a
+    label is left out."""
     if isinstance(features, str):
         x = quoted(features).cast("array<double>")
     else:
         x = F.array(*[quoted(c).cast("double") for c in features])
     keys = [quoted(key).alias("key")] if key else []
-    return df.select(*keys, quoted(label).alias("label"), x.alias("x"))
+    points = df.select(*keys, quoted(label).alias("label"), x.alias("x"))
+    return points.dropna(subset=["label"])
 
 
 def centres(points: DataFrame) -> DataFrame:
@@ -54,9 +59,9 @@ def with_own_centre(points: DataFrame, n_clusters: int) -> DataFrame:
     and no point is moved. Beyond it they are joined with salted labels.
     """
     table = centres(points).select("label", "centre")
-    if n_clusters > BROADCAST_ROWS:
+    if n_clusters > CENTRE_ROWS:
         spread_by = "key" if "key" in points.columns else "x"
-        return lookup_join(points, table, "label", spread_by, n_clusters)
+        return lookup_join(points, table, "label", spread_by)
     whole = table.agg(F.map_from_entries(F.collect_list(F.struct("label", "centre"))))
     return points.withColumn("centre", F.try_element_at(whole.scalar(), F.col("label")))
 
@@ -179,7 +184,7 @@ def separation(points: DataFrame, n_clusters: int | None = None) -> DataFrame:
     if n_clusters is None:
         n_clusters = cluster_count(points)
     spread = cluster_spread(points, n_clusters)
-    if n_clusters <= BROADCAST_ROWS:
+    if n_clusters <= CENTRE_ROWS:
         worst = _worst_ratios(spread)
     else:
         worst = _worst_ratios_by_blocks(spread, -(-n_clusters // BLOCK_ROWS))
