@@ -23,14 +23,15 @@ def letter_share(text: Column) -> Column:
 def source_targets(
     sizes: DataFrame, weights: Sequence[float], cap: int, share: float
 ) -> DataFrame:
-    """Target of each source, given ``src, source, source_size``, one row per source.
+    """Target of each source, given ``src, source_size``, one row per source.
 
-    Sources in the order of their code points, NULL last, take the weights in turn. Targets
-    are ``min(cap * size, level * weight)`` at the one level that spends the whole budget.
+    ``src`` is the source after an equals sign, and empty for the NULL source.
+
+    Sources in the order of their code points, NULL last, take the weights in turn. Targets are ``min(cap * size, level * weight)`` at the one level that spends the whole budget.
     The level is read off the sources sorted by the level at which each is full: up to some
     source all are full, and the rest share what is left. The windows see one row per source.
     """
-    ordered = Window.orderBy(F.col("source").isNull(), "source")
+    ordered = Window.orderBy(F.col("src") == "", "src")
     turn = F.pmod(F.row_number().over(ordered) - 1, F.lit(len(weights))) + 1
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn)
     rows = sizes.withColumn("weight", weight)
@@ -82,7 +83,6 @@ def mix_sources(
     weight = letter_share(F.col("text")) if quality is None else quality
     rows = docs.select(
         F.col("doc_id"),
-        F.col("source"),
         F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("src"),
         word_count(F.col("text")).alias("size"),
         digest.alias("digest"),
@@ -90,12 +90,8 @@ def mix_sources(
     )
     rows = store(rows.withColumn("step", F.floor(F.log2("key") * STEPS)))
 
-    steps = rows.groupBy("src", "step").agg(
-        F.sum("size").alias("step_size"), F.first("source", True).alias("source")
-    )
-    sizes = steps.groupBy("src").agg(
-        F.sum("step_size").alias("source_size"), F.first("source", True).alias("source")
-    )
+    steps = rows.groupBy("src", "step").agg(F.sum("size").alias("step_size"))
+    sizes = steps.groupBy("src").agg(F.sum("step_size").alias("source_size"))
     targets = source_targets(sizes, weights, cap, share)
     running = F.sum("step_size").over(Window.partitionBy("src").orderBy("step"))
     epochs = F.coalesce(
@@ -121,7 +117,7 @@ def mix_sources(
     return mixed.select(
         "doc_id",
         "size",
-        "source",
+        F.when(F.col("src") != "", F.substring("src", 2, 1 << 30)).alias("source"),
         "source_size",
         "target",
         "copies",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UPPER
+from tidemark.llm.common import UPPER, store
 
 # Rules as (verdict, host, path).
 RULES = (
@@ -97,14 +97,15 @@ def host_reputation(
     domain that of its hosts; ``low`` is the lower bound of the host's posterior. A host
     without labelled pages has its domain's mean; without any labels every rate is 0.
 
-    The frames hold one row per host, domain or suffix, after map-side sums over pages.
+    The frames hold one row per host, domain or suffix, after map-side sums over pages; the
+    hosts' counts are stored, as every level reads them.
     """
     hosts = outcomes.groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
     )
     suffix = _suffix(F.col("host"), suffixes)
     hosts = hosts.withColumn("suffix", suffix)
-    hosts = hosts.withColumn("domain", _domain(F.col("host"), F.col("suffix")))
+    hosts = store(hosts.withColumn("domain", _domain(F.col("host"), F.col("suffix"))))
     domains = hosts.groupBy("domain", "suffix").agg(
         F.sum("n").alias("n"), F.sum("bad").alias("bad")
     )

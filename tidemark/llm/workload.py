@@ -4,13 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import is_class, table
+from tidemark.llm.language import identify_languages
 from tidemark.llm.lines import drop_common_lines
 from tidemark.llm.mixing import mix_sources
+from tidemark.llm.quality import score_quality
 from tidemark.llm.sharding import assign_shards
+from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.urls import judge_pages
 
 
+DOC_ID = F.col("doc_id")
+PREDICTED = F.when(F.col("score") >= 0.7, F.lit(1)).otherwise(F.lit(0)).alias("predicted")
+
+
+def _not_held_out(modulus, remainder):
+    return DOC_ID.isNotNull() & ~is_class(DOC_ID, modulus, remainder)
+
+
+def op1_quality_classifier(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    scored = score_quality(docs, labels, _not_held_out(4, 2))
+    return scored.select(
+        "doc_id", is_class(DOC_ID, 4, 2).alias("held_out"), "score", PREDICTED
+    )
+
+
+def op6_toxicity(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    scored = score_toxicity(docs, labels, _not_held_out(3, 1))
+    return scored.select(
+        "doc_id", is_class(DOC_ID, 3, 1).alias("held_out"), "score", PREDICTED
+    )
+
+
+def op10_language_id(spark, d):
+    found = identify_languages(table(spark, d, "documents"), _not_held_out(5, 0))
+    return found.select(
+        "doc_id", is_class(DOC_ID, 5, 0).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op2_url_filters(spark, d):
     judged = judge_pages(table(spark, d, "pages"), table(spark, d, "labels"))
     rates = {c: F.round(c, 9) for c in ("bad_rate", "bad_low")}
@@ -43,10 +77,13 @@ def op9_sharding(spark, d):
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_url_filters": op2_url_filters,
     "op4_mixing": op4_mixing,
+    "op6_toxicity": op6_toxicity,
     "op7_line_dedup": op7_line_dedup,
     "op9_sharding": op9_sharding,
+    "op10_language_id": op10_language_id,
 }
 
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
