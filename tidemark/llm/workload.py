@@ -14,34 +14,38 @@ from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.urls import judge_pages
 
 
-DOC_ID = F.col("doc_id")
-PREDICTED = F.when(F.col("score") >= 0.7, F.lit(1)).otherwise(F.lit(0)).alias("predicted")
+def _held_out(modulus, remainder):
+    return is_class(F.col("doc_id"), modulus, remainder).alias("held_out")
 
 
-def _not_held_out(modulus, remainder):
-    return DOC_ID.isNotNull() & ~is_class(DOC_ID, modulus, remainder)
+def _learnable(modulus, remainder):
+    return F.col("doc_id").isNotNull() & ~is_class(F.col("doc_id"), modulus, remainder)
+
+
+def _predicted():
+    return F.when(F.col("score") >= 0.7, F.lit(1)).otherwise(F.lit(0)).alias("predicted")
 
 
 def op1_quality_classifier(spark, d):
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
-    scored = score_quality(docs, labels, _not_held_out(4, 2))
+    scored = score_quality(docs, labels, _learnable(4, 2))
     return scored.select(
-        "doc_id", is_class(DOC_ID, 4, 2).alias("held_out"), "score", PREDICTED
+        "doc_id", _held_out(4, 2), "score", _predicted()
     )
 
 
 def op6_toxicity(spark, d):
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
-    scored = score_toxicity(docs, labels, _not_held_out(3, 1))
+    scored = score_toxicity(docs, labels, _learnable(3, 1))
     return scored.select(
-        "doc_id", is_class(DOC_ID, 3, 1).alias("held_out"), "score", PREDICTED
+        "doc_id", _held_out(3, 1), "score", _predicted()
     )
 
 
 def op10_language_id(spark, d):
-    found = identify_languages(table(spark, d, "documents"), _not_held_out(5, 0))
+    found = identify_languages(table(spark, d, "documents"), _learnable(5, 0))
     return found.select(
-        "doc_id", is_class(DOC_ID, 5, 0).alias("held_out"), "lang_pred", "score"
+        "doc_id", _held_out(5, 0), "lang_pred", "score"
     )
 
 
