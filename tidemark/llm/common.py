@@ -43,3 +43,16 @@ def store(df: DataFrame, folder: str | None = None) -> DataFrame:
     path = folder or shared_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def lookup(rows: DataFrame, counts: DataFrame, keys: list[str], how: str, salts: int = 8) -> DataFrame:
+    """Join to a frame with one row per key, with every key split in several.
+
+    The split keeps a hot key from one task, and leaves Spark free to split it further, as
+    neither side comes ready partitioned by the join's keys. ``rows`` spread over the salts by
+    a hash of all their other columns.
+    """
+    rest = [c for c in rows.columns if c not in keys]
+    salted = rows.withColumn("_salt", F.pmod(F.hash(*rest), F.lit(salts)))
+    spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return salted.join(counts.withColumn("_salt", spread), [*keys, "_salt"], how).drop("_salt")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import is_class, table
+from tidemark.llm.dedup import near_duplicates
 from tidemark.llm.language import identify_languages
 from tidemark.llm.lines import drop_common_lines
 from tidemark.llm.mixing import mix_sources
@@ -55,6 +56,10 @@ def op2_url_filters(spark, d):
     return judged.withColumns(rates)
 
 
+def op3_minhash_dedup(spark, d):
+    return near_duplicates(table(spark, d, "documents"))
+
+
 def op4_mixing(spark, d):
     mixed = mix_sources(table(spark, d, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -83,6 +88,7 @@ def op9_sharding(spark, d):
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_url_filters": op2_url_filters,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op4_mixing": op4_mixing,
     "op6_toxicity": op6_toxicity,
     "op7_line_dedup": op7_line_dedup,
