@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import is_class, table
+from tidemark.llm.decontamination import find_leaks
 from tidemark.llm.dedup import near_duplicates
 from tidemark.llm.language import identify_languages
 from tidemark.llm.lines import drop_common_lines
@@ -72,6 +73,10 @@ def op7_line_dedup(spark, d):
     )
 
 
+def op8_decontamination(spark, d):
+    return find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op9_sharding(spark, d):
     sharded = assign_shards(table(spark, d, "documents"))
     return sharded.select(
@@ -92,6 +97,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op6_toxicity": op6_toxicity,
     "op7_line_dedup": op7_line_dedup,
+    "op8_decontamination": op8_decontamination,
     "op9_sharding": op9_sharding,
     "op10_language_id": op10_language_id,
 }
