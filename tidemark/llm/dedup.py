@@ -174,13 +174,14 @@ def _by_leaders(members: DataFrame, sets: DataFrame, sketches: DataFrame) -> Dat
         return members.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
     links = measured.where("linked").select("a", "b")
     known = components(links)
+    # What a leader covers is in the leader's component, so members of it need no measuring.
     of = [known.select(F.col("id").alias(x), F.col("component").alias("c" + x)) for x in "ab"]
-    inner = links.select(F.col("a").alias("leader"), "a").distinct()
-    inner = inner.unionByName(links.select(F.col("a").alias("leader"), F.col("b").alias("a")))
-    border = measured.where(~F.col("linked")).select(F.col("a").alias("leader"), "b")
-    inner = inner.join(of[0], "a", "left").withColumn("ca", F.coalesce("ca", "a"))
-    border = border.join(of[1], "b", "left").withColumn("cb", F.coalesce("cb", "b"))
-    across = inner.join(border, "leader").where("ca != cb").select(
+    border = measured.where(~F.col("linked")).select("a", "b")
+    border = border.join(of[0], "a", "left").join(of[1], "b", "left")
+    border = border.where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+    border = border.select(F.col("a").alias("leader"), "b")
+    inner = links.select(F.col("a").alias("leader"), F.explode(F.array("a", "b")).alias("a"))
+    across = inner.distinct().join(border, "leader").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     )
     across = _measured(_similar(across.distinct(), sketches), sets, PERCENT)
