@@ -12,6 +12,7 @@ from tidemark.llm.lines import drop_common_lines
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality import score_quality
 from tidemark.llm.sharding import assign_shards
+from tidemark.llm.topk import top_products
 from tidemark.llm.toxicity import score_toxicity
 from tidemark.llm.urls import judge_pages
 
@@ -36,6 +37,10 @@ def op1_quality_classifier(spark, d):
     )
 
 
+def op5_exact_topk(spark, d):
+    return top_products(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_toxicity(spark, d):
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
     scored = score_toxicity(docs, labels, _learnable(3, 1))
@@ -95,6 +100,7 @@ QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_mixing": op4_mixing,
+    "op5_exact_topk": op5_exact_topk,
     "op6_toxicity": op6_toxicity,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
@@ -206,6 +212,22 @@ SELECT doc_id, size, source_size, target, source,
 FROM placed
 """
 
+_OP5 = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 _OP7 = f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -223,5 +245,6 @@ FROM marked GROUP BY doc_id
 ORACLES = {
     "op2_url_filters": _OP2,
     "op4_mixing": _OP4,
+    "op5_exact_topk": _OP5,
     "op7_line_dedup": _OP7,
 }
