@@ -244,3 +244,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One document of each group, that of the least id, with all columns.
+
+    Documents are dropped by id: repeated rows of a kept id all stay.
+    """
+    groups = near_duplicates(docs)
+    gone = groups.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")

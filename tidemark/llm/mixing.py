@@ -62,7 +62,7 @@ def mix_sources(
 ) -> DataFrame:
     """How often each document enters a mix of sources with given weights.
 
-    Returns ``doc_id, size, source, source_size, target, copies, taken``. A source takes
+    Returns ``doc_id, size, source, source_size, target, copies, taken, digest``. A source takes
     every document as often as its target holds the source whole; the rest of the target is
     filled by weighted sampling without replacement: each document draws the key
     ``-ln(u) / quality``, and documents come in the order of their keys until the target is
@@ -77,7 +77,7 @@ def mix_sources(
     No source is ever sorted whole: keys fall into narrow steps, steps are summed with
     map-side sums, and only rows of one step of one source are put in order.
     """
-    digest = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("text")))
+    digest = _digest(docs)
     draw = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
     u = (draw + 0.5) / F.lit(2.0**52)
     weight = letter_share(F.col("text")) if quality is None else quality
@@ -122,4 +122,24 @@ def mix_sources(
         "target",
         "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
+        "digest",
     )
+
+
+def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs``, each as often as :func:`mix_sources` takes it, with all columns.
+
+    Rows equal in id and text are not told apart: each comes as often as they do on average.
+    """
+    copies = mix_sources(docs, **settings).groupBy("digest").agg(
+        F.round(F.avg("copies")).cast("int").alias("copies")
+    )
+    copies = copies.where(F.col("copies") > 0)
+    joined = docs.join(copies, _digest(docs) == copies["digest"])
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    repeated = F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")
+    return joined.select(row, copies["copies"].alias("copies")).select("row", repeated).select("row.*")
+
+
+def _digest(docs: DataFrame) -> Column:
+    return F.md5(F.concat_ws(":", docs["doc_id"].cast("string"), docs["text"]))

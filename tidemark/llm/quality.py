@@ -245,6 +245,18 @@ def quality_score(model: QualityModel | None, text: Column) -> Column:
     return score(text)
 
 
+def good_documents(
+    docs: DataFrame,
+    labels: DataFrame,
+    learn: Column | None = None,
+    least: float = 0.5,
+    **settings,
+) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``least``, with all their columns."""
+    model = fit_quality(docs, labels, learn, **settings)
+    return docs.where(quality_score(model, docs["text"]) >= least)
+
+
 def score_quality(
     docs: DataFrame, labels: DataFrame, learn: Column | None = None, **settings
 ) -> DataFrame:

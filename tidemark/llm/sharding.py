@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,15 +47,16 @@ def jump_shards(key: Column, shards: int) -> Column:
     return F.when(usual["next"] > shards, usual).otherwise(_walk(key, shards, shards + 1))
 
 
-def assign_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
+def assign_shards(docs: DataFrame, shards: int = 40, carry: Sequence[str] = ()) -> DataFrame:
     """Shard and place within the shard of every document.
 
-    Returns ``doc_id, size, text_crc32, shard, slot, grown_shard``. ``size`` is the UTF-8
+    Returns ``doc_id, size, text_crc32, shard, slot, grown_shard``, and the columns of
+    ``docs`` named in ``carry``, which travel with the rows. ``size`` is the UTF-8
     length of the text plus 16, ``slot`` counts from 0 without gaps in each shard, and
     ``grown_shard`` is the shard if there were one more. Shards depend on ``doc_id`` alone:
     rows with one ``doc_id`` share a shard, and so do all rows with a NULL one. Repeated rows
     get slots of their own. A NULL text has size 16 and the checksum of an empty text. An
-    empty table gives no rows. Other columns are not read.
+    empty table gives no rows. Columns not carried are not read.
 
     Slots are numbered inside buckets of a shard, which are a hash of id and text and grow in
     number with the rows, and are then shifted by the counts of the buckets before.
@@ -67,6 +70,7 @@ def assign_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
         F.crc32(text).alias("text_crc32"),
         F.xxhash64(F.lit("slot"), F.col("doc_id"), text).alias("mix"),
         places.alias("place"),
+        F.struct(F.lit(0).alias("none"), *[docs[c] for c in carry]).alias("doc"),
     )
     rows = rows.select(
         "doc_id",
@@ -76,6 +80,7 @@ def assign_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
         F.col("place.now").cast("int").alias("shard"),
         F.col("place.grown").cast("int").alias("grown_shard"),
         F.pmod("mix", F.lit(buckets)).alias("bucket"),
+        "doc",
     )
     counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")
@@ -88,4 +93,5 @@ def assign_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
         "shard",
         (F.row_number().over(order) - 1 + F.col("before")).alias("slot"),
         "grown_shard",
+        *[F.col("doc")[c].alias(c) for c in carry],
     )
