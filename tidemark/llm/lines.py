@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, ascii_lower
+from tidemark.llm.common import SPACES, ascii_lower, lookup
 
 
 def _lines(text: Column) -> Column:
@@ -57,22 +57,24 @@ def drop_common_lines(docs: DataFrame, min_chars: int = 1, min_docs: int = 10) -
     a text that loses all its lines. A NULL ``doc_id`` is kept. Other columns are not read.
 
     Lines travel as hashes: they are counted with map-side sums, and only the positions of
-    dropped lines come back to a document, by a hash of its id and text.
+    dropped lines come back to a document, by a hash of its id and text. A line that very many
+    documents share is looked up in several tasks. Explodes are outer, as inner ones would
+    first ask for the number of lines and so split each text twice.
     """
     doc_id, text = F.col("doc_id"), F.col("text")
     docs = docs.select("doc_id", "text")
     row = [F.xxhash64(doc_id, text), F.xxhash64(F.lit("row"), doc_id, text)]
 
-    seen = docs.select(F.explode(F.array_distinct(_keys(text))).alias("key"))
+    seen = docs.select(F.explode_outer(F.array_distinct(_keys(text))).alias("key"))
     seen = seen.where(F.length("key") >= min_chars).select(*_hashes(F.col("key")))
     common = seen.groupBy("h1", "h2").count().where(F.col("count") >= min_docs)
 
     placed = docs.select(
-        row[0].alias("r1"), row[1].alias("r2"), F.posexplode(_keys(text)).alias("pos", "key")
+        row[0].alias("r1"), row[1].alias("r2"), F.posexplode_outer(_keys(text)).alias("pos", "key")
     )
     placed = placed.where(F.length("key") >= min_chars)
     placed = placed.select("r1", "r2", "pos", *_hashes(F.col("key")))
-    dropped = placed.join(common, ["h1", "h2"], "left_semi").groupBy("r1", "r2")
+    dropped = lookup(placed, common, ["h1", "h2"], "left_semi").groupBy("r1", "r2")
     dropped = dropped.agg(F.array_sort(F.collect_set("pos")).alias("dropped"))
 
     joined = docs.withColumns({"r1": row[0], "r2": row[1]}).join(dropped, ["r1", "r2"], "left")
