@@ -17,8 +17,8 @@ ROW_BITS, DIMS = 14, 64
 ROWS = 1 << ROW_BITS
 # Neighbours on each side that count, and entries of a word's random index vector.
 WINDOW, ENTRIES = 2, 4
-# Words that take part in one step of numpy work.
-BLOCK = 1 << 17
+# Words that take part in one step of numpy work: counting, and pooling.
+BLOCK, POOLED = 1 << 17, 1 << 13
 
 
 def _rows(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -94,18 +94,16 @@ def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """Per text: mean and spread of its words' vectors; zeros without words."""
     hashes, at = words(texts, CLASSES)
     rows, text = _rows(hashes, at), owners(at)
-    n = len(texts)
-    total, squares = np.zeros((n, DIMS)), np.zeros((n, DIMS))
-    for begin in range(0, len(rows), BLOCK):
-        own = text[begin : begin + BLOCK]
-        part = vectors[rows[begin : begin + BLOCK]]
+    # Vectors and their squares side by side: one gather and one sum for both.
+    table = np.hstack([vectors, vectors * vectors]).astype(np.float32)
+    sums = np.zeros((len(texts), 2 * DIMS))
+    for begin in range(0, len(rows), POOLED):
+        own = text[begin : begin + POOLED]
         heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        total[own[heads]] += np.add.reduceat(part, heads, axis=0)
-        squares[own[heads]] += np.add.reduceat(part * part, heads, axis=0)
-    count = np.maximum(np.diff(at), 1)[:, None]
-    mean = total / count
-    spread = np.sqrt(np.maximum(squares / count - mean * mean, 0))
-    return np.hstack([mean, spread])
+        sums[own[heads]] += np.add.reduceat(table[rows[begin : begin + POOLED]], heads, axis=0)
+    sums /= np.maximum(np.diff(at), 1)[:, None]
+    mean, squares = sums[:, :DIMS], sums[:, DIMS:]
+    return np.hstack([mean, np.sqrt(np.maximum(squares - mean * mean, 0))])
 
 
 @dataclass
@@ -190,7 +188,7 @@ def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
     learn: Column | None = None,
-    rows: int = 20_000,
+    rows: int = 12_000,
     hidden: int = 32,
     epochs: int = 30,
     decay: float = 1e-3,
@@ -219,11 +217,13 @@ def fit_quality(
     )
     if not len(got):
         return None
-    x = np.stack([got[c].to_numpy() for c in names], 1).astype(np.float64)
-    y = (got["y"].to_numpy() > 0).astype(float)
+    x = np.stack([got[c].to_numpy() for c in names], 1)
+    y = (got["y"].to_numpy() > 0).astype(np.float32)
+    del got
     centre, scale = x.mean(0), x.std(0) + 1e-6
     part = np.arange(len(x)) % 5 == 0 if len(x) >= 50 else np.zeros(len(x), bool)
     weights = _train((x[~part] - centre) / scale, y[~part], hidden, epochs, decay)
+    pa.default_memory_pool().release_unused()
     model = QualityModel(vectors, centre, scale, weights, 1.0)
     if part.any():
         model.temperature = _temperature(model.logits(x[part]), y[part])
