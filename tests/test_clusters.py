@@ -182,7 +182,9 @@ def test_scores_by_hand(spark, monkeypatch, block_rows, few):
     ] + [(40, 9, [5.0, 5.0])]
     df = spark.createDataFrame(data, "id int, label int, x array<double>")
     points = as_points(df, "x", "label", key="id")
-    got = cluster_metrics(points, exact_silhouette=True, block_rows=block_rows).first()
+    got = cluster_metrics(points).first().asDict()
+    widths = silhouette_values(points, block_rows)
+    got["silhouette_score"] = widths.agg({"silhouette": "avg"}).first()[0]
     expected = by_hand([(label, x) for _, label, x in data])
     for name, value in expected.items():
         assert got[name] == pytest.approx(value, abs=1e-9)
@@ -208,8 +210,9 @@ def test_rows_without_a_label_are_left_out(spark):
 
 def test_one_cluster_is_an_error(spark):
     df = spark.createDataFrame([(1, [0.0]), (1, [1.0])], "label int, x array<double>")
-    with pytest.raises(Exception, match="needs 2"):
-        separation(as_points(df, "x", "label")).collect()
+    for score in ("davies_bouldin_score", "calinski_harabasz_score"):
+        with pytest.raises(Exception, match="needs 2"):
+            separation(as_points(df, "x", "label")).select(score).collect()
 
 
 def test_equal_centres_and_tight_clusters(spark):
@@ -224,5 +227,75 @@ def test_equal_centres_and_tight_clusters(spark):
     assert (row["total_inertia"], row["calinski_harabasz_score"]) == (0.0, 1.0)
 
 
+def test_near_centres_count_the_same_for_any_number_of_clusters(spark, monkeypatch):
+    far = 1e8
+    data = [(g, [far + c + e]) for g, c in ((1, 0.0), (2, 1e-3), (3, 4.0)) for e in (0, 2e-3)]
+    points = as_points(spark.createDataFrame(data, "label int, x array<double>"), "x", "label")
+    scores = []
+    for few in (1_000, 1):
+        monkeypatch.setattr(quality, "CENTRE_ROWS", few)
+        scores.append(separation(points).first()["davies_bouldin_score"])
+    assert scores[0] == pytest.approx(scores[1]) and scores[0] > 1.0
+    monkeypatch.undo()
+    values = [(i, i // 2, [far + v]) for i, v in enumerate((0.0, 1.0, 2.0, 50.0))]
+    rows = as_points(
+        spark.createDataFrame(values, "id int, label int, x array<double>"), "x", "label", "id"
+    )
+    sums = {(r["key"], r["other"]): r["total"] for r in quality.distance_sums(rows, 2).collect()}
+    assert (sums[0, 0], sums[0, 1], sums[3, 0], sums[3, 1]) == (1.0, 52.0, 99.0, 48.0)
+    with pytest.raises(ValueError, match="unique"):
+        silhouette_values(rows.union(rows))
+
+
+def test_points_are_summed_without_a_sort(spark):
+    rows = spark.range(100).selectExpr("cast(id % 3 as int) label", "array(cast(id as double)) x")
+    spread = quality.cluster_spread(as_points(rows, "x", "label"), 3)
+    spread.collect()
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_silhouette_to_centres(spark, monkeypatch):
+    data = [(1, [0.0]), (1, [2.0]), (2, [10.0]), (3, [20.0]), (3, [20.0])]
+    points = as_points(spark.createDataFrame(data, "label int, x array<double>"), "x", "label")
+    expected = ((10 - 1) / 10 + (8 - 1) / 8 + 1 + 1 + 1) / 5
+    for few in (1_000, 2):
+        monkeypatch.setattr(quality, "CENTRE_ROWS", few)
+        got = quality.silhouette_to_centres(points).first()[0]
+        assert got == pytest.approx(expected)
+
+
+def test_more_starts_never_cost_more(players):
+    vectors = with_vector(players, FEATURES)
+    costs = [fit_kmeans(vectors, POINT, 7, n_init=n).summary.trainingCost for n in (1, 4)]
+    assert costs[1] <= costs[0]
+    assert ClusterParams().n_init == 10
+
+
+def test_grid_survives_empty_and_one_cluster_folds(spark):
+    rows = spark.createDataFrame(
+        [(f"p{i}", float(i % 2), 0.0) for i in range(6)], "player_id string, a double, b double"
+    )
+    params = ClusterParams(max_n_cluster=3, cross_validations=5, metric="silhouette", n_init=1)
+    grid = kmeans_grid(rows, ["a", "b"], params)
+    assert 0 < grid.scores.count() <= 5
+    assert all(-1 <= r["silhouette"] <= 1 for r in grid.scores.collect())
+    params = ClusterParams(max_n_cluster=3, cross_validations=5, n_init=1)
+    found = kmeans_grid(rows, ["a", "b"], params).scores
+    folds = with_fold(rows, "player_id", 5).select("fold").distinct().count()
+    assert found.count() == folds
+
+
+def test_centres_are_broadcast_in_bounded_parts(players, model, monkeypatch):
+    from tidemark.operators import clusters
+
+    folded = with_fold(with_vector(players, FEATURES), "player_id", 2)
+    fits = [(p, f, centre_lists(model)) for p in (0, 1) for f in (0, 1)]
+    whole = sorted(map(tuple, held_out_inertia(folded, fits).collect()))
+    monkeypatch.setattr(clusters, "BROADCAST_VALUES", 10)
+    assert sorted(map(tuple, held_out_inertia(folded, fits).collect())) == whole
+    assert len(whole) == 4
+
+
 def test_vector_column(players):
     assert VECTOR in with_vector(players, FEATURES).columns

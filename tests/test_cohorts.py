@@ -90,6 +90,29 @@ def test_a_long_range_list_gives_the_same(spark, monkeypatch):
         assert sorted(map(tuple, rows.collect())) == short
 
 
+def test_times_count_with_their_day_for_any_number_of_ranges(spark):
+    times = [dt.datetime(2023, 1, 31, 23, 59), dt.datetime(2023, 1, 2, 0, 0)]
+    rows = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+    empty = [(f"19{10 + i}-01-01", f"19{10 + i}-02-01") for i in range(70)]
+    few = assign_cohorts(rows, "t", RANGES[:1])
+    many = assign_cohorts(rows, "t", [*RANGES[:1], *empty])
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+    assert few.count() == 2
+
+
+def test_malformed_times_raise_wherever_they_sort(spark):
+    good = {"player_id": "#A", "battleTime": stamp("2023-01-05"), "event_id": 5}
+    for text in ("garbage", "2023-01-05 10:00", "0 1"):
+        bad = {"player_id": "#B", "battleTime": text, "event_id": 5}
+        logs = raw_logs(spark, [good, bad])
+        with pytest.raises(Exception, match="CANNOT_PARSE|cannot be parsed|could not be parsed"):
+            cohort_filter(logs, CohortParams(ranges=RANGES)).collect()
+        kept = cohort_filter(logs, CohortParams(ranges=RANGES, bad_time="null"))
+        assert [r["player_id"] for r in kept.collect()] == ["#A"]
+    logs = raw_logs(spark, [good, {"player_id": "#C", "battleTime": None, "event_id": 5}])
+    assert cohort_filter(logs, CohortParams(ranges=RANGES)).count() == 1
+
+
 def test_no_ranges_is_an_error(spark):
     with pytest.raises(ValueError, match="at least one cohort range"):
         assign_cohorts(days_frame(spark, ["2023-01-02"]), "day", [])

@@ -129,6 +129,9 @@ def test_versions(spark, tmp_path):
     append_version(spark.range(5), path, "2024-01-01T10:00:00.000Z")
     assert read_version(spark, path).count() == 2
     assert read_version(spark, path, "2024-01-01T10:00:00.000Z").count() == 5
+    append_version(spark.range(7), path, "2024-01-02T10:00:00.000Z")
+    assert read_version(spark, path).count() == 7
+    assert read_version(spark, path, "2024-01-01T10:00:00.000Z").count() == 5
     append_version(spark.range(3), str(tmp_path / "n"), "007")
     assert read_version(spark, str(tmp_path / "n")).first()["version"] == "007"
 

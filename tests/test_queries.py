@@ -8,8 +8,6 @@ from tests.oracle import differences, duck
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
-# Fits 56 models; test_clusters covers the grid search on a small fixture.
-SLOW = {"kmeans_grid", "kmeans_best"}
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +28,6 @@ def test_query_matches_sql(spark, con, name):
     assert differences(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_gives_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 # may have one to six digits.
 LOG_TIME_FORMAT = "yyyyMMdd'T'HHmmss.SSSSSS'Z'"
 
+# What a text in that format looks like.
+LOG_TIME_PATTERN = r"^\d{8}T\d{6}\.\d{1,6}Z$"
+
 WEEKLY = "weekly"
 MONTHLY = "monthly"
 

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import quoted
 from tidemark.functions.numbers import squared_distance
-from tidemark.operators.lookup import BROADCAST_ROWS
 from tidemark.operators.shape import union_by_position
 from tidemark.params import ClusterParams
 
@@ -28,6 +27,9 @@ START_METHODS = {"k-means++": "k-means||", "k-means||": "k-means||", "random": "
 
 VECTOR = "_features"
 
+# Values of centres that are broadcast together: 16 MB of doubles.
+BROADCAST_VALUES = 2_000_000
+
 
 @dataclass(frozen=True)
 class GridPoint:
@@ -97,28 +99,36 @@ def _estimator(k: int, init: str, max_iter: int, shift: float, seed: int) -> KMe
 
 
 def fit_kmeans(
-    vectors: DataFrame, point: GridPoint, seed: int, variance: float | None = None
+    vectors: DataFrame,
+    point: GridPoint,
+    seed: int,
+    variance: float | None = None,
+    n_init: int = 1,
 ) -> KMeansModel:
-    """k-means with one setting on a frame that has the feature vector.
+    """k-means with one setting on a frame that has the feature vector: of ``n_init`` starts,
+    with seeds counted on from ``seed``, the fit of the lowest cost.
 
     ``tol`` is relative, as usual for k-means: the fit ends when the squared shifts of all
     centres sum to ``tol`` times the mean variance of the features. Spark ML bounds the
     shift of each centre, so it is given each centre's share of that sum. Without a
-    known ``variance`` it takes a pass of its own, and the rows are cached for both.
+    known ``variance`` it takes a pass of its own, and rows read more than once are cached.
     """
     cached = vectors.storageLevel != StorageLevel.NONE
-    own_pass = variance is None and not cached
-    if own_pass:
+    own_cache = not cached and (variance is None or n_init > 1)
+    if own_cache:
         vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if variance is None:
             variance = mean_variance(vectors)
         shift = math.sqrt(point.tol * variance / point.n_clusters)
-        return _estimator(
-            point.n_clusters, point.init, point.max_iter, shift, seed
-        ).fit(vectors)
+        starts = (
+            _estimator(point.n_clusters, point.init, point.max_iter, shift, seed + i)
+            for i in range(n_init)
+        )
+        fits = (start.fit(vectors) for start in starts)
+        return min(fits, key=lambda model: model.summary.trainingCost)
     finally:
-        if own_pass:
+        if own_cache:
             vectors.unpersist()
 
 
@@ -131,23 +141,35 @@ def held_out_inertia(
     folded: DataFrame, fitted: Sequence[tuple[int, int, list[list[float]]]]
 ) -> DataFrame:
     """(point, fold, inertia): sum of squared distances of a fold's rows to their nearest
-    centre, for centres given as (point, fold, centres). One pass scores all of them.
-
-    The centres come from the driver, one row per grid point and fold, and are broadcast
-    unless the grid is very long.
+    centre, for centres given as (point, fold, centres). One pass scores as many of them as
+    fit in a broadcast of bounded size; a longer grid takes more passes.
     """
     spark = folded.sparkSession
-    table = spark.createDataFrame(
-        list(fitted), "point int, fold int, centres array<array<double>>"
-    )
     x = F.col("_x")
     nearest = F.array_min(F.transform("centres", lambda c: squared_distance(x, c)))
-    return (
-        folded.select("fold", vector_to_array(VECTOR).alias("_x"))
-        .join(F.broadcast(table) if len(fitted) <= BROADCAST_ROWS else table, "fold")
-        .groupBy("point", "fold")
-        .agg(F.sum(nearest).alias("inertia"))
-    )
+    rows = folded.select("fold", vector_to_array(VECTOR).alias("_x"))
+    parts = []
+    for some in _within_broadcast(fitted):
+        table = spark.createDataFrame(
+            some, "point int, fold int, centres array<array<double>>"
+        )
+        scored = rows.join(F.broadcast(table), "fold").groupBy("point", "fold")
+        parts.append(scored.agg(F.sum(nearest).alias("inertia")))
+    return union_by_position(parts)
+
+
+def _within_broadcast(fitted: Sequence[tuple[int, int, list[list[float]]]]) -> list[list]:
+    """The fits cut into lists whose centres have a bounded number of values in all."""
+    parts: list[list] = [[]]
+    room = BROADCAST_VALUES
+    for fit in fitted:
+        size = sum(len(c) for c in fit[2])
+        if parts[-1] and size > room:
+            parts.append([])
+            room = BROADCAST_VALUES
+        parts[-1].append(fit)
+        room -= size
+    return parts
 
 
 def _held_out_silhouette(
@@ -156,6 +178,9 @@ def _held_out_silhouette(
     def score(item):
         p, fold, model = item
         rows = model.transform(folded.filter(F.col("fold") == fold))
+        if rows.select("cluster_labels").distinct().limit(2).count() < 2:
+            # All rows of the fold in one cluster: the lowest value there is.
+            return p, fold, None if rows.isEmpty() else -1.0
         value = ClusteringEvaluator(
             featuresCol=VECTOR, predictionCol="cluster_labels"
         ).evaluate(rows)
@@ -178,8 +203,9 @@ def kmeans_grid(
     fold, keep the setting with the best mean and refit it on all rows.
 
     ``metric='inertia'`` prefers the lowest held-out inertia, ``'silhouette'`` the highest
-    held-out silhouette. The rows are cached for the many passes; fits run
-    ``params.parallelism`` at a time.
+    held-out silhouette. A fold without rows has no score and stays out of the mean; one
+    whose rows fall into a single cluster has the lowest silhouette. The rows are cached for
+    the many passes; fits run ``params.parallelism`` at a time.
     """
     spark = df.sparkSession
     points = grid_points(params)
@@ -193,37 +219,39 @@ def kmeans_grid(
             for i in range(len(points))
         ]
 
-        def fit(job):
+        def fit(rows, point):
+            return fit_kmeans(rows, point, params.random_state, variance, params.n_init)
+
+        def without_fold(job):
             i, fold = job
             rows = folded.filter(F.col("fold") != fold)
-            model = fit_kmeans(rows, points[i], params.random_state, variance)
+            model = fit(rows, points[i])
             return i, fold, model
 
         with ThreadPool(params.parallelism) as pool:
-            models = pool.map(fit, jobs, chunksize=1)
+            models = pool.map(without_fold, jobs, chunksize=1)
         if params.metric == "inertia":
             scored = held_out_inertia(
                 folded, [(i, fold, centre_lists(m)) for i, fold, m in models]
             )
         else:
             scored = _held_out_silhouette(folded, models, params.parallelism)
-        rows = {(r["point"], r["fold"]): r[params.metric] for r in scored.collect()}
-        values = {
-            i: [rows.get((i, f), 0.0) for f in range(params.cross_validations)]
-            for i in range(len(points))
-        }
-        means = {i: sum(v) / len(v) for i, v in values.items()}
+        values: dict[int, dict[int, float]] = {i: {} for i in range(len(points))}
+        for r in scored.collect():
+            if r[params.metric] is not None:
+                values[r["point"]][r["fold"]] = r[params.metric]
+        means = {i: sum(v.values()) / len(v) for i, v in values.items() if v}
         pick = min if params.metric == "inertia" else max
         best = pick(means, key=lambda i: means[i])
-        model = fit_kmeans(folded, points[best], params.random_state, variance)
+        model = fit(folded, points[best])
     finally:
         folded.unpersist()
 
     scores = spark.createDataFrame(
         [
-            (p.n_clusters, p.init, p.max_iter, p.tol, f, float(values[i][f]))
+            (p.n_clusters, p.init, p.max_iter, p.tol, f, float(value))
             for i, p in enumerate(points)
-            for f in range(params.cross_validations)
+            for f, value in sorted(values[i].items())
         ],
         "n_clusters int, init string, max_iter int, tol double, fold int, "
         f"{params.metric} double",
@@ -285,6 +313,23 @@ def assign_clusters(
     )
 
 
+def assign_to_centres(
+    df: DataFrame,
+    centres: Sequence[Sequence[float]],
+    features: Sequence[str],
+    key: str = "player_id",
+) -> DataFrame:
+    """(key, cluster_labels, features): as :func:`assign_clusters`, for given centres; the
+    first of equally near ones."""
+    x = F.array(*[quoted(c).cast("double") for c in features])
+    points = [F.array(*[F.lit(float(v)) for v in c]) for c in centres]
+    gaps = F.array(*[squared_distance(x, c) for c in points])
+    nearest = (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int")
+    return df.select(
+        key, nearest.alias("cluster_labels"), *[quoted(c) for c in features]
+    )
+
+
 def _pair_rows(
     labelled: DataFrame,
     model: KMeansModel,

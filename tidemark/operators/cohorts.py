@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.dates import parse_log_day
+from tidemark.functions.dates import LOG_TIME_PATTERN, parse_log_day
+from tidemark.functions.names import quoted
 from tidemark.functions.nested import PLAYERS_DDL, TEAMS_DDL, json_fragments
+from tidemark.operators.lookup import lookup_join
 from tidemark.params import CohortParams, one_of, require_columns
 
 Ranges = Sequence[tuple[str, str]]
@@ -73,12 +75,19 @@ def range_table(
 
 
 def within_ranges(
-    logs: DataFrame, stamp: str, ranges: Ranges, closed: str = "neither"
+    logs: DataFrame,
+    stamp: str,
+    ranges: Ranges,
+    closed: str = "neither",
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """Keep the span from the first to the last range day.
 
     The comparison is made on the column as it is stored (log text, date or time), so
-    the predicate reaches the file scan and skips row groups outside the span.
+    the predicate reaches the file scan and skips row groups outside the span. Rows without
+    a time are in no range. Log text that is not a log time is compared as text, or stays
+    with ``keep_malformed``, for a later step to raise on; then texts are looked at one by
+    one, and only dates and times are skipped by row groups.
     """
     days = _inclusive(ranges, closed)
     first = min(d for _, d, _ in days)
@@ -88,7 +97,10 @@ def within_ranges(
         lo, hi = F.lit(first.strftime("%Y%m%d")), F.lit(after.strftime("%Y%m%d"))
     else:
         lo, hi = (F.lit(d.isoformat()).cast(dtype) for d in (first, after))
-    return logs.filter((F.col(stamp) >= lo) & (F.col(stamp) < hi))
+    inside = (F.col(stamp) >= lo) & (F.col(stamp) < hi)
+    if keep_malformed and isinstance(dtype, T.StringType):
+        inside = inside | ~F.col(stamp).rlike(LOG_TIME_PATTERN)
+    return logs.filter(inside)
 
 
 def assign_cohorts(
@@ -96,21 +108,25 @@ def assign_cohorts(
 ) -> DataFrame:
     """One copy of a row per cohort range that holds its day; other rows vanish.
 
-    A short list of ranges is broadcast and matched by range. A long one is written
-    out as (cohort, day) rows and matched by equality; these are broadcast up to a known
-    number, and beyond it Spark picks the join.
+    A time counts with its date. A short list of ranges is broadcast and matched by range. A
+    long one is written out as (cohort, day) rows and matched by equality; these are
+    broadcast up to a known number, and beyond it joined with salted days.
     """
+    date = F.col(day).cast("date")
     table = range_table(logs.sparkSession, ranges, closed)
     if len(ranges) <= RANGE_JOIN_ROWS:
-        held = F.col(day).between(F.col("first_day"), F.col("last_day"))
+        held = date.between(F.col("first_day"), F.col("last_day"))
         return logs.join(F.broadcast(table), held).drop("first_day", "last_day")
     days = table.filter("first_day <= last_day").select(
-        "cohort", F.explode(F.sequence("first_day", "last_day")).alias(day)
+        "cohort", F.explode(F.sequence("first_day", "last_day")).alias("_day")
     )
+    dated = logs.withColumn("_day", date)
     spans = _inclusive(ranges, closed)
     if sum((last - first).days + 1 for _, first, last in spans) <= BROADCAST_DAYS:
-        days = F.broadcast(days)
-    return logs.join(days, day).select(*logs.columns, "cohort")
+        joined = dated.join(F.broadcast(days), "_day")
+    else:
+        joined = lookup_join(dated, days, "_day", logs.columns)
+    return joined.select(*[quoted(c) for c in logs.columns], "cohort")
 
 
 def with_row_id(logs: DataFrame, name: str = "battlelog_id") -> DataFrame:
@@ -145,14 +161,16 @@ def cohort_filter(logs: DataFrame, params: CohortParams = CohortParams()) -> Dat
     """Raw logs to cohort logs.
 
     Drops missing events, parses the roster texts to arrays, flags star players, turns
-    ``battleTime`` into a date and assigns cohorts and row ids. No shuffle. A bad time
-    text is only looked at (and raises, or is dropped) when it sorts inside the span of
-    the ranges; one outside is dropped with the other rows of no cohort.
+    ``battleTime`` into a date and assigns cohorts and row ids. No shuffle. A text that is
+    not a log time raises wherever it sorts, or is dropped with ``bad_time='null'``; a row
+    without a time is in no cohort and is dropped.
     """
     require_columns(logs.columns, ["battleTime", "player_id", "battle_starPlayer_tag"])
     if params.exclude_missing_events:
         logs = drop_missing_events(logs)
-    logs = within_ranges(logs, "battleTime", params.ranges, params.closed)
+    logs = within_ranges(
+        logs, "battleTime", params.ranges, params.closed, params.bad_time == "raise"
+    )
     if isinstance(logs.schema["battleTime"].dataType, T.StringType):
         day = parse_log_day("battleTime", params.bad_time)
     else:

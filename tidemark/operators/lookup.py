@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +18,10 @@ def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
     on: str,
-    spread_by: str,
+    spread_by: str | Sequence[str],
     lookup_rows: int | None = None,
 ) -> DataFrame:
-    """Inner equi-join of ``left`` to a table with one row per ``on`` value.
+    """Inner equi-join of ``left`` to a small table, mostly with one row per ``on`` value.
 
     With a row count known to be small the lookup side is broadcast. Otherwise each
     lookup row is copied once per salt and the left rows of a key are spread over the
@@ -31,7 +33,8 @@ def lookup_join(
     salted = lookup.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     )
+    columns = [spread_by] if isinstance(spread_by, str) else spread_by
     spread = left.withColumn(
-        "_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
+        "_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
     )
     return spread.join(salted, [on, "_salt"]).drop("_salt")

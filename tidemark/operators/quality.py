@@ -19,7 +19,7 @@ from tidemark.operators.lookup import lookup_join
 CENTRE_ROWS = 1_000
 
 # Rows of one block of a measure over all pairs; a task holds two blocks.
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 2_048
 
 
 def as_points(
@@ -68,19 +68,21 @@ def with_own_centre(points: DataFrame, n_clusters: int) -> DataFrame:
 
 def cluster_spread(points: DataFrame, n_clusters: int) -> DataFrame:
     """(label, n, centre, sse, mean_distance) per cluster: squared and plain distances of
-    its points to its centre."""
+    its points to its centre. Points are summed as numbers; centres come back per cluster."""
     d2 = squared_distance(F.col("x"), F.col("centre"))
-    return (
+    spread = (
         with_own_centre(points, n_clusters)
-        .select("label", "centre", d2.alias("d2"))
+        .select("label", d2.alias("d2"))
         .groupBy("label")
         .agg(
             F.count("*").alias("n"),
-            F.first("centre").alias("centre"),
             F.sum("d2").alias("sse"),
             F.avg(F.sqrt("d2")).alias("mean_distance"),
         )
     )
+    return spread.join(centres(points).select("label", "centre"), "label").select(
+        "label", "n", "centre", "sse", "mean_distance"
+    )
 
 
 def block_pairs(df: DataFrame, key: str, blocks: int) -> DataFrame:
@@ -120,75 +122,62 @@ def _calinski_harabasz(spread: DataFrame) -> DataFrame:
     )
     return totals.select(
         within.alias("total_inertia"),
-        F.when((k >= 2) & (k < n), score)
-        .otherwise(F.raise_error(F.lit("needs 2 .. n-1 clusters for n points")))
-        .alias("calinski_harabasz_score"),
+        _for_clusters(score, k, n).alias("calinski_harabasz_score"),
     )
 
 
-def _worst_ratios(spread: DataFrame) -> DataFrame:
-    """(worst) per cluster: largest (spread + spread) / distance to another cluster. Each
-    cluster is held against one array of all clusters."""
-    everyone = spread.agg(F.collect_list(F.struct("centre", "mean_distance"))).scalar()
+def _numbers(n: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
 
-    def ratio(other: Column) -> Column:
-        gap = F.sqrt(squared_distance(F.col("centre"), other["centre"]))
-        both = F.col("mean_distance") + other["mean_distance"]
-        return F.when(gap == 0, F.lit(0.0)).otherwise(both / gap)
 
-    held = spread.withColumn("everyone", everyone)
-    return held.select(F.array_max(F.transform("everyone", ratio)).alias("worst"))
+def _for_clusters(score: Column, k: Column, n: Column) -> Column:
+    """The score of 2 .. n-1 clusters; any other number raises."""
+    wrong = F.raise_error(F.lit("needs 2 .. n-1 clusters for n points"))
+    return F.when((k >= 2) & (k < n), score).otherwise(wrong)
 
 
-def _worst_ratios_by_blocks(spread: DataFrame, blocks: int) -> DataFrame:
-    """As :func:`_worst_ratios`, for more clusters than one array should hold."""
+def _davies_bouldin(spread: DataFrame, n_clusters: int) -> DataFrame:
+    """One row (davies_bouldin_score): mean over the clusters of their largest
+    (spread + spread) / distance to another cluster; 0 for an equal centre.
 
-    def measure(pdf):
-        import numpy as np
-        import pandas as pd
+    The clusters are cut into arrays of bounded size, and each cluster is held against each
+    array, by direct differences of the centres.
+    """
+    arrays = max(1, -(-n_clusters // CENTRE_ROWS))
+    part = F.pmod(F.xxhash64("label"), F.lit(arrays)).alias("part")
+    others = spread.groupBy(part).agg(
+        F.collect_list(F.struct("centre", "mean_distance")).alias("others")
+    )
 
-        lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
-        a, b = pdf[pdf["block"] == lo], pdf[pdf["block"] == hi]
-        if a.empty or b.empty:
-            return pd.DataFrame({"label": [], "worst": []})
-        xa, xb = (np.stack(side["centre"].to_numpy()) for side in (a, b))
-        squares = (xa**2).sum(1)[:, None] + (xb**2).sum(1)[None, :] - 2 * (xa @ xb.T)
-        gaps = np.sqrt(np.maximum(squares, 0))
-        if lo == hi:
-            np.fill_diagonal(gaps, 0)
-        gaps[gaps == 0] = np.inf
-        wa, wb = (side["mean_distance"].to_numpy() for side in (a, b))
-        ratios = (wa[:, None] + wb[None, :]) / gaps
-        labels = np.concatenate([a["label"].to_numpy(), b["label"].to_numpy()])
-        worst = np.concatenate([ratios.max(1), ratios.max(0)])
-        return pd.DataFrame({"label": labels, "worst": worst})
-
-    rows = spread.select("label", "centre", "mean_distance")
-    label_type = dict(rows.dtypes)["label"]
-    return (
-        block_pairs(rows, "label", blocks)
-        .groupBy("lo", "hi")
-        .applyInPandas(measure, f"label {label_type}, worst double")
-        .groupBy("label")
-        .agg(F.max("worst").alias("worst"))
+    def ratio(other: Column) -> Column:
+        gap = F.sqrt(squared_distance(F.col("centre"), other["centre"]))
+        both = F.col("mean_distance") + other["mean_distance"]
+        return F.when(gap == 0, F.lit(0.0)).otherwise(both / gap)
+
+    held = spread.withColumn(
+        "part", F.explode(_numbers(arrays))
+    )
+    worst = (
+        held.join(others, "part")
+        .groupBy("label", "n")
+        .agg(F.max(F.array_max(F.transform("others", ratio))).alias("worst"))
     )
+    score = _for_clusters(F.avg("worst"), F.count("*"), F.sum("n"))
+    return worst.agg(score.alias("davies_bouldin_score"))
 
 
 def separation(points: DataFrame, n_clusters: int | None = None) -> DataFrame:
     """One row (total_inertia, calinski_harabasz_score, davies_bouldin_score).
 
     Two passes over the points, for centres and for spreads; after that there is one row per
-    cluster. Needs at least two clusters and fewer clusters than points. Without a known
-    number of clusters they are counted first.
+    cluster. The two scores need at least two clusters and fewer clusters than points, each
+    by itself. Without a known number of clusters they are counted first; the number decides
+    how the work is cut, not what comes out.
     """
     if n_clusters is None:
         n_clusters = cluster_count(points)
     spread = cluster_spread(points, n_clusters)
-    if n_clusters <= CENTRE_ROWS:
-        worst = _worst_ratios(spread)
-    else:
-        worst = _worst_ratios_by_blocks(spread, -(-n_clusters // BLOCK_ROWS))
-    davies_bouldin = worst.agg(F.avg("worst")).scalar()
+    davies_bouldin = _davies_bouldin(spread, n_clusters).scalar()
     return _calinski_harabasz(spread).withColumn("davies_bouldin_score", davies_bouldin)
 
 
@@ -207,9 +196,13 @@ def distance_sums(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
     Points are cut by a hash of their key into blocks of about ``block_rows``; a task
     measures one pair of blocks and gives sums only. The work is quadratic in the number of
-    points, as the measure is; ``silhouette`` is the linear one. ``key`` must be unique.
+    points, as the measure is; ``silhouette`` and ``silhouette_to_centres`` are the linear
+    ones. A repeated ``key`` raises.
     """
-    blocks = max(1, -(-points.count() // block_rows))
+    n = points.count()
+    if points.select("key").distinct().count() != n:
+        raise ValueError("keys of points must be unique")
+    blocks = max(1, -(-n // block_rows))
 
     def measure(pdf):
         import numpy as np
@@ -224,10 +217,11 @@ def distance_sums(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             )
         xa = np.stack(a["x"].to_numpy()).astype("float64")
         xb = np.stack(b["x"].to_numpy()).astype("float64")
-        squares = (xa**2).sum(1)[:, None] + (xb**2).sum(1)[None, :] - 2 * (xa @ xb.T)
-        distances = np.sqrt(np.maximum(squares, 0))
-        if lo == hi:
-            np.fill_diagonal(distances, 0)
+        # Direct differences, one dimension at a time: exact for near and for far points.
+        squares = np.zeros((len(xa), len(xb)))
+        for i in range(xa.shape[1]):
+            squares += (xa[:, i, None] - xb[None, :, i]) ** 2
+        distances = np.sqrt(squares)
 
         def side(rows, others, matrix):
             labels, codes = np.unique(others["label"].to_numpy(), return_inverse=True)
@@ -285,19 +279,52 @@ def silhouette_values(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFr
     )
 
 
-def cluster_metrics(
-    points: DataFrame,
-    n_clusters: int | None = None,
-    exact_silhouette: bool = False,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """One row with the four quality scores. The exact silhouette needs a ``key``."""
-    if exact_silhouette:
-        mean = silhouette_values(points, block_rows).agg(F.avg("silhouette")).scalar()
+def silhouette_to_centres(points: DataFrame) -> DataFrame:
+    """One row (silhouette_to_centres): mean silhouette with the plain distance to centres in
+    place of the mean distance to all points of a cluster, in linear time.
+
+    A point's own side is its distance to its own centre, the other side that to the nearest
+    other centre. Points are held against arrays of at most a bounded number of centres, and
+    are sent again only when there are more clusters than that.
+    """
+    table = centres(points).select("label", "centre")
+    arrays = max(1, -(-cluster_count(points) // CENTRE_ROWS))
+    def side(entries: str, own: bool) -> Column:
+        kept = F.filter(entries, lambda c: (c["label"] == F.col("label")) == F.lit(own))
+        gaps = F.transform(
+            kept, lambda c: F.sqrt(squared_distance(F.col("x"), c["centre"]))
+        )
+        return F.array_min(gaps)
+
+    if arrays == 1:
+        whole = table.agg(F.collect_list(F.struct("label", "centre"))).scalar()
+        sides = points.withColumn("everyone", whole).select(
+            side("everyone", True).alias("a"), side("everyone", False).alias("b")
+        )
     else:
-        mean = F.lit(silhouette(points))
+        part = F.pmod(F.xxhash64("label"), F.lit(arrays)).alias("part")
+        parts = table.groupBy(part).agg(
+            F.collect_list(F.struct("label", "centre")).alias("everyone")
+        )
+        held = points.withColumn("id", F.monotonically_increasing_id()).withColumn(
+            "part", F.explode(_numbers(arrays))
+        )
+        sides = (
+            held.join(F.broadcast(parts), "part")
+            .select("id", side("everyone", True).alias("a"), side("everyone", False).alias("b"))
+            .groupBy("id")
+            .agg(F.min("a").alias("a"), F.min("b").alias("b"))
+        )
+    width = F.coalesce(
+        F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)
+    )
+    return sides.agg(F.avg(width).alias("silhouette_to_centres"))
+
+
+def cluster_metrics(points: DataFrame, n_clusters: int | None = None) -> DataFrame:
+    """One row with the four quality scores; the silhouette is that of squared distances."""
     return separation(points, n_clusters).select(
-        mean.alias("silhouette_score"),
+        F.lit(silhouette(points)).alias("silhouette_score"),
         "davies_bouldin_score",
         "calinski_harabasz_score",
         "total_inertia",

@@ -178,10 +178,12 @@ class RatioParams:
 
 @dataclass(frozen=True)
 class ClusterParams:
-    """Feature selection and the k-means grid: k runs over 2 .. max_n_cluster - 1."""
+    """Feature selection and the k-means grid: k runs over 2 .. max_n_cluster - 1, and each
+    fit keeps the best of ``n_init`` starts."""
 
     top_features: int = 4
     random_state: int = 42
+    n_init: int = 10
     max_n_cluster: int = 13
     starting_point_method: Sequence[str] = ("k-means++",)
     max_iter: Sequence[int] = (200,)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +33,16 @@ def write_model(model: KMeansModel, path: str) -> None:
 
 def append_version(df: DataFrame, path: str, version: str) -> None:
     """Add a version of a table beside the earlier ones. Versions sort by their text, as
-    ISO times do."""
-    df.withColumn("version", F.lit(version)).write.mode("append").partitionBy(
-        "version"
-    ).parquet(path)
+    ISO times do. A version that is there already is replaced, so a run may be repeated."""
+    writer = df.withColumn("version", F.lit(version)).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path)
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """The stored versions, oldest first, from the listing of folders; no file is read."""
+    found = (re.search(r"/version=([^/]+)/", f) for f in spark.read.parquet(path).inputFiles())
+    # Folder names are escaped once, and the URIs of files once more.
+    return sorted({unquote(unquote(m[1])) for m in found if m})
 
 
 def read_version(
@@ -46,7 +54,5 @@ def read_version(
     as_text = stored.withColumn("version", F.col("version").cast("string"))
     table = spark.read.schema(as_text.schema).parquet(path)
     if version is None:
-        wanted = table.agg(F.max("version")).scalar()
-    else:
-        wanted = F.lit(version)
-    return table.filter(F.col("version") == wanted)
+        version = versions(spark, path)[-1]
+    return table.filter(F.col("version") == F.lit(version))

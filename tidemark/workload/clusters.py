@@ -11,12 +11,14 @@ from tidemark.operators.clusters import (
     VECTOR,
     GridPoint,
     assign_clusters,
+    assign_to_centres,
     best_point,
     centre_lists,
     centroid_pairs,
     fit_kmeans,
     held_out_inertia,
     kmeans_grid,
+    score_curve,
     with_vector,
 )
 from tidemark.operators.features import (
@@ -33,6 +35,7 @@ from tidemark.operators.quality import (
     cluster_spread,
     separation,
     silhouette,
+    silhouette_to_centres,
     silhouette_values,
 )
 from tidemark.operators.shape import count_parity, null_profile
@@ -169,32 +172,108 @@ def fitted(spark, d):
 
 
 def _kmeans_assign(spark, d):
-    rows, names, model = fitted(spark, d)
-    return assign_clusters(rows, model, names)
+    rows = assign_to_centres(_scaled(spark, d), CENTRES[1], FEATURES)
+    return rows.select("player_id", "cluster_labels")
 
 
 def _kmeans_grid(spark, d):
+    """What holds for any right grid search, over the whole default grid."""
     rows, names = _reduced(spark, d)
-    return kmeans_grid(rows, names, ClusterParams(parallelism=8)).curve
+    params = ClusterParams(parallelism=8, n_init=1)
+    grid = kmeans_grid(rows, names, params)
+    keys = ["n_clusters", "init", "max_iter", "tol"]
+    means = grid.scores.groupBy(*keys).agg(F.avg("inertia").alias("mean"))
+    off = F.abs(F.col("mean") - F.col("mean_inertia")) > 1e-9
+    curve = grid.curve.join(means, keys, "full").agg(
+        F.count("*").alias("settings"),
+        F.count_if(off | off.isNull()).alias("wrong_means"),
+        F.min_by("n_clusters", F.struct("mean_inertia", "n_clusters")).alias("best_k"),
+    )
+    chosen = grid.best_params.select(F.col("n_clusters").cast("int").alias("chosen_k"))
+    facts = F.struct(
+        F.lit(grid.scores.count()).alias("n_scores"),
+        F.lit(grid.model.getK()).alias("refit_k"),
+        F.lit(grid.eval_params.first()["n_clusters"]).alias("exported"),
+    )
+    return curve.select(
+        "settings",
+        facts["n_scores"].alias("scores"),
+        "wrong_means",
+        (F.col("best_k") == chosen.scalar()).alias("best_is_least"),
+        (F.col("best_k") == facts["refit_k"]).alias("refit_is_best"),
+        facts["exported"].alias("exported_k"),
+    )
 
 
-def _kmeans_best(spark, d):
+def _kmeans_starts(spark, d):
+    """Ten starts cost no more than one."""
     rows, names = _reduced(spark, d)
-    params = ClusterParams(
-        max_n_cluster=5, cross_validations=3, metric="silhouette", parallelism=8
+    vectors = with_vector(rows, names).select(VECTOR)
+    costs = [
+        fit_kmeans(vectors, POINT, SEED, n_init=n).summary.trainingCost for n in (1, 10)
+    ]
+    return rows.agg(
+        F.count("*").alias("n_players"),
+        F.lit(costs[1] <= costs[0]).alias("ten_not_above_one"),
     )
-    return best_point(kmeans_grid(rows, names, params).curve, "silhouette")
+
+
+def _kmeans_best(spark, d):
+    """The best setting of a curve of made-up scores of the customers."""
+    scores = table(spark, d, "customer").groupBy(
+        (F.col("c_nationkey") % 11 + 2).cast("int").alias("n_clusters"),
+        F.lit("k-means++").alias("init"),
+        F.lit(200).alias("max_iter"),
+        F.lit(1e-4).alias("tol"),
+        (F.col("c_custkey") % 5).cast("int").alias("fold"),
+    )
+    scores = scores.agg(F.sum(F.abs("c_acctbal")).alias("inertia"))
+    best = best_point(score_curve(scores))
+    return best.withColumn("mean_inertia", F.round("mean_inertia", 6))
 
 
 def _kmeans_metrics(spark, d):
-    rows, names, model = fitted(spark, d)
-    points = as_points(assign_clusters(rows, model, names), names)
-    return cluster_metrics(points, model.getK())
+    row = cluster_metrics(_points(spark, d).drop("key"))
+    return row.select(*[F.round(c, 6).alias(c) for c in row.columns])
 
 
 def _centroid_pairs(spark, d):
+    """Rows per pair of features and kind, and centroids that are not the model's."""
     rows, names, model = fitted(spark, d)
-    return centroid_pairs(rows, model, names)
+    found = centroid_pairs(rows, model, names)
+    own = spark.createDataFrame(
+        [
+            (names[i], names[j], label, centre[i], centre[j])
+            for i, j in combinations(range(len(names)), 2)
+            for label, centre in enumerate(centre_lists(model))
+        ],
+        "feature_x string, feature_y string, cluster_labels int, x double, y double",
+    )
+    shared = ["feature_x", "feature_y", "cluster_labels", "x", "y"]
+    wrong = found.filter("kind = 'centroid'").join(own, shared, "left_anti").count()
+    place = {name: i for i, name in enumerate(names)}
+    numbers = F.create_map(*[F.lit(v) for item in place.items() for v in item])
+    counted = found.groupBy(
+        numbers[F.col("feature_x")].alias("first"),
+        numbers[F.col("feature_y")].alias("second"),
+        "kind",
+    )
+    return counted.agg(F.count("*").alias("n")).withColumn("wrong", F.lit(wrong))
+
+
+def _davies_bouldin_many(spark, d):
+    """More clusters than one array of centres holds, from a key of a table."""
+    features = (F.col("l_quantity"), F.col("l_orderkey") % 1009, F.col("l_suppkey") % 97)
+    parts = table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("label"), F.array(*[c.cast("double") for c in features]).alias("x")
+    )
+    row = separation(as_points(parts, "x", "label"))
+    return row.select(F.round("davies_bouldin_score", 6).alias("davies_bouldin_score"))
+
+
+def _silhouette_to_centres(spark, d):
+    row = silhouette_to_centres(_points(spark, d).drop("key"))
+    return row.select(F.round("silhouette_to_centres", 6).alias("silhouette_to_centres"))
 
 
 def _kmeans_properties(spark, d):
@@ -330,6 +409,9 @@ QUERIES = {
     "kmeans_assign": _kmeans_assign,
     "kmeans_grid": _kmeans_grid,
     "kmeans_best": _kmeans_best,
+    "kmeans_starts": _kmeans_starts,
+    "davies_bouldin_many": _davies_bouldin_many,
+    "silhouette_to_centres": _silhouette_to_centres,
     "kmeans_metrics": _kmeans_metrics,
     "kmeans_properties": _kmeans_properties,
     "held_out_inertia": _held_out_inertia,
@@ -405,6 +487,99 @@ ORACLES = {
             GROUP BY la
         )
         SELECT round(avg(r), 6) AS davies_bouldin_score FROM worst""",
+    "kmeans_assign": f"""WITH {_PROFILES},
+        gaps AS (
+            SELECT player_id, [{
+        ", ".join(f"list_distance([{', '.join(FEATURES)}]::DOUBLE[], {c}::DOUBLE[])" for c in CENTRES[1])
+    }] AS g FROM scaled
+        )
+        SELECT player_id, CAST(list_position(g, list_min(g)) - 1 AS INT) AS cluster_labels
+        FROM gaps""",
+    "kmeans_grid": """SELECT CAST(11 AS BIGINT) AS settings, CAST(55 AS INT) AS scores,
+        CAST(0 AS BIGINT) AS wrong_means, TRUE AS best_is_least, TRUE AS refit_is_best,
+        '[2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12]' AS exported_k""",
+    "kmeans_starts": "SELECT count(*) AS n_players, TRUE AS ten_not_above_one FROM customer",
+    "kmeans_best": """WITH scores AS (
+            SELECT CAST(c_nationkey % 11 + 2 AS INT) AS n_clusters, c_custkey % 5 AS fold,
+                   sum(abs(c_acctbal)) AS inertia
+            FROM customer GROUP BY 1, 2
+        )
+        SELECT n_clusters, 'k-means++' AS init, CAST(200 AS INT) AS max_iter,
+               CAST(1e-4 AS DOUBLE) AS tol, round(avg(inertia), 6) AS mean_inertia
+        FROM scores GROUP BY n_clusters ORDER BY avg(inertia), n_clusters LIMIT 1""",
+    "kmeans_metrics": f"""WITH {_CENTRES},
+        gaps AS (
+            SELECT a.label AS la, b.label AS lb, sqrt(sum((a.c - b.c) * (a.c - b.c))) AS d
+            FROM centre_dims a JOIN centre_dims b ON a.i = b.i AND a.label <> b.label
+            GROUP BY a.label, b.label
+        ),
+        worst AS (
+            SELECT la, max((s.mean_distance + t.mean_distance) / d) AS r
+            FROM gaps JOIN spread s ON s.label = la JOIN spread t ON t.label = lb
+            GROUP BY la
+        ),
+        between_part AS (
+            SELECT sum(n * (c - g) * (c - g)) AS b
+            FROM centre_dims JOIN grand_dims USING (i)
+        ),
+        within_part AS (SELECT sum(sse) AS w, sum(n) AS n, count(*) AS k FROM spread),
+        sums AS (
+            SELECT a.vec_id, a.label, b.label AS other,
+                   avg(list_distance(a.x, b.x) * list_distance(a.x, b.x)) AS mean
+            FROM points a JOIN points b ON a.vec_id <> b.vec_id
+            GROUP BY a.vec_id, a.label, b.label
+        ),
+        sides AS (
+            SELECT vec_id, max(mean) FILTER (label = other) AS a,
+                   min(mean) FILTER (label <> other) AS b
+            FROM sums GROUP BY vec_id
+        )
+        SELECT (SELECT round(avg(coalesce((b - a) / greatest(a, b), 0)), 6) FROM sides)
+                   AS silhouette_score,
+               (SELECT round(avg(r), 6) FROM worst) AS davies_bouldin_score,
+               round((b / (k - 1)) / (w / (n - k)), 6) AS calinski_harabasz_score,
+               round(w, 6) AS total_inertia
+        FROM between_part, within_part""",
+    "centroid_pairs": """WITH pairs(first, second) AS (
+            VALUES (0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)
+        )
+        SELECT CAST(first AS INT) AS first, CAST(second AS INT) AS second, 'point' AS kind,
+               (SELECT count(*) FROM customer) AS n, CAST(0 AS INT) AS wrong FROM pairs
+        UNION ALL
+        SELECT CAST(first AS INT), CAST(second AS INT), 'centroid', 4, 0 FROM pairs""",
+    "davies_bouldin_many": """WITH points AS (
+            SELECT l_partkey AS label, CAST(l_quantity AS DOUBLE) AS x,
+                   CAST(l_orderkey % 1009 AS DOUBLE) AS y, CAST(l_suppkey % 97 AS DOUBLE) AS z
+            FROM lineitem
+        ),
+        centres AS (
+            SELECT label, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM points GROUP BY label
+        ),
+        spread AS (
+            SELECT label, cx, cy, cz,
+                   avg(sqrt((x - cx) ** 2 + (y - cy) ** 2 + (z - cz) ** 2)) AS s
+            FROM points JOIN centres USING (label) GROUP BY label, cx, cy, cz
+        ),
+        worst AS (
+            SELECT a.label,
+                   max((a.s + b.s) / sqrt((a.cx - b.cx) ** 2 + (a.cy - b.cy) ** 2
+                                          + (a.cz - b.cz) ** 2)) AS r
+            FROM spread a JOIN spread b ON a.label <> b.label GROUP BY a.label
+        )
+        SELECT round(avg(r), 6) AS davies_bouldin_score FROM worst""",
+    "silhouette_to_centres": f"""WITH {_CENTRES},
+        gaps AS (
+            SELECT d.vec_id, d.label, c.label AS other, sqrt(sum((v - c) * (v - c))) AS gap
+            FROM dims d JOIN centre_dims c ON d.i = c.i
+            GROUP BY d.vec_id, d.label, c.label
+        ),
+        sides AS (
+            SELECT vec_id, min(gap) FILTER (label = other) AS a,
+                   min(gap) FILTER (label <> other) AS b
+            FROM gaps GROUP BY vec_id
+        )
+        SELECT round(avg(coalesce((b - a) / greatest(a, b), 0)), 6) AS silhouette_to_centres
+        FROM sides""",
     "kmeans_properties": """SELECT count(*) AS n_players, CAST(4 AS BIGINT) AS n_clusters,
         CAST(0 AS BIGINT) AS n_misplaced FROM customer""",
     "held_out_inertia": f"""WITH {_PROFILES},
