@@ -79,6 +79,13 @@ def test_top_features(spark):
     assert reduced.count() == 4
 
 
+def test_selection_without_a_label(spark):
+    df = spark.createDataFrame(ROWS, DDL)
+    reduced, names = select_features(df, None, 2)
+    assert names == ["a", "d"] and reduced.columns == ["player_id", "a", "d"]
+    assert select_features(df, None, 4)[1] == ["a", "b", "d"]
+
+
 def test_anova_needs_repeated_classes(spark):
     df = spark.createDataFrame(ROWS, DDL)
     with pytest.raises(Exception, match="fewer classes than rows"):

@@ -126,19 +126,42 @@ def top_features(table: DataFrame, k: int) -> DataFrame:
     )
 
 
+def variance_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(position, feature, f_score): the variance of each feature, in one pass. It stands in
+    for the F score where there are no classes."""
+    totals = df.agg(
+        *[F.var_pop(quoted(c).cast("double")).alias(f"_v{i}") for i, c in enumerate(features)]
+    )
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(c).alias("feature"),
+            F.coalesce(F.col(f"_v{i}"), F.lit(float("nan"))).alias("f_score"),
+        )
+        for i, c in enumerate(features)
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def select_features(
     df: DataFrame,
-    label: str,
+    label: str | None,
     k: int,
     key: str = "player_id",
     features: Sequence[str] | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """The key with the ``k`` best features against ``label``, and their names, both in
-    column order. Runs one aggregation to fix the names."""
-    names = (
-        list(features) if features is not None else numeric_features(df, [key, label])
-    )
-    best = top_features(anova_table(df, names, label), k)
+    column order. Without a label those that vary most are the best, and features that do
+    not vary are left out. Runs one aggregation to fix the names."""
+    if features is not None:
+        names = list(features)
+    else:
+        names = numeric_features(df, [key, *([label] if label else [])])
+    if label:
+        scores = anova_table(df, names, label)
+    else:
+        scores = variance_table(df, names).filter("f_score > 0 AND NOT isnan(f_score)")
+    best = top_features(scores, k)
     kept = {row["feature"] for row in best.select("feature").collect()}
     selected = [c for c in names if c in kept]
     return df.select(key, *[quoted(c) for c in selected]), selected

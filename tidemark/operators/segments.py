@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_before
@@ -17,17 +17,19 @@ def label_activity(
     """Activity rows with their player's cluster label. A player without a label keeps
     its row; one with several labels has a row for each.
 
-    With one row per player in the label table (``unique_labels``) this is a left join.
-    Otherwise labelled and unlabelled rows are joined apart: Spark can split a hot player
-    on either side of an inner join, but not on the right side of a left join.
+    Repeated labels are joined as one row with a weight, so one left join is enough and a
+    player that fills the label table stays a few rows; its rows are repeated after the join.
+    ``unique_labels`` skips that count when the label table has one row per player.
     """
     labels = labels.select("player_id", "cluster_labels")
     if unique_labels:
         return activity.join(labels, "player_id", "left")
-    labelled = activity.join(labels, "player_id")
-    players = labels.select("player_id").distinct()
-    unlabelled = activity.join(players, "player_id", "left_anti")
-    return labelled.unionByName(unlabelled, allowMissingColumns=True)
+    weighted = labels.groupBy("player_id", "cluster_labels").agg(
+        F.count("*").cast("int").alias("_weight")
+    )
+    joined = activity.join(weighted, "player_id", "left")
+    copies = F.array_repeat(F.lit(0), F.coalesce("_weight", F.lit(1)))
+    return joined.withColumn("_copy", F.explode(copies)).drop("_weight", "_copy")
 
 
 def cluster_retention(
@@ -73,18 +75,19 @@ def cluster_retention(
 def retention_chart(table: DataFrame, last_days: int = 30) -> DataFrame:
     """(cluster_labels, first_log, metric, value): chart points of the last days.
 
-    The window reaches back ``last_days`` from the newest first day. The newest day is a
-    scalar subquery on the date column alone.
+    The window reaches back ``last_days`` from the newest first day, which is looked up in
+    the sums, one row per cluster and day.
     """
     sums = sum_columns(
         table,
         ["cluster_labels", "first_log"],
         names_except(table, ["cluster_labels", "first_log"]),
     ).withColumn("first_log", F.col("first_log").cast("date"))
-    newest = table.agg(F.max(F.col("first_log").cast("date"))).scalar()
+    newest = F.max("first_log").over(Window.partitionBy())
     columns = retention_columns(table)
     return (
-        sums.filter(F.col("first_log") >= days_before(newest, last_days))
+        sums.withColumn("_newest", newest)
+        .filter(F.col("first_log") >= days_before(F.col("_newest"), last_days))
         .select(
             "cluster_labels",
             "first_log",

@@ -46,9 +46,9 @@ from tidemark.sources.writers import (
 @dataclass(frozen=True)
 class RunParams:
     """Parameters of a whole run. ``label`` is the class column of feature selection, one
-    of the columns of ``profile_ddl``."""
+    of the columns of ``profile_ddl``; without one features are selected by variance."""
 
-    label: str
+    label: str | None = None
     profile_ddl: str = PROFILE_DDL
     cohorts: CohortParams = field(default_factory=CohortParams)
     families: FamilyParams = field(default_factory=FamilyParams)
@@ -91,10 +91,12 @@ def cluster_flow(
     profiles: DataFrame, base: str, params: RunParams, version: str
 ) -> tuple[dict[str, DataFrame], GridResult]:
     """Prepared profiles to scaled and selected features, a fitted model, its reports, and
-    one label per player. Profiles hold ``player_id``, the label and numeric features."""
+    one label per player. Profiles hold ``player_id``, the label if any, and numeric features."""
     spark = profiles.sparkSession
     scaled = _stored(
-        scale_max_abs(profiles, ["player_id", params.label]), base, "profiles_scaled"
+        scale_max_abs(profiles, ["player_id", *([params.label] if params.label else [])]),
+        base,
+        "profiles_scaled",
     )
     reduced, names = select_features(
         scaled, params.label, params.clusters.top_features
@@ -160,7 +162,7 @@ def run(
         version = dt.datetime.now(dt.timezone.utc).isoformat(timespec="milliseconds")
     tables = retention_flow(logs, base, params)
     prepared = _stored(
-        prepare_profiles(profiles, params.profile_ddl, keep=[params.label]),
+        prepare_profiles(profiles, params.profile_ddl, keep=[params.label] if params.label else []),
         base,
         "profiles_prepared",
     )

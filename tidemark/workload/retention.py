@@ -208,6 +208,19 @@ def _cohort_ranges_closed(spark, d):
     return assign_cohorts(rows, "day", EVENT_RANGES, closed="both")
 
 
+# More ranges than a range join takes, in January 2024.
+MANY_RANGES = tuple(
+    (f"2024-01-{first:02d}", f"2024-01-{first + length:02d}")
+    for length in range(5)
+    for first in range(1, 21)
+)
+
+
+def _cohort_ranges_many(spark, d):
+    rows = table(spark, d, "events").select("event_id", "ts")
+    return assign_cohorts(rows, "ts", MANY_RANGES, closed="both").select("event_id", "cohort")
+
+
 def _distinct_cohorts(spark, d):
     return cohorts_of(event_cohorts(spark, d))
 
@@ -410,6 +423,7 @@ QUERIES = {
     "monthly_first_activity": _first_activity("monthly"),
     "cohort_ranges": _cohort_ranges,
     "cohort_ranges_closed": _cohort_ranges_closed,
+    "cohort_ranges_many": _cohort_ranges_many,
     "distinct_cohorts": _distinct_cohorts,
     "cohort_union": _cohort_union,
     "battle_time_parse": _battle_time_parse,
@@ -474,6 +488,9 @@ ORACLES = {
     "cohort_ranges_closed": f"""WITH {ranges_sql(EVENT_RANGES)}
         SELECT event_id, CAST(ts AS DATE) AS day, CAST(cohort AS INT) AS cohort
         FROM events JOIN ranges ON CAST(ts AS DATE) BETWEEN lo AND hi""",
+    "cohort_ranges_many": f"""WITH {ranges_sql(MANY_RANGES)}
+        SELECT event_id, CAST(cohort AS INT) AS cohort
+        FROM events JOIN ranges ON CAST(ts AS DATE) BETWEEN lo AND hi""",
     "distinct_cohorts": f"WITH {EVENT_LOGS} SELECT DISTINCT cohort FROM logs",
     "cohort_union": f"""WITH {EVENT_LOGS}
         SELECT player_id, day AS battleTime, CAST(10 AS INT) AS part

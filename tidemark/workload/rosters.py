@@ -24,6 +24,7 @@ from tidemark.operators.rosters import (
     split_event_families,
     trio_roster,
 )
+from tidemark.operators.shape import union_by_position
 from tidemark.params import CohortParams, FamilyParams
 from tidemark.workload.retention import RAW_SQL, player_json_sql, ranges_sql
 from tidemark.workload.views import EVENT_RANGES, FAMILIES, raw_logs, table
@@ -74,9 +75,9 @@ def _disabled_family(spark, d):
         _as_text(parts[name]).agg(
             F.lit(name).alias("family"), F.count("*").alias("n_rows")
         )
-        for name in ("solo", "duo")
+        for name in ("solo", "duo", "trio", "special")
     ]
-    return counts[0].union(counts[1])
+    return union_by_position(counts)
 
 
 def _json_map_extract(spark, d):
@@ -202,7 +203,13 @@ ORACLES = {
         SELECT 'solo' AS family, count(*) AS n_rows FROM raw
         JOIN ranges ON CAST(ts AS DATE) > lo AND CAST(ts AS DATE) < hi
         WHERE event_id <> 0 AND event_mode = 'soloShowdown' AND {_HAS_PLAYERS}
-        UNION ALL SELECT 'duo', 0""",
+        UNION ALL SELECT 'duo', 0
+        UNION ALL SELECT 'trio', count(*) FROM raw
+        JOIN ranges ON CAST(ts AS DATE) > lo AND CAST(ts AS DATE) < hi
+        WHERE event_id <> 0 AND event_mode = 'gemGrab' AND k < 80
+        UNION ALL SELECT 'special', count(*) FROM raw
+        JOIN ranges ON CAST(ts AS DATE) > lo AND CAST(ts AS DATE) < hi
+        WHERE event_id <> 0 AND event_mode = 'bossFight' AND {_HAS_PLAYERS}""",
     "json_map_extract": """SELECT event_id, json_extract_string(props, '$.k') AS k,
         CAST(NULL AS VARCHAR) AS "none" FROM events""",
     "json_lists": f"""WITH {RAW_SQL}
