@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the smallest test tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -31,3 +33,12 @@ def test_query_matches_sql(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_gives_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
+
+
+@pytest.mark.parametrize("name", ["activity_labels", "retention_chart"])
+def test_every_table_is_read_once(spark, name):
+    df = QUERIES[name](spark, SF_DIR)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    read = re.findall(rf"{SF_DIR}/(\w+)\.parquet", plan)
+    assert len(read) == len(set(read)) > 0
