@@ -65,6 +65,17 @@ def test_groups_are_those_of_brute_force(spark, monkeypatch, short):
     assert got == groups_by_hand(docs)
 
 
+def test_supersets_of_one_body_are_found_in_long_lists(spark):
+    rng = random.Random(12)
+    body = [f"w{i}" for i in range(300)]
+    docs = [(0, " ".join(body))]
+    for i in range(1, 301):
+        docs.append((i, " ".join([*body, *(f"x{rng.randrange(10**9)}" for _ in range(50))])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(df).collect()}
+    assert got == dict.fromkeys(range(301), 0)
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     rows = near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()

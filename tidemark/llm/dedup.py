@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,8 @@ SHINGLE = 5
 SKETCH, LISTED = 64, 32
 # A list up to this long gives all its pairs; longer ones go by leaders.
 SHORT = 48
-# Short-listed values that make it as good as certain that a partner is met in a short list.
-ENOUGH = 7
+# Accepted chance that a link does not show in lists.
+MISSED = 3e-7
 # Lists in which a document may lead.
 LEADING = 8
 # Linked if intersection / union is at least this many percent.
@@ -120,17 +121,34 @@ def _similar(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
 
 
+def _never_lacking(values: int) -> int:
+    """So many of a sketch's values that a partner as good as never lacks them all, or more.
+
+    Whatever the lists look like, the values that one of two texts has and the other lacks are
+    a binomial draw at most.
+    """
+    lack, tail = 1 - PERCENT / 100, 0.0
+    for x in range(values, 0, -1):
+        tail += comb(values, x) * lack**x * (1 - lack) ** (values - x)
+        if tail > MISSED:
+            return x + 1
+    return 1
+
+
 def _long_list_members(index: DataFrame, counted: DataFrame) -> DataFrame:
     """Rows of long lists whose documents might have a partner that no short list shows.
 
-    A partner lacks each of a document's values with probability 0.15 at most. A document
-    with enough values in short lists, or alone, meets its partners there; one of whose
-    values more are short than a partner can lack at all does so for certain.
+    A document meets its partners in short lists if more of its values are there, or alone,
+    than a partner can lack. The values that are short may be just those that a partner lacks,
+    as where many texts hold one body, so each of them says nothing by itself: only their
+    number does. Not listed by both are at most as many as the shingles that only one has,
+    which is an exact bound for small texts.
     """
     long = counted.where(F.col("m") > SHORT)
     per = long.groupBy("doc_id", "n").agg(F.count("*").alias("long"))
     short = F.least(F.col("n"), F.lit(LISTED)) - F.col("long")
-    enough = F.least(F.lit(ENOUGH), F.floor((100 - PERCENT) * F.col("n") / 100) + 1)
+    lacking = F.floor((100 - PERCENT) * F.col("n") / PERCENT)
+    enough = F.least(F.lit(_never_lacking(LISTED)), lacking + 1)
     members = per.where(short < enough).select("doc_id")
     return long.join(members, "doc_id", "left_semi").select("v", "doc_id", "n")
 
