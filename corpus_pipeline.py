@@ -18,6 +18,8 @@ from tidemark.llm.quality import good_documents
 from tidemark.llm.sharding import assign_shards
 
 SHARDS = 40
+# Near duplicates share at least so many percent of their five-word shingles.
+NEAR_PERCENT = 80
 COLUMNS = ("text", "lang", "source", "n_chars")
 
 
@@ -28,8 +30,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return without_near_duplicates(docs)
+    """One document of each group of texts that are 80 percent alike."""
+    return without_near_duplicates(docs, NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +59,8 @@ STAGES = [
     ("sharding", sharding),
 ]
 
-# A trained network, sketches and checksums have no SQL form; tests compare the stages with
-# brute force.
+# A trained network, sketches and checksums have no SQL form; tests compare the operators with
+# brute force where there is one.
 ORACLE_SQL = None
 
 

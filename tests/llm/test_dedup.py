@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from corpus_pipeline import STAGES
 from tidemark.llm import dedup
 from tidemark.llm.decontamination import find_leaks, without_leaks
 from tidemark.llm.dedup import near_duplicates, without_near_duplicates
@@ -76,6 +77,30 @@ def test_supersets_of_one_body_are_found_in_long_lists(spark):
     assert got == dict.fromkeys(range(301), 0)
 
 
+def linked(a, b, percent):
+    both = len(shingles(a) & shingles(b))
+    return 100 * both >= percent * len(shingles(a) | shingles(b))
+
+
+def test_pipeline_stage_drops_what_is_80_percent_alike(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "SHORT", 3)
+    rng = random.Random(5)
+    docs = []
+    for first in (100, 200):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(104)]
+        for i in (0, 22):
+            docs.append((first + i, " ".join([*base, *(f"x{rng.randrange(10**6)}" for _ in range(i))])))
+    # With 22 more of 122 shingles a copy is 82 percent alike.
+    assert linked(docs[0][1], docs[1][1], 80) and not linked(docs[0][1], docs[1][1], 85)
+    assert not linked(docs[0][1], docs[2][1], 1)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(df, 80).collect()}
+    assert got == {100: 100, 122: 100, 200: 200, 222: 200}
+    kept = dict(STAGES)["minhash near-dedup"](spark, df, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [100, 200]
+    assert near_duplicates(df).where("kept").count() == 4
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     rows = near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +21,8 @@ SKETCH, LISTED = 64, 32
 SHORT = 48
 # Accepted chance that a link does not show in lists.
 MISSED = 3e-7
-# Lists in which a document may lead.
-LEADING = 8
-# Linked if intersection / union is at least this many percent.
+# Linked if intersection / union is at least this many percent, unless a caller says otherwise.
 PERCENT = 85
-# Sketch estimates below this are not followed up: more than five deviations under 0.85.
-LEAST_ESTIMATE = 0.6
 
 
 def _shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -85,8 +81,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), sets], names=["doc_id", "shingles"])
 
 
-def _near_in_size(a: Column, b: Column) -> Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _near_in_size(a: Column, b: Column, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
 def _estimate(a: Column, b: Column) -> Column:
@@ -95,39 +91,40 @@ def _estimate(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union)
 
 
-def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are 85 percent alike by their full sets."""
+def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that are ``percent`` alike by their full sets."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     either = F.size("x") + F.size("y") - F.col("both")
     measured = pairs.join(left, "a").join(right, "b").withColumn("both", both)
-    return measured.where(100 * F.col("both") >= PERCENT * either).select("a", "b")
+    return measured.where(100 * F.col("both") >= percent * either).select("a", "b")
 
 
-def _short_pairs(index: DataFrame, sketches: DataFrame) -> DataFrame:
+def _short_pairs(index: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs that meet in a short list and look similar by their sketches."""
     left = index.select("v", F.col("doc_id").alias("a"), F.col("n").alias("na"))
     right = index.select("v", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
-    fits = (F.col("a") < F.col("b")) & _near_in_size(F.col("na"), F.col("nb"))
+    fits = (F.col("a") < F.col("b")) & _near_in_size(F.col("na"), F.col("nb"), percent)
     pairs = left.join(right, "v").where(fits).select("a", "b").distinct()
-    return _similar(pairs, sketches)
+    return _similar(pairs, sketches, percent)
 
 
-def _similar(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+def _similar(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     left = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("x"))
     right = sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("y"))
-    near = _estimate(F.col("x"), F.col("y")) >= LEAST_ESTIMATE
+    least = (SKETCH + 1 - _never_lacking(SKETCH, percent)) / SKETCH
+    near = _estimate(F.col("x"), F.col("y")) >= least
     return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
 
 
-def _never_lacking(values: int) -> int:
+def _never_lacking(values: int, percent: int) -> int:
     """So many of a sketch's values that a partner as good as never lacks them all, or more.
 
     Whatever the lists look like, the values that one of two texts has and the other lacks are
     a binomial draw at most.
     """
-    lack, tail = 1 - PERCENT / 100, 0.0
+    lack, tail = 1 - percent / 100, 0.0
     for x in range(values, 0, -1):
         tail += comb(values, x) * lack**x * (1 - lack) ** (values - x)
         if tail > MISSED:
@@ -135,7 +132,12 @@ def _never_lacking(values: int) -> int:
     return 1
 
 
-def _long_list_members(index: DataFrame, counted: DataFrame) -> DataFrame:
+def _leading(percent: int) -> int:
+    """Lists in which a document leads: so many that a partner as good as never lacks them all."""
+    return max(1, ceil(log(MISSED) / log(1 - percent / 100))) if percent < 100 else 1
+
+
+def _long_list_members(counted: DataFrame, percent: int) -> DataFrame:
     """Rows of long lists whose documents might have a partner that no short list shows.
 
     A document meets its partners in short lists if more of its values are there, or alone,
@@ -147,13 +149,13 @@ def _long_list_members(index: DataFrame, counted: DataFrame) -> DataFrame:
     long = counted.where(F.col("m") > SHORT)
     per = long.groupBy("doc_id", "n").agg(F.count("*").alias("long"))
     short = F.least(F.col("n"), F.lit(LISTED)) - F.col("long")
-    lacking = F.floor((100 - PERCENT) * F.col("n") / PERCENT)
-    enough = F.least(F.lit(_never_lacking(LISTED)), lacking + 1)
+    lacking = F.floor((100 - percent) * F.col("n") / percent)
+    enough = F.least(F.lit(_never_lacking(LISTED, percent)), lacking + 1)
     members = per.where(short < enough).select("doc_id")
     return long.join(members, "doc_id", "left_semi").select("v", "doc_id", "n")
 
 
-def _with_shared(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _with_shared(members: DataFrame, sets: DataFrame, leading: int) -> DataFrame:
     """Adds ``shared``, how many of a document's shingles any other member has, and ``nth``,
     the place of a list among those of its document."""
     ids = members.select("doc_id").distinct()
@@ -161,22 +163,22 @@ def _with_shared(members: DataFrame, sets: DataFrame) -> DataFrame:
     held = own.groupBy("w").agg(F.count("*").alias("held")).where(F.col("held") > 1)
     shared = lookup(own, held, ["w"], "inner").groupBy("doc_id").agg(F.count("*").alias("shared"))
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("v"))
-    rows = members.withColumn("nth", nth).where(F.col("nth") <= 2 * LEADING)
+    rows = members.withColumn("nth", nth).where(F.col("nth") <= 2 * leading)
     lists = F.array_sort(F.collect_list("v").over(Window.partitionBy("doc_id")))
     rows = rows.withColumn("lists", lists)
     return rows.join(shared, "doc_id").select("v", "doc_id", "n", "shared", "nth", "lists")
 
 
-def _may_link(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
-    """Whether documents of such size and shared shingles can be 85 percent alike at all.
+def _may_link(a: tuple[Column, Column], b: tuple[Column, Column], percent: int) -> Column:
+    """Whether documents of such size and shared shingles can be ``percent`` alike at all.
 
     They have at most the lesser number of shared shingles in common.
     """
     common = F.least(a[1], b[1])
-    return (100 + PERCENT) * common >= PERCENT * (a[0] + b[0])
+    return (100 + percent) * common >= percent * (a[0] + b[0])
 
 
-def _by_leaders(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _by_leaders(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among the members of long lists, without all pairs of a list.
 
     Shingles that no other member has bound what a document can have in common with others,
@@ -186,17 +188,18 @@ def _by_leaders(members: DataFrame, sets: DataFrame) -> DataFrame:
     belongs together is then one component, as a rule. At last rich documents meet those of
     other components that they can link with by numbers alone; that leaves no link out.
 
-    A document leads in the first eight of its lists and is met in the first sixteen, lists
-    being in one order for all; a partner misses all of them as rarely as sketches fail each
+    A document leads in the first of its lists, eight at 85 percent, and is met in twice as
+    many, lists being in one order for all; a partner misses all of them as rarely as sketches fail each
     other.
     """
-    rows = store(_with_shared(members, sets))
-    rich = (100 + PERCENT) * F.col("shared") >= 2 * PERCENT * F.col("n")
-    leading = rows.where(rich & (F.col("nth") <= LEADING))
+    most = _leading(percent)
+    rows = store(_with_shared(members, sets, most))
+    rich = (100 + percent) * F.col("shared") >= 2 * percent * F.col("n")
+    leading = rows.where(rich & (F.col("nth") <= most))
     by_own = Window.partitionBy("v").orderBy(F.desc(F.col("shared") / F.col("n")), "doc_id")
     of_a = (F.col("na"), F.col("sa"))
     of_b = (F.col("n"), F.col("shared"))
-    led = F.slice("lists", 1, LEADING).alias("led")
+    led = F.slice("lists", 1, most).alias("led")
     names = [F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"), led]
     # A pair meets in the first list of both only.
     here = F.array_min(F.array_intersect("led", "lists")) == F.col("v")
@@ -213,9 +216,9 @@ def _by_leaders(members: DataFrame, sets: DataFrame) -> DataFrame:
         mates = waiting.join(chosen.withColumn("leads", F.lit(True)), "doc_id", "left")
         met = lookup(mates, leaders, ["v"], "inner")
         once = F.col("leads").isNull() | (F.col("a") < F.col("doc_id"))
-        met = met.where(_may_link(of_a, of_b) & once & (F.col("a") != F.col("doc_id")) & here)
+        met = met.where(_may_link(of_a, of_b, percent) & once & (F.col("a") != F.col("doc_id")) & here)
         pairs = met.select("a", F.col("doc_id").alias("b")).distinct()
-        found = store(_measured(pairs, sets))
+        found = store(_measured(pairs, sets, percent))
         links = links.unionByName(found)
         linked = found.select(F.col("b").alias("doc_id")).unionByName(chosen).distinct()
         ready = store(ready.join(linked, "doc_id", "left_anti"))
@@ -226,22 +229,22 @@ def _by_leaders(members: DataFrame, sets: DataFrame) -> DataFrame:
     # Leaders have met everyone; what waits may still have links among itself.
     groups = components(links).withColumnRenamed("id", "doc_id")
     grouped = F.coalesce("component", "doc_id")
-    left = waiting.where(rich & (F.col("nth") <= LEADING)).join(groups, "doc_id", "left")
+    left = waiting.where(rich & (F.col("nth") <= most)).join(groups, "doc_id", "left")
     left = left.select("v", *names, grouped.alias("ca"))
     right = waiting.join(groups, "doc_id", "left")
     right = right.select("v", "doc_id", "n", "shared", "lists", grouped.alias("cb"))
     smaller = (F.col("na") < F.col("n")) | ((F.col("na") == F.col("n")) & (F.col("a") < F.col("doc_id")))
-    apart = (F.col("ca") != F.col("cb")) & smaller & _may_link(of_a, of_b) & here
+    apart = (F.col("ca") != F.col("cb")) & smaller & _may_link(of_a, of_b, percent) & here
     pairs = left.join(right, "v").where(apart).select("a", F.col("doc_id").alias("b")).distinct()
-    return links.unionByName(store(_measured(pairs, sets)))
+    return links.unionByName(store(_measured(pairs, sets, percent)))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Groups of documents whose word shingles are at least 85 percent alike.
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Groups of documents whose word shingles are at least ``percent`` alike.
 
     Texts are lower-cased (A-Z) and cut into words at white space; a document's set holds its
     distinct runs of five words, or all its words as one run if it has fewer. Documents are
-    linked if 100 * intersection >= 85 * union, and groups are the connected components.
+    linked if 100 * intersection >= percent * union, and groups are the connected components.
     Returns ``doc_id, n_shingles, component_id, kept``; ``component_id`` is the least id of
     the group, and that document is kept.
 
@@ -254,9 +257,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     keeps the 64 smallest of its hashed shingles, one hash function for all. Inverted lists of
     the 32 smallest give candidates, the union of two sketches estimates their similarity, and
     what is left is measured on full sets, which are made again for candidates only. Of two
-    texts 85 percent alike, the chance that they are missed is below one in a hundred
-    thousand; without long lists it is 0.15 ** 32.
+    texts ``percent`` alike, the chance that they are missed is below one in a hundred
+    thousand at 80 or more: all bounds follow from the percentage. Without long lists it is
+    that of 32 values lacking, 0.15 ** 32 at 85.
     """
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent is not in (0, 100]: {percent}")
     ids = F.col("doc_id").cast("long").alias("doc_id")
     texts = docs.select(ids, "text")
     schema = "doc_id long, n long, s1 long, s2 long, sketch array<long>"
@@ -271,16 +277,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     index = sketches.select("doc_id", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("v"))
     lengths = index.groupBy("v").agg(F.count("*").alias("m")).where(F.col("m") > 1)
     counted = store(lookup(index, lengths, ["v"], "inner"))
-    short = store(_short_pairs(counted.where(F.col("m") <= SHORT), sketches))
-    members = store(_long_list_members(index, counted))
+    short = store(_short_pairs(counted.where(F.col("m") <= SHORT), sketches, percent))
+    members = store(_long_list_members(counted, percent))
 
     wanted = short.select(F.explode(F.array("a", "b")).alias("doc_id"))
     wanted = wanted.unionByName(members.select("doc_id")).distinct()
     wanted = classes.join(wanted, "doc_id", "left_semi").select("doc_id")
     sets = store(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>"))
 
-    links = store(_measured(short, sets))
-    links = links.unionByName(_by_leaders(members, sets))
+    links = store(_measured(short, sets, percent))
+    links = links.unionByName(_by_leaders(members, sets, percent))
     groups = components(links)
     classes = classes.join(groups, classes["doc_id"] == groups["id"], "left")
     classes = classes.select(*key, F.coalesce("component", "doc_id").alias("component"))
@@ -295,11 +301,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each group, that of the least id, with all columns.
 
     Documents are dropped by id: repeated rows of a kept id all stay.
     """
-    groups = near_duplicates(docs)
+    groups = near_duplicates(docs, percent)
     gone = groups.where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
