@@ -165,6 +165,25 @@ def test_contradicting_slots_do_not_count(spark):
     assert [r["doc_id"] for r in find_leaks(docs, bench).collect()] == [1]
 
 
+SLOTS = [
+    "Find the sum of 12, 15, 18, 21, 24 and 30.",
+    "Evaluate 3 + 4 - 5 * 6 / 7 + 8 - 9 + 10 * 11 - 12 + 13.",
+    "Sort these: 9 4 7 1 8 2 6 3 5 12 11 10 from least to greatest.",
+]
+
+
+def found(spark, items, docs):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in find_leaks(df, bench).collect()}
+
+
+def test_items_of_many_slots_are_found(spark):
+    docs = [f"Some words first. {x} And more." for x in SLOTS]
+    docs += ["Find the sum of 1, 2, 3, 4, 5 and 6.", SLOTS[1].replace("8", "80"), "1 2 3 4 5 6 7 8 9 10 11 12 13"]
+    assert found(spark, SLOTS, docs) == {(0, 0), (1, 1), (2, 2), (3, 0)}
+
+
 def lines_by_hand(docs, min_docs):
     strip = " \t\n\x0b\f\r"
 

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import store
 
-# Tokens of a window, and how many of them must be words and not placeholders.
+# Tokens of a window, and how many of them must be words for placeholders to stand for any value.
 WINDOW, LITERALS = 8, 4
-# Matching tokens along one alignment that make a leak; shorter items must match whole.
+# Matching tokens that make a leak; shorter items must match whole.
 LEAK = 13
+
 # Rows of one long each that may be broadcast (16 MB).
 BROADCAST_ROWS = 1_000_000
 
@@ -48,31 +49,76 @@ def is_slot(token: Column) -> Column:
     return token < ":"
 
 
+def _kind(slot: Column) -> Column:
+    """The type of a slot."""
+    return F.when(slot < UNIT, 1).when(slot < POINT, 2).otherwise(3)
+
+
 def _template(token: Column) -> Column:
     """Hash of a word, or the type of a slot."""
-    kind = F.when(token < UNIT, 1).when(token < POINT, 2).otherwise(3)
-    return F.when(is_slot(token), kind.cast("long")).otherwise(F.xxhash64(token))
+    return F.when(is_slot(token), _kind(token).cast("long")).otherwise(F.xxhash64(token))
 
 
-def _windows(rows: DataFrame) -> DataFrame:
-    """Adds ``windows``, the hashes of all runs of tokens, to rows with ``hashes`` of tokens.
+def _windows(rows: DataFrame, lengths: list[int]) -> DataFrame:
+    """Adds ``windows``, the hashes of all runs of tokens, to rows with ``tokens``.
 
-    Windows double from one token to eight. A text of fewer tokens is one window. They are
-    for an outer explode: an inner one would first ask for their number, computing them twice.
+    A window with enough words is hashed with placeholders, any other with the values of its
+    slots. Windows double from one token to eight. A text of fewer tokens is one window, with
+    placeholders. ``lengths`` are those of short items, which have windows of their own.
+    Windows are structs of the hash, the place and whether placeholders stand in it.
+    They are for an outer explode: an inner one would first ask for their number, computing
+    them twice.
     """
-    rows = rows.withColumn("w", F.col("hashes"))
+    one = F.transform(
+        "tokens",
+        lambda t: F.struct(
+            _template(t).alias("t"), F.xxhash64(t).alias("e"), (~is_slot(t)).cast("int").alias("words")
+        ),
+    )
+    rows = rows.withColumn("w", one).withColumn("one", F.col("w"))
     size = 1
     while size < WINDOW:
         n = F.greatest(F.size("w") - size, F.lit(0))
         joined = F.zip_with(
-            F.slice("w", 1, n), F.slice("w", size + 1, n), lambda a, b: F.xxhash64(a, b)
+            F.slice("w", 1, n),
+            F.slice("w", size + 1, n),
+            lambda a, b: F.struct(
+                F.xxhash64(a["t"], b["t"]).alias("t"),
+                F.xxhash64(a["e"], b["e"]).alias("e"),
+                (a["words"] + b["words"]).alias("words"),
+            ),
         )
         rows = rows.withColumn("w", joined)
         size *= 2
-    few = F.array(F.xxhash64(F.size("hashes"), F.col("hashes")))
-    whole = F.when(F.size("hashes") > 0, few).otherwise(F.array().cast("array<long>"))
-    windows = F.when(F.size("hashes") >= WINDOW, F.col("w")).otherwise(whole)
-    return rows.withColumn("windows", windows).drop("w", "hashes")
+
+    def window(x: Column, pos: Column) -> Column:
+        good = x["words"] >= LITERALS
+        code = F.when(good, x["t"]).otherwise(F.xxhash64(F.lit("values"), x["e"]))
+        return F.struct(code.alias("window"), pos.alias("pos"), good.alias("good"))
+
+    def own(length: int) -> Column:
+        """All windows of one length under eight."""
+
+        def at(i: Column) -> Column:
+            part = F.slice("one", i + 1, length)
+            words = F.aggregate(part, F.lit(0), lambda n, x: n + x["words"])
+            t = F.xxhash64(F.lit(length), F.transform(part, lambda x: x["t"]))
+            e = F.xxhash64(F.lit(length), F.transform(part, lambda x: x["e"]))
+            x = F.struct(F.xxhash64(F.lit("own"), t).alias("t"), e.alias("e"), words.alias("words"))
+            return window(x, i)
+
+        places = F.sequence(F.lit(0), F.size("one") - length)
+        none = F.array().cast("array<struct<window:bigint,pos:int,good:boolean>>")
+        return F.when(F.size("one") >= length, F.transform(places, at)).otherwise(none)
+
+    few = F.xxhash64(F.size("one"), F.transform("one", lambda x: x["t"]))
+    few = F.array(F.struct(few.alias("window"), F.lit(0).alias("pos"), F.lit(True).alias("good")))
+    none = F.array().cast("array<struct<window:bigint,pos:int,good:boolean>>")
+    whole = F.when(F.size("one") > 0, few).otherwise(none)
+    windows = F.when(F.size("one") >= WINDOW, F.transform("w", window)).otherwise(whole)
+    for length in lengths:
+        windows = F.concat(windows, own(length))
+    return rows.withColumn("windows", windows).drop("w", "one")
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -80,15 +126,22 @@ def _few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def _benchmark_windows(items: DataFrame) -> DataFrame:
-    """``window, item, at`` of all windows with enough words."""
-    rows = items.select(
-        "item", "tokens", F.transform("tokens", _template).alias("hashes")
-    )
-    rows = _windows(rows).select("item", "tokens", F.posexplode_outer("windows").alias("at", "window"))
-    words = F.filter(F.slice("tokens", F.col("at") + 1, WINDOW), lambda t: ~is_slot(t))
-    enough = F.least(F.lit(LITERALS), F.ceil(F.size("tokens") / 2))
-    return rows.where(F.size(words) >= enough).select("window", "item", "at")
+def _forms(text: Column) -> Column:
+    """An item's tokens, as the only form."""
+    return F.array(tokens(text))
+
+
+def _benchmark_windows(items: DataFrame, lengths: list[int]) -> DataFrame:
+    """``window, item, at, good`` of all windows; short items have those of their length, too."""
+    items = items.withColumn("size", F.size("tokens"))
+    rows = _windows(items.where(~F.col("size").isin(lengths)), [])
+    for length in lengths:
+        rows = rows.unionByName(_windows(items.where(F.col("size") == length), [length]))
+    words = F.size(F.filter("tokens", lambda t: ~is_slot(t)))
+    enough = words >= F.least(F.lit(LITERALS), F.ceil(F.col("size") / 2))
+    rows = rows.select("item", enough.alias("enough"), F.explode("windows").alias("w"))
+    rows = rows.where(~F.col("w.good") | F.col("enough"))
+    return rows.select("w.window", "item", F.col("w.pos").alias("at"), "w.good")
 
 
 def _row_key(docs: DataFrame) -> DataFrame:
@@ -99,10 +152,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds.
 
     Numbers, names and units become typed placeholders, and windows of eight template tokens
-    are joined by hash. Windows of one item along one alignment, that is with one distance
-    between the places in both texts, are put together. A slot whose value in the item stands
-    against different values in the document contradicts itself and does not count. A pair is
-    a leak if at least 13 tokens of one alignment count, or all tokens of a shorter item.
+    are joined by hash; windows of fewer than four words keep the values of their slots. What
+    an item's window hits is aligned as a whole and compared token by token. Where only windows with values hit, other values do not match.
+    A slot whose value in the item stands against different values in the document contradicts
+    itself and does not count. A pair is a leak if at least 13 tokens count, or all tokens of a
+    shorter item.
 
     ``docs`` has ``doc_id, text`` and ``benchmark`` has ``item_id, text``. Returns, once per
     pair, ``doc_id, item_id, matched`` tokens, ``item_tokens, start`` (the token of the
@@ -110,55 +164,90 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     of them with another value: 0 for a verbatim copy.
 
     NULL and empty texts, and texts without words, hold nothing and are held by nothing. An
-    item of fewer than eight tokens is only found in documents that are nothing else. NULL
-    ids are kept. Repeated rows, of either table, give one pair. Items that are alike are each
+    item of fewer than eight tokens is only found in documents that are nothing else. NULL ids are kept. Repeated rows, of either table, give one pair. Items that are alike are each
     reported. Empty tables give no rows. Other columns are not read.
     """
     return _leaks(docs, benchmark).drop("row")
 
 
+def _matches() -> Column:
+    """For each token of the item, its place in ``part`` less that by the alignment, or NULL.
+
+    ``part`` is the document around the item, which would begin there at ``base``.
+    """
+
+    def alike(p: Column, x: Column, shift: Column) -> Column:
+        at = F.col("base") + p + shift
+        y = F.when(at >= 0, F.get("part", at))
+        kind = is_slot(x) & is_slot(y) & (_kind(x) == _kind(y))
+        return F.coalesce((x == y) | (F.col("good") & kind), F.lit(False))
+
+    return F.transform("tokens", lambda x, p: F.when(alike(p, x, F.lit(0)), F.lit(0)))
+
+
 def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    items = benchmark.select("item_id", tokens(F.col("text")).alias("tokens"))
-    items = items.where(F.size("tokens") > 0).distinct()
-    items = store(items.withColumn("item", F.xxhash64("item_id", "tokens")))
-    windows = store(_benchmark_windows(items))
+    forms = benchmark.select("item_id", _forms(F.col("text")).alias("forms"))
+    items = forms.where(F.size(F.col("forms")[0]) > 0).distinct()
+    items = items.select(
+        "item_id", F.xxhash64("item_id", "forms").alias("origin"), F.explode("forms").alias("tokens")
+    )
+    items = store(items.withColumn("item", F.xxhash64("origin", "tokens")))
+    lengths = []
+    windows = store(_benchmark_windows(items, lengths))
 
     rows = _row_key(docs)
-    hashed = rows.select("row", F.transform(tokens(F.col("text")), _template).alias("hashes"))
-    placed = _windows(hashed).select("row", F.posexplode_outer("windows").alias("pos", "window"))
+    split = rows.select("row", tokens(F.col("text")).alias("tokens"))
+    placed = _windows(split, lengths).select("row", F.explode_outer("windows").alias("w"))
+    placed = placed.select("row", "w.pos", "w.window")
     hits = placed.join(_few(windows.select("window").distinct()), "window", "left_semi")
     hits = store(hits.distinct())
 
     apart = F.col("pos") - F.col("at")
     runs = hits.join(windows, "window").groupBy("row", "item", apart.alias("apart"))
-    runs = runs.agg(F.array_sort(F.collect_set("at")).alias("starts"))
+    runs = runs.agg(F.max("good").alias("good"))
     hit_rows = _few(hits.select("row").distinct())
     texts = rows.join(hit_rows, "row", "left_semi").dropDuplicates(["row"])
     texts = texts.select("row", "doc_id", tokens(F.col("text")).alias("found"))
     aligned = runs.join(items, "item").join(texts, "row")
-
-    last = F.least(F.size("tokens"), F.lit(WINDOW))
-    spans = F.transform("starts", lambda s: F.sequence(s, s + last - 1))
-    places = F.array_distinct(F.flatten(spans))
-    aligned = aligned.withColumn("places", places)
-    in_item = F.filter("places", lambda p: is_slot(F.get("tokens", p)))
-    slots = F.transform(
-        in_item,
-        lambda p: F.struct(
-            F.get("tokens", p).alias("x"), F.get("found", p + F.col("apart")).alias("y")
+    first = F.greatest(F.col("apart") , F.lit(0))
+    length = F.greatest(F.col("apart") + F.size("tokens")  - first, F.lit(0))
+    aligned = aligned.withColumns(
+        {"part": F.slice("found", first + 1, length), "base": F.col("apart") - first}
+    )
+    aligned = store(aligned.drop("found"))
+
+    aligned = store(aligned.withColumn("matches", _matches()))
+    counted = F.filter(
+        F.transform(
+            "tokens",
+            lambda x, p: F.struct(
+                x.alias("x"),
+                (F.col("base") + p + F.get("matches", p)).alias("at"),
+                F.get("part", F.col("base") + p + F.get("matches", p)).alias("y"),
+            ),
         ),
+        lambda m: m["at"].isNotNull(),
     )
-    aligned = aligned.withColumn("pairs", slots).withColumn("kinds", F.array_distinct("pairs"))
+    aligned = aligned.withColumn("counted", counted)
+    pairs = F.transform(
+        F.filter("counted", lambda m: is_slot(m["x"])),
+        lambda m: F.struct(m["x"].alias("x"), m["y"].alias("y")),
+    )
+    aligned = aligned.withColumn("pairs", pairs).withColumn("kinds", F.array_distinct("pairs"))
     agrees = F.filter(
         "pairs",
         lambda p: F.forall("kinds", lambda q: (q["x"] != p["x"]) | (q["y"] == p["y"])),
     )
     aligned = aligned.withColumn("agreeing", agrees)
-    aligned = aligned.withColumn(
-        "matched", F.size("places") - F.size("pairs") + F.size("agreeing")
-    )
+    # A token of the document counts once, though shifted places may share it.
+    places = F.size(F.array_distinct(F.transform("counted", lambda m: m["at"])))
+    matched = F.size("counted") - F.size("pairs") + F.size("agreeing")
+    aligned = aligned.withColumn("matched", F.least(matched, places))
     leak = F.col("matched") >= F.least(F.lit(LEAK), F.size("tokens"))
-    best = Window.partitionBy("row", "item").orderBy(F.desc("matched"), "apart")
+    straight = F.size(F.filter("matches", lambda d: d == 0))
+    best = Window.partitionBy("row", "origin").orderBy(
+        F.desc("matched"), F.desc(straight), "apart", "item"
+    )
     leaks = aligned.where(leak).withColumn("nth", F.row_number().over(best)).where("nth = 1")
     changed = F.filter("agreeing", lambda p: p["x"] != p["y"])
     return leaks.select(
