@@ -184,6 +184,27 @@ def test_items_of_many_slots_are_found(spark):
     assert found(spark, SLOTS, docs) == {(0, 0), (1, 1), (2, 2), (3, 0)}
 
 
+WORDS = "a farmer drives slowly past his old barn and then stops near the wide river to look for lost sheep today".split()
+
+
+def test_changed_places_leave_a_leak(spark):
+    long, middle = " ".join(WORDS), " ".join(WORDS[:16])
+    named = "the cook met Tom at noon and then Tom paid for all of the bread"
+    capital = "Where did all of the old wooden boats go after the storm"
+    short = "which rivers flow past our farm"
+    items = [long, middle, named, capital, short]
+    docs = [
+        " ".join([*WORDS[:10], "suddenly", *WORDS[10:]]),
+        " ".join([*WORDS[:8], "changed", *WORDS[9:16]]),
+        named.replace("Tom", "Mary Ann Smith"),
+        f"we read that {capital} and so on",
+        f"he asked, {short}, again",
+        " ".join(WORDS[:11]),
+        "which rivers flow past our town",
+    ]
+    assert found(spark, items, docs) == {(0, 0), (0, 1), (1, 1), (1, 0), (2, 2), (3, 3), (4, 4)}
+
+
 def lines_by_hand(docs, min_docs):
     strip = " \t\n\x0b\f\r"
 

@@ -11,7 +11,8 @@ from tidemark.llm.common import store
 WINDOW, LITERALS = 8, 4
 # Matching tokens that make a leak; shorter items must match whole.
 LEAK = 13
-
+# Tokens that may come in or fall out within an item, and the least run that counts beside them.
+SHIFT, RUN = 8, 3
 # Rows of one long each that may be broadcast (16 MB).
 BROADCAST_ROWS = 1_000_000
 
@@ -32,7 +33,8 @@ def tokens(text: Column) -> Column:
 
     A slot is a word that sorts before a colon: a number begins with a digit, a name or a unit
     with its mark. Names are capitalised words, but at the start of a sentence; units are
-    known words right after a number. Punctuation separates words and is dropped. NULL has no
+    known words right after a number. Two or three capitalised words in a row are one name, that of
+    the first. Punctuation separates words and is dropped. NULL has no
     words.
     """
     text = F.coalesce(text, F.lit(""))
@@ -41,6 +43,8 @@ def tokens(text: Column) -> Column:
     marked = F.when(text.rlike(r"\d"), F.regexp_replace(numbers, units, f" {UNIT}$1"))
     marked = marked.otherwise(text)
     named = F.regexp_replace(marked, r"(?=\p{Lu}\p{Ll})(?<=[^.!?:\s]\s{1,3})", NAME)
+    word = r"\x01[\p{L}\p{M}\p{N}]++"
+    named = F.regexp_replace(named, rf"({word})(?:\s{{1,3}}{word}){{1,2}}+(?!\s{{1,3}}\x01)", "$1")
     parts = F.split(F.lower(named), r"[^\p{L}\p{M}\p{N}\x01-\x03]+")
     return F.array_remove(parts, "")
 
@@ -127,8 +131,10 @@ def _few(rows: DataFrame) -> DataFrame:
 
 
 def _forms(text: Column) -> Column:
-    """An item's tokens, as the only form."""
-    return F.array(tokens(text))
+    """An item's tokens as at the start of a sentence, and as within one if that differs."""
+    start = tokens(text)
+    within = tokens(F.concat(F.lit("- "), F.ltrim(text)))
+    return F.array_distinct(F.array(start, within))
 
 
 def _benchmark_windows(items: DataFrame, lengths: list[int]) -> DataFrame:
@@ -153,10 +159,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Numbers, names and units become typed placeholders, and windows of eight template tokens
     are joined by hash; windows of fewer than four words keep the values of their slots. What
-    an item's window hits is aligned as a whole and compared token by token. Where only windows with values hit, other values do not match.
+    an item's window hits is aligned as a whole and compared token by token. Tokens missed
+    there are looked for up to eight places before and after, where words may have come in or
+    fallen out, in runs of three. Where only windows with values hit, other values do not match.
     A slot whose value in the item stands against different values in the document contradicts
     itself and does not count. A pair is a leak if at least 13 tokens count, or all tokens of a
-    shorter item.
+    shorter item. An item's first word is taken as at the start of a sentence and as within one.
 
     ``docs`` has ``doc_id, text`` and ``benchmark`` has ``item_id, text``. Returns, once per
     pair, ``doc_id, item_id, matched`` tokens, ``item_tokens, start`` (the token of the
@@ -164,7 +172,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     of them with another value: 0 for a verbatim copy.
 
     NULL and empty texts, and texts without words, hold nothing and are held by nothing. An
-    item of fewer than eight tokens is only found in documents that are nothing else. NULL ids are kept. Repeated rows, of either table, give one pair. Items that are alike are each
+    item of four to seven tokens has windows of its own length; one of fewer says too little
+    and is only found in documents that are nothing else. NULL ids are kept. Repeated rows, of either table, give one pair. Items that are alike are each
     reported. Empty tables give no rows. Other columns are not read.
     """
     return _leaks(docs, benchmark).drop("row")
@@ -182,7 +191,37 @@ def _matches() -> Column:
         kind = is_slot(x) & is_slot(y) & (_kind(x) == _kind(y))
         return F.coalesce((x == y) | (F.col("good") & kind), F.lit(False))
 
-    return F.transform("tokens", lambda x, p: F.when(alike(p, x, F.lit(0)), F.lit(0)))
+    def in_runs(shift: Column) -> Column:
+        found = F.transform("tokens", lambda x, p: alike(p, x, shift))
+
+        def at(m: Column, p: Column) -> Column:
+            return F.when(p >= 0, F.coalesce(F.get(m, p), F.lit(False))).otherwise(F.lit(False))
+
+        def of_run(m: Column) -> Column:
+            def within(hit: Column, p: Column) -> Column:
+                runs = F.lit(False)
+                for first in range(1 - RUN, 1):
+                    run = F.lit(True)
+                    for i in range(first, first + RUN):
+                        run = run & at(m, p + i)
+                    runs = runs | run
+                return hit & runs
+
+            return F.transform(m, within)
+
+        # The one-element array binds the array to a variable, so that it is computed once.
+        return F.element_at(F.transform(F.array(found), of_run), 1)
+
+    straight = F.transform("tokens", lambda x, p: F.when(alike(p, x, F.lit(0)), F.lit(0)))
+    shifts = F.array(*[F.lit(s * i) for i in range(1, SHIFT + 1) for s in (1, -1)])
+    shifted = F.aggregate(
+        shifts,
+        straight,
+        lambda done, shift: F.zip_with(
+            done, in_runs(shift), lambda d, hit: F.coalesce(d, F.when(hit, shift))
+        ),
+    )
+    return F.when(F.exists(straight, lambda d: d.isNull()), shifted).otherwise(straight)
 
 
 def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -192,7 +231,8 @@ def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "item_id", F.xxhash64("item_id", "forms").alias("origin"), F.explode("forms").alias("tokens")
     )
     items = store(items.withColumn("item", F.xxhash64("origin", "tokens")))
-    lengths = []
+    sizes = items.select(F.size("tokens").alias("n")).where(F.col("n").between(LITERALS, WINDOW - 1))
+    lengths = sorted(r["n"] for r in sizes.distinct().collect())
     windows = store(_benchmark_windows(items, lengths))
 
     rows = _row_key(docs)
@@ -209,8 +249,8 @@ def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = rows.join(hit_rows, "row", "left_semi").dropDuplicates(["row"])
     texts = texts.select("row", "doc_id", tokens(F.col("text")).alias("found"))
     aligned = runs.join(items, "item").join(texts, "row")
-    first = F.greatest(F.col("apart") , F.lit(0))
-    length = F.greatest(F.col("apart") + F.size("tokens")  - first, F.lit(0))
+    first = F.greatest(F.col("apart") - SHIFT, F.lit(0))
+    length = F.greatest(F.col("apart") + F.size("tokens") + SHIFT - first, F.lit(0))
     aligned = aligned.withColumns(
         {"part": F.slice("found", first + 1, length), "base": F.col("apart") - first}
     )
