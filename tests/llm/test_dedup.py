@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpus_pipeline import STAGES
 from tidemark.llm import dedup
@@ -77,6 +78,17 @@ def test_supersets_of_one_body_are_found_in_long_lists(spark):
     assert got == dict.fromkeys(range(301), 0)
 
 
+def test_only_different_components_meet(spark):
+    rows = [(v, i, i % k) for v, k in ((1, 1), (2, 3), (3, 8), (4, 2)) for i in range(40)]
+    df = spark.createDataFrame(rows, "v long, doc_id long, component long")
+    sides = dedup._across(df)
+    keys = ["v", "digit", "rest", "bit"]
+    left = sides.select(*keys, F.col("doc_id").alias("a"))
+    right = sides.withColumn("bit", 1 - F.col("bit")).select(*keys, F.col("doc_id").alias("b"))
+    met = sorted((r["v"], r["a"], r["b"]) for r in left.join(right, keys).collect())
+    assert met == sorted((v, i, j) for v, i, c in rows for w, j, d in rows if v == w and c != d)
+
+
 def linked(a, b, percent):
     both = len(shingles(a) & shingles(b))
     return 100 * both >= percent * len(shingles(a) | shingles(b))

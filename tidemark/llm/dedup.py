@@ -178,6 +178,31 @@ def _may_link(a: tuple[Column, Column], b: tuple[Column, Column], percent: int)
     return (100 + percent) * common >= percent * (a[0] + b[0])
 
 
+def _across(rows: DataFrame) -> DataFrame:
+    """Rows of lists with keys by which only rows of different components meet.
+
+    Components of a list are numbered. Two numbers differ first in one binary digit: there they
+    agree in the ``rest`` below it, and have opposite values of ``bit``. Each pair of different
+    components meets once, and lists of one component are left out.
+    """
+    each = rows.select("v", "component").distinct()
+    per_list = Window.partitionBy("v")
+    number = F.row_number().over(per_list.orderBy("component")) - 1
+    each = each.withColumns({"number": number, "most": F.count("*").over(per_list)})
+    each = each.where(F.col("most") > 1)
+    digits = F.sequence(F.lit(0), F.ceil(F.log2("most")).cast("int") - 1)
+    each = each.withColumn("digit", F.explode(digits))
+    above = F.call_function("shiftright", F.col("number"), F.col("digit"))
+    each = each.select(
+        "v",
+        "component",
+        "digit",
+        above.bitwiseAND(1).alias("bit"),
+        (F.col("number") - F.call_function("shiftleft", above, F.col("digit"))).alias("rest"),
+    )
+    return lookup(rows, each, ["v", "component"], "inner")
+
+
 def _by_leaders(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among the members of long lists, without all pairs of a list.
 
@@ -229,13 +254,19 @@ def _by_leaders(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # Leaders have met everyone; what waits may still have links among itself.
     groups = components(links).withColumnRenamed("id", "doc_id")
     grouped = F.coalesce("component", "doc_id")
-    left = waiting.where(rich & (F.col("nth") <= most)).join(groups, "doc_id", "left")
-    left = left.select("v", *names, grouped.alias("ca"))
-    right = waiting.join(groups, "doc_id", "left")
-    right = right.select("v", "doc_id", "n", "shared", "lists", grouped.alias("cb"))
+    placed = store(waiting.join(groups, "doc_id", "left").withColumn("component", grouped))
+    sides = _across(placed)
+    left = sides.where(rich & (F.col("nth") <= most)).select("v", "digit", "rest", "bit", *names)
+    right = sides.withColumn("bit", 1 - F.col("bit"))
+    right = right.select("v", "digit", "rest", "bit", "doc_id", "n", "shared", "lists")
     smaller = (F.col("na") < F.col("n")) | ((F.col("na") == F.col("n")) & (F.col("a") < F.col("doc_id")))
-    apart = (F.col("ca") != F.col("cb")) & smaller & _may_link(of_a, of_b, percent) & here
-    pairs = left.join(right, "v").where(apart).select("a", F.col("doc_id").alias("b")).distinct()
+    apart = smaller & _may_link(of_a, of_b, percent) & here
+    # Sizes of a link are in one class or in neighbouring ones, each class a step of the ratio.
+    step = log(100 / percent) if percent < 100 else 1.0
+    size = F.floor(F.log("n") / step + 1e-9)
+    left = left.withColumn("size", F.explode(F.array(*[F.floor(F.log("na") / step + 1e-9) + i for i in (0, 1)])))
+    right = right.withColumn("size", size)
+    pairs = left.join(right, ["v", "digit", "rest", "bit", "size"]).where(apart).select("a", F.col("doc_id").alias("b")).distinct()
     return links.unionByName(store(_measured(pairs, sets, percent)))
 
 
