@@ -190,17 +190,12 @@ def _across(rows: DataFrame) -> DataFrame:
     number = F.row_number().over(per_list.orderBy("component")) - 1
     each = each.withColumns({"number": number, "most": F.count("*").over(per_list)})
     each = each.where(F.col("most") > 1)
+    numbered = lookup(rows, each, ["v", "component"], "inner")
     digits = F.sequence(F.lit(0), F.ceil(F.log2("most")).cast("int") - 1)
-    each = each.withColumn("digit", F.explode(digits))
+    numbered = numbered.withColumn("digit", F.explode(digits))
     above = F.call_function("shiftright", F.col("number"), F.col("digit"))
-    each = each.select(
-        "v",
-        "component",
-        "digit",
-        above.bitwiseAND(1).alias("bit"),
-        (F.col("number") - F.call_function("shiftleft", above, F.col("digit"))).alias("rest"),
-    )
-    return lookup(rows, each, ["v", "component"], "inner")
+    rest = F.col("number") - F.call_function("shiftleft", above, F.col("digit"))
+    return numbered.withColumns({"bit": above.bitwiseAND(1), "rest": rest}).drop("number", "most")
 
 
 def _by_leaders(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -255,8 +250,10 @@ def _by_leaders(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     groups = components(links).withColumnRenamed("id", "doc_id")
     grouped = F.coalesce("component", "doc_id")
     placed = store(waiting.join(groups, "doc_id", "left").withColumn("component", grouped))
-    sides = _across(placed)
-    left = sides.where(rich & (F.col("nth") <= most)).select("v", "digit", "rest", "bit", *names)
+    leads = rich & (F.col("nth") <= most)
+    # Lists in which nobody is left to lead show no pair.
+    sides = _across(lookup(placed, placed.where(leads).select("v").distinct(), ["v"], "left_semi"))
+    left = sides.where(leads).select("v", "digit", "rest", "bit", *names)
     right = sides.withColumn("bit", 1 - F.col("bit"))
     right = right.select("v", "digit", "rest", "bit", "doc_id", "n", "shared", "lists")
     smaller = (F.col("na") < F.col("n")) | ((F.col("na") == F.col("n")) & (F.col("a") < F.col("doc_id")))
