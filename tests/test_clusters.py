@@ -299,3 +299,19 @@ def test_centres_are_broadcast_in_bounded_parts(players, model, monkeypatch):
 
 def test_vector_column(players):
     assert VECTOR in with_vector(players, FEATURES).columns
+
+
+def test_grid_query_takes_the_default_starts(monkeypatch):
+    from tidemark.workload import clusters
+
+    class Seen(Exception):
+        pass
+
+    def grid(rows, names, params):
+        raise Seen(params.n_init)
+
+    monkeypatch.setattr(clusters, "_reduced", lambda spark, d: (None, None))
+    monkeypatch.setattr(clusters, "kmeans_grid", grid)
+    with pytest.raises(Seen) as seen:
+        clusters._kmeans_grid(None, "")
+    assert seen.value.args == (ClusterParams().n_init,)

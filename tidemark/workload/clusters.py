@@ -179,7 +179,7 @@ def _kmeans_assign(spark, d):
 def _kmeans_grid(spark, d):
     """What holds for any right grid search, over the whole default grid."""
     rows, names = _reduced(spark, d)
-    params = ClusterParams(parallelism=8, n_init=1)
+    params = ClusterParams(parallelism=8)
     grid = kmeans_grid(rows, names, params)
     keys = ["n_clusters", "init", "max_iter", "tol"]
     means = grid.scores.groupBy(*keys).agg(F.avg("inertia").alias("mean"))
