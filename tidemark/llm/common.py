@@ -45,6 +45,12 @@ def store(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a stored table that nothing will read again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def lookup(rows: DataFrame, counts: DataFrame, keys: list[str], how: str, salts: int = 8) -> DataFrame:
     """Join to a frame with one row per key, with every key split in several.
 

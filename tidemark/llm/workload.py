@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.llm.centroids import cluster_vectors
 from tidemark.llm.common import is_class, table
 from tidemark.llm.decontamination import find_leaks
 from tidemark.llm.dedup import near_duplicates
@@ -95,6 +96,21 @@ def op9_sharding(spark, d):
     )
 
 
+def op11_centroid_clustering(spark, d):
+    found = cluster_vectors(table(spark, d, "embeddings"))
+    # One row per centroid, 40 at most.
+    centroids = F.broadcast(
+        found.centroids.select(
+            "cluster",
+            F.col("inertia").alias("cluster_inertia"),
+            F.col("total_inertia").alias("inertia"),
+            F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"),
+        )
+    )
+    names = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    return found.assigned.join(centroids, "cluster").select(*names)
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_url_filters": op2_url_filters,
@@ -106,6 +122,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_sharding": op9_sharding,
     "op10_language_id": op10_language_id,
+    "op11_centroid_clustering": op11_centroid_clustering,
 }
 
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -242,9 +259,52 @@ SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+_GAP = "list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+
+
+def _op11(clusters=40, rounds=5):
+    parts = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY first, v) - 1)::INTEGER AS cluster, v
+  FROM (SELECT sha256('2:' || vec_id) AS first, v FROM kept
+        WHERE vec_id IS NOT NULL ORDER BY first, v LIMIT {clusters}))"""
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS MATERIALIZED (
+  SELECT row, min(row(gap, cluster)) AS near FROM (
+    SELECT k.row, c.cluster, {_GAP} AS gap FROM kept k, c{r} c) GROUP BY row)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""s{r} AS (
+  SELECT near[2] AS cluster, i, sum(x) AS total, count(*) AS n FROM (
+    SELECT near, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept JOIN a{r} USING (row))
+  GROUP BY 1, 2),
+c{r + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN (
+    SELECT cluster, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY i) AS v
+    FROM s{r} GROUP BY cluster) m USING (cluster))"""
+            )
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, near[2] AS cluster, near[1] AS distance,
+       (sum(near[1]) OVER (PARTITION BY near[2]))::BIGINT AS cluster_inertia,
+       (sum(near[1]) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM kept JOIN a{rounds} USING (row) JOIN c{rounds} c ON c.cluster = near[2]
+"""
+
+
 ORACLES = {
     "op2_url_filters": _OP2,
     "op4_mixing": _OP4,
     "op5_exact_topk": _OP5,
     "op7_line_dedup": _OP7,
+    "op11_centroid_clustering": _op11(),
 }
