@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.llm.audit import audit_filters
 from tidemark.llm.centroids import cluster_vectors
 from tidemark.llm.common import is_class, table
 from tidemark.llm.decontamination import find_leaks
@@ -111,6 +112,10 @@ def op11_centroid_clustering(spark, d):
     return found.assigned.join(centroids, "cluster").select(*names)
 
 
+def op12_filter_audit(spark, d):
+    return audit_filters(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_url_filters": op2_url_filters,
@@ -123,6 +128,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_language_id": op10_language_id,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -259,6 +265,48 @@ SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+_OP12 = """
+WITH letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+steps AS (
+  SELECT filter_order, step::INTEGER AS step, bits[step] AS own,
+         coalesce(list_sum(bits[1:step - 1]), 0)::INTEGER AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY md5(coalesce(text, ''))) AS least
+  FROM documents),
+masks AS (
+  SELECT doc_id, part,
+         (len(words) < 100)::INT + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INT
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 10 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least, FALSE)::INT AS mask
+  FROM docs),
+flags AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+  FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, mask, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic
+  FROM masks LEFT JOIN flags USING (doc_id) GROUP BY part, mask),
+counted AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (mask & (before | own) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & before <> 0 AND mask & own <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & own <> 0), 0)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""
+
 _GAP = "list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
 
 
@@ -307,4 +355,5 @@ ORACLES = {
     "op5_exact_topk": _OP5,
     "op7_line_dedup": _OP7,
     "op11_centroid_clustering": _op11(),
+    "op12_filter_audit": _OP12,
 }
