@@ -12,6 +12,7 @@ from tidemark.llm.dedup import near_duplicates
 from tidemark.llm.language import identify_languages
 from tidemark.llm.lines import drop_common_lines
 from tidemark.llm.mixing import mix_sources
+from tidemark.llm.pii import KINDS, find_personal_data
 from tidemark.llm.quality import score_quality
 from tidemark.llm.sharding import assign_shards
 from tidemark.llm.topk import top_products
@@ -116,6 +117,20 @@ def op12_filter_audit(spark, d):
     return audit_filters(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op13_personal_data(spark, d):
+    found = find_personal_data(table(spark, d, "documents"))
+
+    def number(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    def text(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    counts = [number(kind).alias(f"n_{kind}") for kind in KINDS]
+    digest = F.sha2(text("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, text("spans").alias("spans"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_url_filters": op2_url_filters,
@@ -129,6 +144,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_centroid_clustering": op11_centroid_clustering,
     "op12_filter_audit": op12_filter_audit,
+    "op13_personal_data": op13_personal_data,
 }
 
 _UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
