@@ -1,4 +1,4 @@
-"""k-means on Spark ML: grid search, assignment, and data for the cluster charts."""
+"""k-means: grid search, single fits on Spark ML, assignment, and data for the cluster charts."""
 
 from __future__ import annotations
 
@@ -13,12 +13,14 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import quoted
 from tidemark.functions.numbers import squared_distance
+from tidemark.operators.lloyd import EVERYTHING, Fit, Fitted, Points, as_rows, fit_all
 from tidemark.operators.shape import union_by_position
 from tidemark.params import ClusterParams
 
@@ -70,9 +72,14 @@ def with_vector(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(df)
 
 
+def fold_of(key: str, folds: int) -> Column:
+    """The fold of a row, 0 .. folds-1, by a hash of its key."""
+    return F.pmod(F.xxhash64(key), F.lit(folds)).cast("int")
+
+
 def with_fold(df: DataFrame, key: str, folds: int) -> DataFrame:
     """Add ``fold``, 0 .. folds-1, by a hash of the key."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(key), F.lit(folds)).cast("int"))
+    return df.withColumn("fold", fold_of(key, folds))
 
 
 def mean_variance(vectors: DataFrame) -> float:
@@ -173,23 +180,39 @@ def _within_broadcast(fitted: Sequence[tuple[int, int, list[list[float]]]]) -> l
 
 
 def _held_out_silhouette(
-    folded: DataFrame, models: Sequence[tuple[int, int, KMeansModel]], threads: int
-) -> DataFrame:
+    folded: DataFrame, fitted: Sequence[tuple[int, int, list[list[float]]]], threads: int
+) -> dict[tuple[int, int], float]:
     def score(item):
-        p, fold, model = item
-        rows = model.transform(folded.filter(F.col("fold") == fold))
+        p, fold, centres = item
+        rows = folded.filter(F.col("fold") == fold)
+        x = vector_to_array(VECTOR)
+        rows = rows.select(VECTOR, nearest_centre(x, centres).alias("cluster_labels"))
         if rows.select("cluster_labels").distinct().limit(2).count() < 2:
             # All rows of the fold in one cluster: the lowest value there is.
-            return p, fold, None if rows.isEmpty() else -1.0
+            return (p, fold), None if rows.isEmpty() else -1.0
         value = ClusteringEvaluator(
             featuresCol=VECTOR, predictionCol="cluster_labels"
         ).evaluate(rows)
-        return p, fold, float(value)
+        return (p, fold), float(value)
 
     with ThreadPool(threads) as pool:
-        rows = pool.map(score, models)
-    return folded.sparkSession.createDataFrame(
-        rows, "point int, fold int, silhouette double"
+        return {key: value for key, value in pool.map(score, fitted) if value is not None}
+
+
+def model_of(
+    spark: SparkSession, centres: Sequence[Sequence[float]], point: GridPoint, shift: float
+) -> KMeansModel:
+    """A stored-model type with given centres and the settings that led to them.
+
+    Started at random from as many points as clusters, k-means takes each of them. A model has
+    two centres at least.
+    """
+    if len(centres) < 2:
+        raise ValueError("all rows are equal: there is nothing to cluster")
+    rows = spark.createDataFrame([(DenseVector(c),) for c in centres], [VECTOR])
+    fit = _estimator(len(centres), "random", 1, 0.0, 0).fit(rows.coalesce(1))
+    return fit.copy(
+        {fit.initMode: START_METHODS[point.init], fit.maxIter: point.max_iter, fit.tol: shift}
     )
 
 
@@ -202,56 +225,57 @@ def kmeans_grid(
     """Cross-validated grid search: fit each setting without each fold, score it on the
     fold, keep the setting with the best mean and refit it on all rows.
 
-    ``metric='inertia'`` prefers the lowest held-out inertia, ``'silhouette'`` the highest
-    held-out silhouette. A fold without rows has no score and stays out of the mean; one
-    whose rows fall into a single cluster has the lowest silhouette. The rows are cached for
-    the many passes; fits run ``params.parallelism`` at a time.
+    Of ``params.n_init`` starts of a fit the one of the lowest cost counts. All fits of the
+    grid advance together, one pass over the rows per step (:mod:`tidemark.operators.lloyd`),
+    and are scored in the same passes. ``metric='inertia'`` prefers the lowest held-out inertia,
+    ``'silhouette'`` the highest held-out silhouette, which takes a few jobs per fit,
+    ``params.parallelism`` at a time. A fold without rows has no score and stays out of the
+    mean; one whose rows fall into a single cluster has the lowest silhouette.
     """
     spark = df.sparkSession
-    points = grid_points(params)
-    folded = with_fold(with_vector(df, features), key, params.cross_validations)
-    folded = folded.select("fold", VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        variance = mean_variance(folded)
-        jobs = [
-            (i, fold)
-            for fold in range(params.cross_validations)
-            for i in range(len(points))
-        ]
-
-        def fit(rows, point):
-            return fit_kmeans(rows, point, params.random_state, variance, params.n_init)
-
-        def without_fold(job):
-            i, fold = job
-            rows = folded.filter(F.col("fold") != fold)
-            model = fit(rows, points[i])
-            return i, fold, model
-
-        with ThreadPool(params.parallelism) as pool:
-            models = pool.map(without_fold, jobs, chunksize=1)
+    points, starts = grid_points(params), range(params.n_init)
+    folds = range(params.cross_validations)
+    with Points(as_rows(df, features, fold_of(key, len(folds)), key)) as ready:
+
+        def fits(i: int, fold: int) -> list[Fit]:
+            p = points[i]
+            return [Fit(p.n_clusters, fold, s, p.init, p.max_iter, p.tol) for s in starts]
+
+        def best_of(found: Sequence[Fitted]) -> Fitted:
+            return min(found, key=lambda f: (math.isnan(f.cost), f.cost))
+
+        jobs = [(i, fold) for i in range(len(points)) for fold in folds]
+        found = fit_all(ready, [f for job in jobs for f in fits(*job)], params.random_state)
+        best = {
+            job: best_of(found[n * len(starts) : (n + 1) * len(starts)])
+            for n, job in enumerate(jobs)
+        }
         if params.metric == "inertia":
-            scored = held_out_inertia(
-                folded, [(i, fold, centre_lists(m)) for i, fold, m in models]
-            )
+            values = {job: f.held_out for job, f in best.items() if f.held_out is not None}
         else:
-            scored = _held_out_silhouette(folded, models, params.parallelism)
-        values: dict[int, dict[int, float]] = {i: {} for i in range(len(points))}
-        for r in scored.collect():
-            if r[params.metric] is not None:
-                values[r["point"]][r["fold"]] = r[params.metric]
-        means = {i: sum(v.values()) / len(v) for i, v in values.items() if v}
+            folded = with_vector(df, features).select(
+                fold_of(key, len(folds)).alias("fold"), VECTOR
+            )
+            centres = [(*job, f.centres.tolist()) for job, f in best.items() if len(f.centres)]
+            values = _held_out_silhouette(folded, centres, params.parallelism)
+        means = {
+            i: sum(own) / len(own)
+            for i in range(len(points))
+            if (own := [v for (j, _), v in values.items() if j == i])
+        }
         pick = min if params.metric == "inertia" else max
-        best = pick(means, key=lambda i: means[i])
-        model = fit(folded, points[best])
-    finally:
-        folded.unpersist()
+        chosen = pick(means, key=lambda i: means[i])
+        refit = best_of(fit_all(ready, fits(chosen, EVERYTHING), params.random_state))
+        point = points[chosen]
+        shift = math.sqrt(point.tol * ready.variance / point.n_clusters)
+        model = model_of(spark, refit.centres.tolist(), point, shift)
 
     scores = spark.createDataFrame(
         [
-            (p.n_clusters, p.init, p.max_iter, p.tol, f, float(value))
+            (p.n_clusters, p.init, p.max_iter, p.tol, fold, float(values[i, fold]))
             for i, p in enumerate(points)
-            for f, value in sorted(values[i].items())
+            for fold in folds
+            if (i, fold) in values
         ],
         "n_clusters int, init string, max_iter int, tol double, fold int, "
         f"{params.metric} double",
@@ -261,7 +285,7 @@ def kmeans_grid(
         scores=scores,
         curve=score_curve(scores, params.metric),
         best_params=spark.createDataFrame(
-            [_texts(points[best])],
+            [_texts(point)],
             "n_clusters string, init string, max_iter string, tol string",
         ),
         eval_params=spark.createDataFrame(
@@ -322,14 +346,18 @@ def assign_to_centres(
     """(key, cluster_labels, features): as :func:`assign_clusters`, for given centres; the
     first of equally near ones."""
     x = F.array(*[quoted(c).cast("double") for c in features])
-    points = [F.array(*[F.lit(float(v)) for v in c]) for c in centres]
-    gaps = F.array(*[squared_distance(x, c) for c in points])
-    nearest = (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int")
     return df.select(
-        key, nearest.alias("cluster_labels"), *[quoted(c) for c in features]
+        key, nearest_centre(x, centres).alias("cluster_labels"), *[quoted(c) for c in features]
     )
 
 
+def nearest_centre(x: Column, centres: Sequence[Sequence[float]]) -> Column:
+    """The number of the nearest centre, the first of equally near ones."""
+    points = [F.array(*[F.lit(float(v)) for v in c]) for c in centres]
+    gaps = F.array(*[squared_distance(x, c) for c in points])
+    return (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int")
+
+
 def _pair_rows(
     labelled: DataFrame,
     model: KMeansModel,
