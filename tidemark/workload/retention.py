@@ -20,6 +20,13 @@ from tidemark.operators.activity import (
     with_bucket,
     with_first_log,
 )
+from tidemark.operators.bitmaps import (
+    activity_bitmaps,
+    activity_state,
+    advance_state,
+    retention_of_bitmaps,
+    user_activity_of_state,
+)
 from tidemark.operators.cohorts import (
     assign_cohorts,
     cohort_filter,
@@ -33,6 +40,9 @@ from tidemark.operators.cohorts import (
 from tidemark.operators.retention import ratio_register, user_activity
 from tidemark.operators.shape import union_by_position
 from tidemark.params import ActivityParams, CohortParams, RatioParams
+from tidemark.sources.layout import shared_folder
+from tidemark.sources.readers import read_parquet
+from tidemark.sources.writers import write_parquet
 from tidemark.workload.views import (
     EVENT_DAYS,
     EVENT_RANGES,
@@ -306,6 +316,44 @@ def _purchases(spark, d):
     return event_cohorts(spark, d, "purchase")
 
 
+# Days from the first to the last day of the order ranges, and lists of days within.
+ORDER_SPAN = 2557
+FAR_DAYS = (0, 1, 31, 63, 64, 92, 365, 1000)
+
+
+def _stored(spark, rows):
+    path = shared_folder(spark)
+    write_parquet(rows, path)
+    return read_parquet(spark, path)
+
+
+def order_bitmaps(spark, d):
+    """Stored bitmaps of the orders, from which any list of days is read."""
+    return _stored(spark, activity_bitmaps(player_days(order_cohorts(spark, d)), ORDER_SPAN))
+
+
+def _bitmap_retention(days, mode):
+    def query(spark, d):
+        return retention_of_bitmaps(order_bitmaps(spark, d), days, mode)
+
+    return query
+
+
+# Orders that a stored state has seen, and the rest: by day, and late rows of any day.
+BEFORE_CUT = "o_orderdate < DATE '1998-01-01'"
+ON_TIME = "o_orderkey % 3 <> 0"
+
+
+def _advanced(seen, params):
+    def query(spark, d):
+        state = _stored(spark, activity_state(order_cohorts(spark, d, seen), ORDER_SPAN, params.frequency))
+        rest = order_cohorts(spark, d, f"NOT ({seen})")
+        state = advance_state(state, rest, ORDER_SPAN, params.frequency)
+        return user_activity_of_state(state, params)
+
+    return query
+
+
 def _flags_only(query):
     def flags(spark, d):
         rows = query(spark, d)
@@ -462,6 +510,11 @@ QUERIES = {
     ),
     "retention_sessions": _sessions_only,
     "observed_positions": _observed_positions,
+    "bitmap_retention": _bitmap_retention(FAR_DAYS, "rolling"),
+    "bitmap_retention_exact": _bitmap_retention(WEEK_DAYS, "exact"),
+    "state_advanced": _advanced(BEFORE_CUT, ActivityParams(days=FAR_DAYS)),
+    "state_late_rows": _advanced(ON_TIME, ActivityParams(days=WEEK_DAYS, mode="exact")),
+    "state_weekly": _advanced(ON_TIME, ActivityParams("weekly", days=WEEK_DAYS)),
     "user_activity": _activity(event_cohorts, ActivityParams(days=EVENT_DAYS)),
     "user_activity_weekly": _activity(
         order_cohorts, ActivityParams(frequency="weekly", days=WEEK_DAYS)
@@ -551,6 +604,16 @@ ORACLES = {
                    AS position,
                CAST(count(*) OVER (PARTITION BY cohort) AS INT) AS width
         FROM pairs""",
+    "bitmap_retention": activity_sql(ORDER_LOGS, calendar_sql(FAR_DAYS))
+    + " SELECT * FROM activity",
+    "bitmap_retention_exact": activity_sql(ORDER_LOGS, calendar_sql(WEEK_DAYS, "exact"))
+    + " SELECT * FROM activity",
+    "state_advanced": activity_sql(ORDER_LOGS, calendar_sql(FAR_DAYS))
+    + " SELECT * FROM activity",
+    "state_late_rows": activity_sql(ORDER_LOGS, calendar_sql(WEEK_DAYS, "exact"))
+    + " SELECT * FROM activity",
+    "state_weekly": activity_sql(ORDER_LOGS, calendar_sql(WEEK_DAYS), "week")
+    + " SELECT * FROM activity",
     "user_activity": activity_sql(EVENT_LOGS, calendar_sql(EVENT_DAYS))
     + " SELECT * FROM activity",
     "user_activity_weekly": activity_sql(ORDER_LOGS, calendar_sql(WEEK_DAYS), "week")

@@ -65,9 +65,13 @@ def event_cohorts(
     )
 
 
-def order_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(player_id, battleTime, cohort) of the orders."""
+def order_cohorts(
+    spark: SparkSession, sf_dir: str, where: str | None = None
+) -> DataFrame:
+    """(player_id, battleTime, cohort) of the orders, of some of them if a condition is given."""
     orders = table(spark, sf_dir, "orders")
+    if where:
+        orders = orders.filter(where)
     return _cohorts(
         orders.select(
             F.col("o_custkey").alias("player_id"), F.col("o_orderdate").alias("stamp")
