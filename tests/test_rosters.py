@@ -8,12 +8,14 @@ from tidemark.functions.nested import json_fragments
 from tidemark.operators.cohorts import cohort_filter
 from tidemark.operators.rosters import (
     duo_roster,
+    event_rosters,
     solo_roster,
     special_roster,
     split_event_families,
     trio_roster,
 )
 from tidemark.params import STANDARD_COLUMNS, CohortParams, FamilyParams
+from tidemark.workload.rosters import QUERIES
 
 KEYS = ("player_id",)
 
@@ -147,6 +149,53 @@ def test_families(spark, typed):
     assert off.schema == tables["duo"].schema and off.count() == 0
 
 
+@pytest.mark.parametrize("keep_empty", [False, True])
+def test_one_pass_gives_what_the_roster_functions_give(spark, keep_empty):
+    """All kinds of rosters under all modes, one of which is in two families."""
+    rows = [
+        {
+            "player_id": f"#{mode}{i}",
+            "event_mode": mode,
+            "battle_players": p if p is None or isinstance(p, str) else json.dumps(p),
+            "battle_teams": t if t is None else json.dumps(t),
+            "battle_bigBrawler_tag": "#Z",
+        }
+        for mode in ("a", "b", "c", "d", "none", None)
+        for i, (p, t) in enumerate(zip([*PLAYERS, None], [*TEAMS, None]))
+    ]
+    logs = raw_logs(spark, rows)
+    modes = {"solo": ("a",), "duo": ("b", "d"), "trio": ("c",), "special": ("d",)}
+    keys = ("player_id", "event_mode")
+    params = FamilyParams(**modes, standard_columns=keys, keep_empty=keep_empty)
+    tables = split_event_families(logs, params)
+    single = {"solo": solo_roster, "duo": duo_roster, "trio": trio_roster, "special": special_roster}
+    for name, roster in single.items():
+        expected = roster(logs.filter(F.col("event_mode").isin(list(modes[name]))), keys, keep_empty)
+        assert tables[name].columns == expected.columns
+        assert sorted(map(repr, tables[name].collect())) == sorted(map(repr, expected.collect()))
+    assert event_rosters(logs, FamilyParams((), (), (), (), keys)).count() == 0
+
+
+def test_a_family_reads_its_own_folder(spark):
+    logs = raw_logs(spark, [{"player_id": "#0", "event_mode": m, "battle_players": json.dumps([player("#A", "x")])}
+                            for m in ("soloShowdown", "bigGame")])
+    tables = split_event_families(logs, FamilyParams(standard_columns=KEYS))
+    for name, files in (("solo", 1), ("special", 1), ("duo", 0)):
+        table = tables[name]
+        table.collect()
+        plan = table._jdf.queryExecution().executedPlan()
+        assert "PartitionFilters: [isnotnull(family" in plan.toString()
+        assert table.count() == files
+
+
+@pytest.mark.parametrize("query", ["event_families", "event_families_typed", "disabled_family"])
+def test_event_queries_scan_events_once(spark, query):
+    df = QUERIES[query](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("events.parquet") == 1
+
+
 def test_rosters_do_not_shuffle(spark):
     df = logs_with(spark, "battle_players", PLAYERS)
     plan = solo_roster(df.filter(F.col("player_id") != "#9"), KEYS)

@@ -73,9 +73,11 @@ def retention_flow(
         cohort_filter(logs, params.cohorts), base, "cohort_logs", ["cohort"]
     )
     tables = {"cohort_logs": cohort_logs}
-    for family, table in split_event_families(cohort_logs, params.families).items():
-        name = f"event_{family}"
-        tables[name] = _stored(table, base, name)
+    # One pass and one table, with a folder for each family.
+    families = split_event_families(
+        cohort_logs, params.families, table_path(base, "event_rosters")
+    )
+    tables.update({f"event_{family}": table for family, table in families.items()})
     tables["user_activity"] = _stored(
         user_activity(cohort_logs, params.activity, len(params.cohorts.ranges)),
         base,

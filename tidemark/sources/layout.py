@@ -15,10 +15,7 @@ LAYERS = {
     "primary": (
         "cohort_logs",
         "profiles_prepared",
-        "event_solo",
-        "event_duo",
-        "event_trio",
-        "event_special",
+        "event_rosters",
         "user_activity",
         "cohort_activity",
     ),

@@ -17,8 +17,11 @@ from tidemark.functions.nested import (
 from tidemark.operators.cohorts import cohort_filter
 from tidemark.operators.rosters import (
     BRAWLERS,
+    FAMILY,
     PLAYERS,
+    TEAM_SIZES,
     duo_roster,
+    event_rosters,
     solo_roster,
     special_roster,
     split_event_families,
@@ -48,36 +51,45 @@ def _kept_empty(spark, d):
     return _as_text(solo_roster(raw_logs(spark, d), KEYS, keep_empty=True))
 
 
-def _families(spark, d, typed=False):
+_FAMILY_COLUMNS = ("cohort", "battleTime", "player_id", "event_mode", "is_starPlayer")
+
+
+def _cohort_logs(spark, d, typed=False):
     params = CohortParams(ranges=EVENT_RANGES, typed_rosters=typed)
-    logs = cohort_filter(raw_logs(spark, d), params)
-    parts = split_event_families(logs, FAMILIES)
-    rows = None
-    for name, part in parts.items():
-        part = _as_text(part).select(
-            F.lit(name).alias("family"),
-            "cohort",
-            "battleTime",
-            "player_id",
-            "event_mode",
-            "is_starPlayer",
-            PLAYERS,
-            BRAWLERS,
-        )
-        rows = part if rows is None else rows.union(part)
-    return rows
+    return cohort_filter(raw_logs(spark, d), params)
+
+
+def _families(spark, d, typed=False):
+    """All families from one pass; collections of families without teams as plain lists."""
+    rosters = event_rosters(_cohort_logs(spark, d, typed), FAMILIES)
+    in_teams = F.col(FAMILY).isin(list(TEAM_SIZES))
+    texts = {
+        c: F.when(in_teams, F.to_json(c)).otherwise(F.to_json(F.get(c, 0)))
+        for c in (PLAYERS, BRAWLERS)
+    }
+    return rosters.select(FAMILY, *_FAMILY_COLUMNS, *[t.alias(c) for c, t in texts.items()])
+
+
+def _family_tables(spark, d):
+    """The families from their stored folders."""
+    tables = split_event_families(_cohort_logs(spark, d), FAMILIES)
+    return union_by_position(
+        [
+            _as_text(table).select(
+                F.lit(name).alias(FAMILY), *_FAMILY_COLUMNS, PLAYERS, BRAWLERS
+            )
+            for name, table in tables.items()
+        ]
+    )
 
 
 def _disabled_family(spark, d):
-    logs = cohort_filter(raw_logs(spark, d), CohortParams(ranges=EVENT_RANGES))
-    parts = split_event_families(logs, FamilyParams(duo=()))
-    counts = [
-        _as_text(parts[name]).agg(
-            F.lit(name).alias("family"), F.count("*").alias("n_rows")
-        )
-        for name in ("solo", "duo", "trio", "special")
-    ]
-    return union_by_position(counts)
+    rosters = event_rosters(_cohort_logs(spark, d), FamilyParams(duo=()))
+    counts = rosters.groupBy(FAMILY).agg(F.count("*").alias("n_rows"))
+    names = spark.createDataFrame([(n,) for n in ("solo", "duo", "trio", "special")], "family string")
+    # Four names, so broadcast.
+    joined = counts.join(F.broadcast(names), FAMILY, "right")
+    return joined.select(FAMILY, F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"))
 
 
 def _json_map_extract(spark, d):
@@ -181,6 +193,7 @@ QUERIES = {
     "special_roster": _roster(special_roster),
     "event_families": _families,
     "event_families_typed": partial(_families, typed=True),
+    "event_family_tables": _family_tables,
     "disabled_family": _disabled_family,
     "json_map_extract": _json_map_extract,
     "json_lists": _json_lists,
@@ -199,6 +212,7 @@ ORACLES = {
     "special_roster": _roster_sql(_solo_columns(), _HAS_PLAYERS, _BOSS_SQL),
     "event_families": _families_sql(),
     "event_families_typed": _families_sql(),
+    "event_family_tables": _families_sql(),
     "disabled_family": f"""WITH {RAW_SQL}, {ranges_sql(EVENT_RANGES)}
         SELECT 'solo' AS family, count(*) AS n_rows FROM raw
         JOIN ranges ON CAST(ts AS DATE) > lo AND CAST(ts AS DATE) < hi
