@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import squared_distance
@@ -28,6 +29,7 @@ from tidemark.operators.features import (
     select_features,
     top_features,
 )
+from tidemark.operators.lloyd import EVERYTHING, as_rows, step_sums
 from tidemark.operators.quality import (
     as_points,
     cluster_count,
@@ -38,6 +40,7 @@ from tidemark.operators.quality import (
     silhouette_to_centres,
     silhouette_values,
 )
+from tidemark.operators.sampled import silhouette_of_sample
 from tidemark.operators.shape import count_parity, null_profile
 from tidemark.params import ClusterParams
 from tidemark.sources.layout import shared_folder
@@ -153,6 +156,20 @@ def _silhouette_exact(spark, d):
     return rows.select("key", "label", F.round("silhouette", 6).alias("silhouette"))
 
 
+def _silhouette_sampled(spark, d):
+    """From samples of about 32 points a cluster: every point is scored, and the exact mean
+    is within the bound. With squared distances the exact one takes linear time."""
+    points = _points(spark, d)
+    row = silhouette_of_sample(points, 32, squared=True)
+    off = F.abs(F.col("silhouette") - F.lit(silhouette(points)))
+    return row.select(
+        "n",
+        (F.col("standard_error") > 0).alias("is_sampled"),
+        (off <= F.col("bound")).alias("is_within"),
+        (F.col("bound") < 0.05).alias("is_narrow"),
+    )
+
+
 def _stored_scaled(spark, d):
     """Scaled features as a stored table: model fits and scores read it many times."""
     path = shared_folder(spark)
@@ -179,8 +196,7 @@ def _kmeans_assign(spark, d):
 def _kmeans_grid(spark, d):
     """What holds for any right grid search, over the whole default grid."""
     rows, names = _reduced(spark, d)
-    params = ClusterParams(parallelism=8)
-    grid = kmeans_grid(rows, names, params)
+    grid = kmeans_grid(rows, names, ClusterParams())
     keys = ["n_clusters", "init", "max_iter", "tol"]
     means = grid.scores.groupBy(*keys).agg(F.avg("inertia").alias("mean"))
     off = F.abs(F.col("mean") - F.col("mean_inertia")) > 1e-9
@@ -205,6 +221,24 @@ def _kmeans_grid(spark, d):
     )
 
 
+def _kmeans_step(spark, d):
+    """One step of several models over all customers: two sets of centres, each without each
+    of the folds and on all rows."""
+    fold = F.pmod("player_id", F.lit(FOLDS))
+    rows = as_rows(_scaled(spark, d), FEATURES, fold, "player_id")
+    models = [(np.array(c), f) for c in CENTRES for f in (*range(FOLDS), EVERYTHING)]
+    sums = step_sums(rows, *zip(*models))
+    named = {c: F.round(F.get("sums", F.lit(i)), 5).alias(c) for i, c in enumerate(FEATURES)}
+    own = F.col("cluster") >= 0
+    return sums.select(
+        "model",
+        "cluster",
+        "n",
+        F.round("cost", 5).alias("cost"),
+        *[F.when(own, v).alias(c) for c, v in named.items()],
+    )
+
+
 def _kmeans_starts(spark, d):
     """Ten starts cost no more than one."""
     rows, names = _reduced(spark, d)
@@ -406,10 +440,12 @@ QUERIES = {
     "davies_bouldin": _separation("davies_bouldin_score"),
     "silhouette_squared": _silhouette_squared,
     "silhouette_exact": _silhouette_exact,
+    "silhouette_sampled": _silhouette_sampled,
     "kmeans_assign": _kmeans_assign,
     "kmeans_grid": _kmeans_grid,
     "kmeans_best": _kmeans_best,
     "kmeans_starts": _kmeans_starts,
+    "kmeans_step": _kmeans_step,
     "davies_bouldin_many": _davies_bouldin_many,
     "silhouette_to_centres": _silhouette_to_centres,
     "kmeans_metrics": _kmeans_metrics,
@@ -498,6 +534,37 @@ ORACLES = {
     "kmeans_grid": """SELECT CAST(11 AS BIGINT) AS settings, CAST(55 AS INT) AS scores,
         CAST(0 AS BIGINT) AS wrong_means, TRUE AS best_is_least, TRUE AS refit_is_best,
         '[2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12]' AS exported_k""",
+    "kmeans_step": f"""WITH {_PROFILES},
+        folds(fold) AS (VALUES {", ".join(f"({f})" for f in (*range(FOLDS), -1))}),
+        models AS (
+            SELECT model, fold, number, centre FROM (VALUES {
+        ", ".join(
+            f"({s * (FOLDS + 1) + i}, {f}, {n}, {c}::DOUBLE[])"
+            for s, cs in enumerate(CENTRES)
+            for i, f in enumerate((*range(FOLDS), -1))
+            for n, c in enumerate(cs)
+        )
+    }) AS m(model, fold, number, centre)
+        ),
+        gaps AS (
+            SELECT model, fold, number, list_distance([{
+        ", ".join(FEATURES)
+    }]::DOUBLE[], centre) ** 2 AS gap, scaled.* FROM scaled, models
+        ),
+        placed AS (
+            SELECT model, CASE WHEN player_id % {FOLDS} = fold THEN -1 ELSE number END AS cluster,
+                   gap, {", ".join(FEATURES)}
+            FROM gaps
+            QUALIFY row_number() OVER (PARTITION BY model, player_id ORDER BY gap, number) = 1
+        )
+        SELECT CAST(model AS INT) AS model, CAST(cluster AS INT) AS cluster, count(*) AS n,
+               round(sum(gap), 5) AS cost, {
+        ", ".join(
+            f"CASE WHEN cluster >= 0 THEN CAST(round(sum({c}), 5) AS DOUBLE) END AS {c}"
+            for c in FEATURES
+        )
+    }
+        FROM placed GROUP BY model, cluster""",
     "kmeans_starts": "SELECT count(*) AS n_players, TRUE AS ten_not_above_one FROM customer",
     "kmeans_best": """WITH scores AS (
             SELECT CAST(c_nationkey % 11 + 2 AS INT) AS n_clusters, c_custkey % 5 AS fold,
@@ -605,6 +672,8 @@ ORACLES = {
     }
         SELECT count(*) AS n, round(avg(coalesce((b - a) / greatest(a, b), 0)), 6)
             AS silhouette FROM sides""",
+    "silhouette_sampled": """SELECT count(*) AS n, TRUE AS is_sampled, TRUE AS is_within,
+        TRUE AS is_narrow FROM embeddings""",
     "silhouette_exact": f"""WITH {_PAIRS.format(distance="list_distance(a.x, b.x)")}
         SELECT vec_id AS key, label,
                round(coalesce((b - a) / greatest(a, b), 0), 6) AS silhouette
