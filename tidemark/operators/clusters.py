@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import quoted
 from tidemark.functions.numbers import squared_distance
 from tidemark.operators.lloyd import EVERYTHING, Fit, Fitted, Points, as_rows, fit_all
+from tidemark.operators.ordering import contiguous_parts
 from tidemark.operators.shape import union_by_position
 from tidemark.params import ClusterParams
 
@@ -235,7 +236,11 @@ def kmeans_grid(
     spark = df.sparkSession
     points, starts = grid_points(params), range(params.n_init)
     folds = range(params.cross_validations)
-    with Points(as_rows(df, features, fold_of(key, len(folds)), key)) as ready:
+    fold_column = fold_of(key, len(folds))
+    if params.folds == "contiguous":
+        df = contiguous_parts(df, key, len(folds), "_fold")
+        fold_column = F.col("_fold")
+    with Points(as_rows(df, features, fold_column, key)) as ready:
 
         def fits(i: int, fold: int) -> list[Fit]:
             p = points[i]
@@ -253,9 +258,7 @@ def kmeans_grid(
         if params.metric == "inertia":
             values = {job: f.held_out for job, f in best.items() if f.held_out is not None}
         else:
-            folded = with_vector(df, features).select(
-                fold_of(key, len(folds)).alias("fold"), VECTOR
-            )
+            folded = with_vector(df, features).select(fold_column.alias("fold"), VECTOR)
             centres = [(*job, f.centres.tolist()) for job, f in best.items() if len(f.centres)]
             values = _held_out_silhouette(folded, centres, params.parallelism)
         means = {

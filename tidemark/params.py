@@ -179,7 +179,8 @@ class RatioParams:
 @dataclass(frozen=True)
 class ClusterParams:
     """Feature selection and the k-means grid: k runs over 2 .. max_n_cluster - 1, and each
-    fit keeps the best of ``n_init`` starts."""
+    fit keeps the best of ``n_init`` starts. ``folds`` are dealt by a ``hash`` of the key, or
+    are ``contiguous`` in its order."""
 
     top_features: int = 4
     random_state: int = 42
@@ -191,8 +192,10 @@ class ClusterParams:
     cross_validations: int = 5
     metric: str = "inertia"
     parallelism: int = 4
+    folds: str = "hash"
 
     def __post_init__(self):
+        one_of("folds", self.folds, ("hash", "contiguous"))
         one_of("metric", self.metric, ("inertia", "silhouette"))
 
 

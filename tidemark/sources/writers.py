@@ -1,14 +1,23 @@
-"""Writers: CSV, Parquet, JSON records, models, and versioned tables."""
+"""Writers: CSV, Parquet, JSON records and models. Versioned tables are in ``versions``."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.ml.clustering import KMeansModel
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from tidemark.sources.versions import append_version, read_version, versions
+
+__all__ = [
+    "append_version",
+    "read_version",
+    "versions",
+    "write_csv",
+    "write_model",
+    "write_parquet",
+    "write_record",
+]
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -29,30 +38,3 @@ def write_record(df: DataFrame, path: str) -> None:
 def write_model(model: KMeansModel, path: str) -> None:
     """Replace a stored model."""
     model.write().overwrite().save(path)
-
-
-def append_version(df: DataFrame, path: str, version: str) -> None:
-    """Add a version of a table beside the earlier ones. Versions sort by their text, as
-    ISO times do. A version that is there already is replaced, so a run may be repeated."""
-    writer = df.withColumn("version", F.lit(version)).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path)
-
-
-def versions(spark: SparkSession, path: str) -> list[str]:
-    """The stored versions, oldest first, from the listing of folders; no file is read."""
-    found = (re.search(r"/version=([^/]+)/", f) for f in spark.read.parquet(path).inputFiles())
-    # Folder names are escaped once, and the URIs of files once more.
-    return sorted({unquote(unquote(m[1])) for m in found if m})
-
-
-def read_version(
-    spark: SparkSession, path: str, version: str | None = None
-) -> DataFrame:
-    """One version of a table, by default the latest; only its files are read."""
-    stored = spark.read.parquet(path)
-    # The version is a directory name; keep it text whatever it looks like.
-    as_text = stored.withColumn("version", F.col("version").cast("string"))
-    table = spark.read.schema(as_text.schema).parquet(path)
-    if version is None:
-        version = versions(spark, path)[-1]
-    return table.filter(F.col("version") == F.lit(version))

@@ -30,6 +30,7 @@ from tidemark.operators.features import (
     top_features,
 )
 from tidemark.operators.lloyd import EVERYTHING, as_rows, step_sums
+from tidemark.operators.ordering import contiguous_parts
 from tidemark.operators.quality import (
     as_points,
     cluster_count,
@@ -41,7 +42,7 @@ from tidemark.operators.quality import (
     silhouette_values,
 )
 from tidemark.operators.sampled import silhouette_of_sample
-from tidemark.operators.shape import count_parity, null_profile
+from tidemark.operators.shape import count_parity, null_profile, union_by_position
 from tidemark.params import ClusterParams
 from tidemark.sources.layout import shared_folder
 from tidemark.sources.readers import read_parquet
@@ -239,6 +240,26 @@ def _kmeans_step(spark, d):
     )
 
 
+def _contiguous_folds(spark, d):
+    rows = contiguous_parts(table(spark, d, "customer"), "c_custkey", 7)
+    return rows.select("c_custkey", "fold")
+
+
+def _contiguous_folds_of_texts(spark, d):
+    """Sizes and bounds of the parts by a date that many rows share, and by a text."""
+    lines = table(spark, d, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    parts = [
+        contiguous_parts(lines, key, 9).groupBy("fold").agg(
+            F.lit(key).alias("key"),
+            F.count("*").alias("n"),
+            F.min(key).cast("string").alias("first"),
+            F.max(key).cast("string").alias("last"),
+        )
+        for key in ("l_shipdate", "l_returnflag")
+    ]
+    return union_by_position(parts)
+
+
 def _kmeans_starts(spark, d):
     """Ten starts cost no more than one."""
     rows, names = _reduced(spark, d)
@@ -446,6 +467,8 @@ QUERIES = {
     "kmeans_best": _kmeans_best,
     "kmeans_starts": _kmeans_starts,
     "kmeans_step": _kmeans_step,
+    "contiguous_folds": _contiguous_folds,
+    "contiguous_folds_ties": _contiguous_folds_of_texts,
     "davies_bouldin_many": _davies_bouldin_many,
     "silhouette_to_centres": _silhouette_to_centres,
     "kmeans_metrics": _kmeans_metrics,
@@ -534,6 +557,18 @@ ORACLES = {
     "kmeans_grid": """SELECT CAST(11 AS BIGINT) AS settings, CAST(55 AS INT) AS scores,
         CAST(0 AS BIGINT) AS wrong_means, TRUE AS best_is_least, TRUE AS refit_is_best,
         '[2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12]' AS exported_k""",
+    "contiguous_folds": """SELECT c_custkey,
+        CAST(ntile(7) OVER (ORDER BY c_custkey) - 1 AS INT) AS fold FROM customer""",
+    "contiguous_folds_ties": " UNION ALL ".join(
+        f"""SELECT fold, '{key}' AS key, count(*) AS n, CAST(min({key}) AS VARCHAR) AS first,
+                CAST(max({key}) AS VARCHAR) AS last
+        FROM (SELECT {cast}, CAST(ntile(9) OVER (ORDER BY {key}) - 1 AS INT) AS fold
+              FROM lineitem) GROUP BY fold"""
+        for key, cast in (
+            ("l_shipdate", "CAST(l_shipdate AS DATE) AS l_shipdate"),
+            ("l_returnflag", "l_returnflag"),
+        )
+    ),
     "kmeans_step": f"""WITH {_PROFILES},
         folds(fold) AS (VALUES {", ".join(f"({f})" for f in (*range(FOLDS), -1))}),
         models AS (

@@ -3,6 +3,8 @@ the session's shared folder first."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import names_like, underscored
@@ -12,9 +14,15 @@ from tidemark.operators.shape import (
     apply_ddl,
     flatten,
     head_of_list,
+    require_rows,
     union_by_name,
+    union_by_position,
     with_key,
 )
+from tidemark.operators.retention import ratio_register, user_activity
+from tidemark.params import BATTLE_LOG_DDL, ActivityParams, RatioParams, require_columns
+from tidemark.sources.files import file_names, replace_file
+from tidemark.sources.landing import land, read_landed, store_payloads
 from tidemark.sources.layout import shared_folder, table_path
 from tidemark.sources.readers import (
     BATTLE_PAYLOAD_DDL,
@@ -26,16 +34,15 @@ from tidemark.sources.readers import (
     read_payloads,
     split_id_list,
 )
-from tidemark.sources.writers import (
+from tidemark.sources.versions import (
     append_version,
-    write_csv,
-    write_model,
-    write_parquet,
-    write_record,
     read_version,
+    version_history,
+    versions,
 )
+from tidemark.sources.writers import write_csv, write_model, write_parquet, write_record
 from tidemark.workload import clusters
-from tidemark.workload.retention import RAW_SQL
+from tidemark.workload.retention import EVENT_LOGS, RAW_SQL, player_json_sql
 from tidemark.workload.views import EVENT_RANGES, event_cohorts, nested_logs, table
 
 
@@ -126,9 +133,30 @@ def _model_round_trip(spark, d):
     )
 
 
-def _battle_payloads(spark, d):
-    # Each event as one payload document with one item, and a broken document per supplier.
+def _version_history(spark, d):
+    """Versions that were written, replaced, left empty, or not committed."""
     path = shared_folder(spark)
+    customers = table(spark, d, "customer").select("c_custkey", "c_name")
+    append_version(customers, path, "2024-01-01")
+    append_version(customers.limit(0), path, "2024-01-03")
+    append_version(customers.filter("c_custkey % 2 = 0"), path, "2024-01-02")
+    # A repeat that has nothing to write any more, and a write that failed before its commit.
+    append_version(customers.limit(0), path, "2024-01-01")
+    write_parquet(customers, f"{path}/data/unfinished")
+    names = versions(spark, path)
+    rows = [
+        read_version(spark, path, v).groupBy().agg(
+            F.lit(v).alias("version"), F.count("c_custkey").alias("n_read")
+        )
+        for v in names
+    ]
+    return version_history(spark, path).select("version", "n_rows").join(
+        union_by_position(rows), "version"
+    )
+
+
+def _event_documents(spark, d):
+    """Each event as one payload document with one item: (value, event_id, user_id)."""
     logs = nested_logs(spark, d)
     item = F.struct(
         F.col("battleTime"),
@@ -145,11 +173,118 @@ def _battle_payloads(spark, d):
         ).alias("battle"),
     )
     document = F.to_json(F.struct("player_id", F.array(item).alias("items")))
-    broken = table(spark, d, "supplier").select(
+    return logs.select(document.alias("value"), "player_id", "battleTime")
+
+
+def _broken_documents(spark, d):
+    """A document that does not parse for each supplier."""
+    return table(spark, d, "supplier").select(
         F.concat(F.lit('{"player_id": '), "s_name").alias("value")
     )
-    logs.select(document.alias("value")).union(broken).write.text(path)
-    return read_payloads(spark, path, BATTLE_PAYLOAD_DDL)
+
+
+def _battle_documents(spark, d):
+    """Event documents and broken ones, written as text."""
+    path = shared_folder(spark)
+    _event_documents(spark, d).select("value").union(_broken_documents(spark, d)).write.text(path)
+    return path
+
+
+def _battle_payloads(spark, d):
+    return read_payloads(spark, _battle_documents(spark, d), BATTLE_PAYLOAD_DDL)
+
+
+def _stored_payloads(spark, d):
+    return store_payloads(
+        spark, _battle_documents(spark, d), BATTLE_PAYLOAD_DDL, shared_folder(spark)
+    )
+
+
+def _payload_counts(spark, d):
+    """What the write counted, beside the rows of both sides of the one stored parse."""
+    found = _stored_payloads(spark, d)
+    sides = found.good.select(F.lit(0).alias("side")).union(found.bad.select(F.lit(1)))
+    counts = [F.lit(n).cast("long").alias(f"observed_{c}") for c, n in sorted(found.counts.items())]
+    return sides.agg(
+        F.count_if(F.col("side") == 0).alias("good"), F.count_if(F.col("side") == 1).alias("bad"), *counts
+    )
+
+
+def _landed(spark, d):
+    """Three landings of the event documents: a third of the users, a file that changed and
+    new ones, and the rest."""
+    source, target, spare = (shared_folder(spark) for _ in range(3))
+    documents = _event_documents(spark, d)
+    part = F.pmod(F.crc32("player_id"), F.lit(4))
+
+    def put(rows, name):
+        # One file of a fixed name, as a fetch of some players leaves it.
+        draft = f"{spare}/{name}-{uuid.uuid4().hex}"
+        rows.select("value").coalesce(1).write.text(draft)
+        replace_file(spark, f"{draft}/{file_names(spark, draft, '.txt')[0]}", f"{source}/{name}.json")
+
+    put(documents.filter(part == 0), "a")
+    put(documents.filter((part == 1) & (F.col("battleTime") < "20240110")), "b")
+    land(spark, source, target, BATTLE_PAYLOAD_DDL)
+    put(documents.filter(part == 1), "b")
+    put(documents.filter(part == 2), "c")
+    land(spark, source, target, BATTLE_PAYLOAD_DDL)
+    put(documents.filter(part == 3).unionByName(_broken_documents(spark, d), True), "d")
+    land(spark, source, target, BATTLE_PAYLOAD_DDL)
+    return read_landed(spark, target, BATTLE_PAYLOAD_DDL)
+
+
+def _payload_landing(spark, d):
+    good, bad = _landed(spark, d)
+    rows = battle_rows(good).select("player_id", "battleTime", "event_mode")
+    broken = bad.select(F.col("_bad_record").alias("player_id"), F.lit(None), F.lit(None))
+    return rows.union(broken)
+
+
+def _checks(spark, d):
+    """Which of the checks raise, on whole tables and on what is missing from them."""
+    orders = table(spark, d, "orders")
+    activity = user_activity(event_cohorts(spark, d), ActivityParams(days=(0, 1, 7)))
+    checks = {
+        "rows": lambda: require_rows(orders, "orders"),
+        "no rows": lambda: require_rows(orders.filter("o_orderkey < 0"), "orders"),
+        "columns": lambda: require_columns(orders.columns, ["o_orderkey", "o_custkey"]),
+        "no column": lambda: require_columns(orders.columns, ["o_orderkey", "c_custkey"]),
+        "ratio days": lambda: ratio_register(activity, RatioParams(((1, 0), (7, 1)), None)),
+        "no ratio day": lambda: ratio_register(activity, RatioParams(((28, 0),), None)),
+    }
+
+    def raised(check):
+        try:
+            check()
+        except ValueError:
+            return True
+        return False
+
+    found = [(name, raised(check)) for name, check in checks.items()]
+    facts = spark.createDataFrame(found, "input string, raised boolean")
+    n = orders.agg(F.count("*").alias("n_orders"))
+    # One row of counts.
+    return facts.join(F.broadcast(n))
+
+
+def _stored_layout(spark, d):
+    """Tables stored by name, each under its layer."""
+    base = shared_folder(spark)
+    stored = {
+        "battle_logs": ("raw", table(spark, d, "events")),
+        "cohort_logs": ("primary", event_cohorts(spark, d)),
+        "profiles_scaled": ("model_input", table(spark, d, "customer")),
+    }
+    for name, (_, rows) in stored.items():
+        write_parquet(rows, table_path(base, name))
+    parts = [
+        read_parquet(spark, f"{base}/{layer}/{name}").agg(
+            F.lit(name).alias("name"), F.lit(layer).alias("layer"), F.count("*").alias("n_rows")
+        )
+        for name, (layer, _) in stored.items()
+    ]
+    return union_by_position(parts)
 
 
 def _battle_ingest(spark, d):
@@ -165,6 +300,11 @@ def _battle_ingest(spark, d):
     )
 
 
+def _battle_ingest_columns(spark, d):
+    """All columns of the raw logs, from the stored parse."""
+    return battle_rows(_stored_payloads(spark, d).good)
+
+
 def _bad_payloads(spark, d):
     _, bad = _battle_payloads(spark, d)
     return bad.select(F.col("_bad_record").alias("record"))
@@ -224,6 +364,36 @@ def _union_missing_columns(spark, d):
     return union_by_name([suppliers, customers])
 
 
+def _battle_columns_sql() -> str:
+    players = [
+        player_json_sql("player_id", "upper(event_type)"),
+        player_json_sql("'#' || k", "'K' || k"),
+        player_json_sql("'#' || (user_id + k)", "'THIRD'"),
+        player_json_sql("'#' || (user_id + 1000)", "'FOURTH'"),
+    ]
+
+    def listed(members: list[str], length: str) -> str:
+        return f"'[' || array_to_string(([{', '.join(members)}])[1:{length}], ',') || ']'"
+
+    teams = f"'[' || {listed(players, 'size + 1')} || ',' || {listed([players[2], players[0]], 'size')} || ']'"
+    known = {
+        "battleTime": "battle_time",
+        "event_id": "event_id",
+        "event_mode": "event_mode",
+        "event_map": "'map ' || size",
+        "battle_trophyChange": "trophies",
+        "battle_starPlayer_tag": "star",
+        "battle_players": f"CASE WHEN k < 80 THEN {listed(players[:3], 'size')} END",
+        "battle_teams": f"CASE WHEN k < 80 THEN {teams} END",
+        "player_id": "player_id",
+    }
+    types = {"STRING": "VARCHAR", "BIGINT": "BIGINT"}
+    fields = [field.split() for field in BATTLE_LOG_DDL.split(",")]
+    return ", ".join(
+        f'CAST({known.get(name, "NULL")} AS {types[kind]}) AS "{name}"' for name, kind in fields
+    )
+
+
 QUERIES = {
     "tag_lists": _tag_lists,
     "tag_list_sample": _tag_list_sample,
@@ -233,6 +403,12 @@ QUERIES = {
     "parquet_partitioned": _parquet_partitioned,
     "record_sink": _record_sink,
     "versioned_table": _versioned_table,
+    "version_history": _version_history,
+    "payload_counts": _payload_counts,
+    "payload_landing": _payload_landing,
+    "battle_ingest_columns": _battle_ingest_columns,
+    "input_checks": _checks,
+    "stored_layout": _stored_layout,
     "model_round_trip": _model_round_trip,
     "battle_ingest": _battle_ingest,
     "bad_payloads": _bad_payloads,
@@ -263,6 +439,25 @@ ORACLES = {
         FROM orders""",
     "versioned_table": """SELECT c_custkey, lower(c_name) AS c_name,
         '2024-01-02T00.00.00.000Z' AS version FROM customer""",
+    "version_history": """SELECT '2024-01-01' AS version, 0::BIGINT AS n_rows, 0::BIGINT AS n_read
+        UNION ALL SELECT '2024-01-02', count(*), count(*) FROM customer WHERE c_custkey % 2 = 0
+        UNION ALL SELECT '2024-01-03', 0, 0""",
+    "payload_counts": """SELECT (SELECT count(*) FROM events) AS good, count(*) AS bad,
+        count(*) AS observed_bad, 0::BIGINT AS observed_missing_items,
+        0::BIGINT AS observed_missing_player_id,
+        (SELECT count(*) FROM events) + count(*) AS observed_rows FROM supplier""",
+    "payload_landing": f"""WITH {RAW_SQL}
+        SELECT player_id, battle_time AS battleTime, event_mode FROM raw
+        UNION ALL SELECT '{{"player_id": ' || s_name, NULL, NULL FROM supplier""",
+    "battle_ingest_columns": f"WITH {RAW_SQL} SELECT {_battle_columns_sql()} FROM raw",
+    "input_checks": """SELECT input, raised, (SELECT count(*) FROM orders) AS n_orders
+        FROM (VALUES ('rows', FALSE), ('no rows', TRUE), ('columns', FALSE),
+                     ('no column', TRUE), ('ratio days', FALSE), ('no ratio day', TRUE))
+            AS checks(input, raised)""",
+    "stored_layout": f"""WITH {EVENT_LOGS}
+        SELECT 'battle_logs' AS name, 'raw' AS layer, count(*) AS n_rows FROM events
+        UNION ALL SELECT 'cohort_logs', 'primary', count(*) FROM logs
+        UNION ALL SELECT 'profiles_scaled', 'model_input', count(*) FROM customer""",
     "model_round_trip": "SELECT c_custkey AS player_id, TRUE AS same_label FROM customer",
     "battle_ingest": f"""WITH {RAW_SQL}
         SELECT player_id, battle_time AS battleTime, event_id, event_mode,

@@ -37,6 +37,7 @@ from tidemark.operators.cohorts import (
     star_flag,
     with_row_id,
 )
+from tidemark.operators.ordering import with_gapless_id
 from tidemark.operators.retention import ratio_register, user_activity
 from tidemark.operators.shape import union_by_position
 from tidemark.params import ActivityParams, CohortParams, RatioParams
@@ -377,6 +378,16 @@ def _observed_positions(spark, d):
     return observed_positions(player_days(_purchases(spark, d)))
 
 
+def _observed_positions_all(spark, d):
+    return observed_positions(player_days(event_cohorts(spark, d)))
+
+
+def _gapless_ids(spark, d):
+    """Numbers by day and key, from rows that were dealt anew."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate").repartition(7)
+    return with_gapless_id(orders, ["o_orderdate"], "row_id").select("o_orderkey", "row_id")
+
+
 def _rounded(df):
     return df.select(
         *[
@@ -495,6 +506,11 @@ QUERIES = {
         ActivityParams(days=EVENT_DAYS, day_index="observed"),
         len(EVENT_RANGES),
     ),
+    "retention_observed_exact_all": _activity(
+        event_cohorts,
+        ActivityParams(days=EVENT_DAYS, day_index="observed", mode="exact"),
+        len(EVENT_RANGES),
+    ),
     "retention_observed_salted": _activity(
         order_cohorts, ActivityParams(days=OBSERVED_DAYS, day_index="observed")
     ),
@@ -510,6 +526,8 @@ QUERIES = {
     ),
     "retention_sessions": _sessions_only,
     "observed_positions": _observed_positions,
+    "observed_positions_all": _observed_positions_all,
+    "row_ids_gapless": _gapless_ids,
     "bitmap_retention": _bitmap_retention(FAR_DAYS, "rolling"),
     "bitmap_retention_exact": _bitmap_retention(WEEK_DAYS, "exact"),
     "state_advanced": _advanced(BEFORE_CUT, ActivityParams(days=FAR_DAYS)),
@@ -597,6 +615,19 @@ ORACLES = {
     + " SELECT cohort, player_id, "
     + ", ".join(f"D{d}_Sessions" for d in EVENT_DAYS)
     + " FROM activity",
+    "observed_positions_all": f"""WITH {EVENT_LOGS}, {player_days_sql()},
+        pairs AS (SELECT DISTINCT cohort, d FROM player_days)
+        SELECT cohort, CAST(d AS INT) AS days_to_return,
+               CAST(dense_rank() OVER (PARTITION BY cohort ORDER BY d) - 1 AS INT)
+                   AS position,
+               CAST(count(*) OVER (PARTITION BY cohort) AS INT) AS width
+        FROM pairs""",
+    "row_ids_gapless": """SELECT o_orderkey,
+        row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_id FROM orders""",
+    "retention_observed_exact_all": activity_sql(
+        EVENT_LOGS, observed_sql(EVENT_DAYS, "exact")
+    )
+    + " SELECT * FROM activity",
     "observed_positions": f"""WITH {PURCHASE_LOGS}, {player_days_sql()},
         pairs AS (SELECT DISTINCT cohort, d FROM player_days)
         SELECT cohort, CAST(d AS INT) AS days_to_return,
