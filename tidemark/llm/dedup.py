@@ -93,14 +93,19 @@ def _estimate(a: Column, b: Column) -> Column:
 
 def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` that are ``percent`` alike by their full sets."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     either = F.size("x") + F.size("y") - F.col("both")
-    measured = pairs.join(left, "a").join(right, "b").withColumn("both", both)
+    measured = _with_side(pairs, sets, "shingles").join(right, "b").withColumn("both", both)
     return measured.where(100 * F.col("both") >= percent * either).select("a", "b")
 
 
+def _with_side(pairs: DataFrame, source: DataFrame, column: str) -> DataFrame:
+    """Adds ``x``, what ``source`` has for ``a``; one ``a`` may have very many pairs."""
+    asked = source.join(pairs.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    return lookup(pairs, asked.select(F.col("doc_id").alias("a"), F.col(column).alias("x")), ["a"], "inner")
+
+
 def _short_pairs(index: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs that meet in a short list and look similar by their sketches."""
     left = index.select("v", F.col("doc_id").alias("a"), F.col("n").alias("na"))
@@ -111,11 +116,10 @@ def _short_pairs(index: DataFrame, sketches: DataFrame, percent: int) -> DataFra
 
 
 def _similar(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    left = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("x"))
     right = sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("y"))
     least = (SKETCH + 1 - _never_lacking(SKETCH, percent)) / SKETCH
     near = _estimate(F.col("x"), F.col("y")) >= least
-    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
+    return _with_side(pairs, sketches, "sketch").join(right, "b").where(near).select("a", "b")
 
 
 def _never_lacking(values: int, percent: int) -> int:
@@ -155,18 +159,23 @@ def _long_list_members(counted: DataFrame, percent: int) -> DataFrame:
     return long.join(members, "doc_id", "left_semi").select("v", "doc_id", "n")
 
 
-def _with_shared(members: DataFrame, sets: DataFrame, leading: int) -> DataFrame:
-    """Adds ``shared``, how many of a document's shingles any other member has, and ``nth``,
-    the place of a list among those of its document."""
+def _with_shared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``doc_id, n, shared, lists`` of the members that can have a link among themselves.
+
+    ``shared`` is how many of a document's shingles any other member has, and ``lists`` are
+    the long lists in which it may be met, in order. What two texts have in common is shared,
+    and a link needs ``percent`` of either text in common: who shares less has none.
+    """
     ids = members.select("doc_id").distinct()
     own = sets.join(ids, "doc_id", "left_semi").select("doc_id", F.explode("shingles").alias("w"))
     held = own.groupBy("w").agg(F.count("*").alias("held")).where(F.col("held") > 1)
     shared = lookup(own, held, ["w"], "inner").groupBy("doc_id").agg(F.count("*").alias("shared"))
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("v"))
-    rows = members.withColumn("nth", nth).where(F.col("nth") <= 2 * leading)
-    lists = F.array_sort(F.collect_list("v").over(Window.partitionBy("doc_id")))
-    rows = rows.withColumn("lists", lists)
-    return rows.join(shared, "doc_id").select("v", "doc_id", "n", "shared", "nth", "lists")
+    # Of each document LISTED values have lists.
+    docs = members.groupBy("doc_id", "n").agg(F.array_sort(F.collect_list("v")).alias("lists"))
+    lists = F.slice("lists", 1, 2 * _leading(percent))
+    docs = docs.withColumn("lists", lists).join(shared, "doc_id")
+    docs = docs.where(100 * F.col("shared") >= percent * F.col("n"))
+    return docs.select("doc_id", "n", "shared", "lists")
 
 
 def _may_link(a: tuple[Column, Column], b: tuple[Column, Column], percent: int) -> Column:
@@ -198,47 +207,52 @@ def _across(rows: DataFrame) -> DataFrame:
     return numbered.withColumns({"bit": above.bitwiseAND(1), "rest": rest}).drop("number", "most")
 
 
-def _by_leaders(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _by_leaders(
+    members: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
     """Links among the members of long lists, without all pairs of a list.
 
     Shingles that no other member has bound what a document can have in common with others,
     and the smaller document of a link must have few of them. Such rich documents lead, those
-    with the least of their own first: each round some of a list are measured against it,
-    eight times as many as in the round before, and members linked to a leader lead no more. What
-    belongs together is then one component, as a rule. At last rich documents meet those of
-    other components that they can link with by numbers alone; that leaves no link out.
+    with the least of their own first: each round some of a list are held against it, by
+    sketches and then by full sets, eight times as many as in the round before, and members
+    linked to a leader lead no more. What belongs together is then one component, as a rule. At
+    last rich documents meet those of other components that they can link with by numbers
+    alone; that leaves no link out.
 
     A document leads in the first of its lists, eight at 85 percent, and is met in twice as
-    many, lists being in one order for all; a partner misses all of them as rarely as sketches fail each
-    other.
+    many, lists being in one order for all; a partner misses all of them as rarely as sketches
+    fail each other. Between the joins there is one row for each document.
     """
     most = _leading(percent)
-    rows = store(_with_shared(members, sets, most))
+    docs = store(_with_shared(members, sets, percent))
     rich = (100 + percent) * F.col("shared") >= 2 * percent * F.col("n")
-    leading = rows.where(rich & (F.col("nth") <= most))
+    led = F.slice("lists", 1, most).alias("led")
     by_own = Window.partitionBy("v").orderBy(F.desc(F.col("shared") / F.col("n")), "doc_id")
     of_a = (F.col("na"), F.col("sa"))
     of_b = (F.col("n"), F.col("shared"))
-    led = F.slice("lists", 1, most).alias("led")
     names = [F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"), led]
     # A pair meets in the first list of both only.
     here = F.array_min(F.array_intersect("led", "lists")) == F.col("v")
 
     # Documents that may still lead, and those that have not met all leaders.
-    ready, waiting, per_list = leading, rows, 1
-    links = rows.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
+    ready, waiting, per_list = docs.where(rich), docs, 1
+    links = docs.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
     while True:
-        ranked = ready.withColumn("rank", F.row_number().over(by_own))
+        ranked = ready.select("doc_id", "n", "shared", F.explode(F.slice("lists", 1, most)).alias("v"))
+        ranked = ranked.withColumn("rank", F.row_number().over(by_own))
         chosen = store(ranked.where(F.col("rank") <= per_list).select("doc_id").distinct())
         if chosen.isEmpty():
             break
-        leaders = ready.join(chosen, "doc_id", "left_semi").select("v", *names)
+        leaders = ready.join(chosen, "doc_id", "left_semi").select(*names)
+        leaders = leaders.select("*", F.explode("led").alias("v"))
         mates = waiting.join(chosen.withColumn("leads", F.lit(True)), "doc_id", "left")
-        met = lookup(mates, leaders, ["v"], "inner")
+        met = lookup(mates.select("*", F.explode("lists").alias("v")), leaders, ["v"], "inner")
         once = F.col("leads").isNull() | (F.col("a") < F.col("doc_id"))
         met = met.where(_may_link(of_a, of_b, percent) & once & (F.col("a") != F.col("doc_id")) & here)
-        pairs = met.select("a", F.col("doc_id").alias("b")).distinct()
-        found = store(_measured(pairs, sets, percent))
+        pairs = store(met.select("a", F.col("doc_id").alias("b")).distinct())
+        near = store(_similar(pairs, sketches, percent))
+        found = store(_measured(near, sets, percent))
         links = links.unionByName(found)
         linked = found.select(F.col("b").alias("doc_id")).unionByName(chosen).distinct()
         ready = store(ready.join(linked, "doc_id", "left_anti"))
@@ -249,8 +263,9 @@ def _by_leaders(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # Leaders have met everyone; what waits may still have links among itself.
     groups = components(links).withColumnRenamed("id", "doc_id")
     grouped = F.coalesce("component", "doc_id")
-    placed = store(waiting.join(groups, "doc_id", "left").withColumn("component", grouped))
-    leads = rich & (F.col("nth") <= most)
+    placed = waiting.join(groups, "doc_id", "left").withColumn("component", grouped)
+    placed = store(placed.select("*", rich.alias("rich"), F.explode("lists").alias("v")))
+    leads = F.col("rich") & F.array_contains(F.slice("lists", 1, most), F.col("v"))
     # Lists in which nobody is left to lead show no pair.
     sides = _across(lookup(placed, placed.where(leads).select("v").distinct(), ["v"], "left_semi"))
     left = sides.where(leads).select("v", "digit", "rest", "bit", *names)
@@ -263,8 +278,10 @@ def _by_leaders(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     size = F.floor(F.log("n") / step + 1e-9)
     left = left.withColumn("size", F.explode(F.array(*[F.floor(F.log("na") / step + 1e-9) + i for i in (0, 1)])))
     right = right.withColumn("size", size)
-    pairs = left.join(right, ["v", "digit", "rest", "bit", "size"]).where(apart).select("a", F.col("doc_id").alias("b")).distinct()
-    return links.unionByName(store(_measured(pairs, sets, percent)))
+    pairs = left.join(right, ["v", "digit", "rest", "bit", "size"]).where(apart)
+    pairs = store(pairs.select("a", F.col("doc_id").alias("b")).distinct())
+    near = store(_similar(pairs, sketches, percent))
+    return links.unionByName(store(_measured(near, sets, percent)))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -314,7 +331,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = store(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>"))
 
     links = store(_measured(short, sets, percent))
-    links = links.unionByName(_by_leaders(members, sets, percent))
+    links = links.unionByName(_by_leaders(members, sketches, sets, percent))
     groups = components(links)
     classes = classes.join(groups, classes["doc_id"] == groups["id"], "left")
     classes = classes.select(*key, F.coalesce("component", "doc_id").alias("component"))
