@@ -125,6 +125,64 @@ def test_odd_documents(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 2
 
 
+def texts_of(rng, n=120):
+    return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+
+def test_repeated_ids_go_by_their_text(spark):
+    rng = random.Random(15)
+    a, b, c, d = (texts_of(rng) for _ in range(4))
+    near = a + " and more"
+    docs = [(1, a), (2, a), (2, b), (3, c), (3, c), (3, c), (4, near), (5, d), (5, ""), (5, ""), (6, b), (7, d), (None, c), (None, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("_n", F.lit("x"))
+    rows = near_duplicates(df).collect()
+    got = sorted(((r["doc_id"] or 0, r["n_shingles"] > 0, r["component_id"] or 0) for r in rows))
+    assert got == sorted(
+        [(1, True, 1), (2, True, 1), (2, True, 2), (3, True, 3), (3, True, 3), (3, True, 3), (4, True, 1), (5, True, 5),
+         (5, False, 5), (5, False, 5), (6, True, 2), (7, True, 5), (0, True, 0), (0, False, 0)]
+    )
+    kept = without_near_duplicates(df.drop("_n"))
+    order = lambda r: (r[0] or 0, r[1])
+    assert sorted(map(tuple, kept.collect()), key=order) == sorted(
+        [(1, a), (2, b), (3, c), (5, d), (5, ""), (5, ""), (None, c), (None, "")], key=order
+    )
+
+
+@pytest.mark.parametrize("short", [48, 3])
+def test_one_id_with_two_texts_joins_no_groups(spark, monkeypatch, short):
+    monkeypatch.setattr(dedup, "SHORT", short)
+    rng = random.Random(16)
+    one, two = texts_of(rng), texts_of(rng)
+    # Id 9 has a copy of either text; ids 20 and up are near copies of one, 40 and up of two.
+    docs = [(9, one), (9, two)] + [(20 + i, f"{one} x{i}") for i in range(9)] + [(40 + i, f"{two} y{i}") for i in range(9)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = near_duplicates(df).collect()
+    assert {r["component_id"] for r in rows} == {9}
+    kept = sorted(map(tuple, without_near_duplicates(df).collect()))
+    assert kept == sorted([(9, one), (9, two)])
+    texts = {t for _, t in without_near_duplicates(df.where("doc_id <> 9")).collect()}
+    assert texts == {f"{one} x0", f"{two} y0"}
+
+
+def test_rich_families_without_links_are_told_by_sketches(spark, monkeypatch):
+    """Texts of 12 blocks, each in one of three forms: all shingles are shared and none is alike."""
+    monkeypatch.setattr(dedup, "SHORT", 8)
+    measured = []
+    real = dedup._measured
+    monkeypatch.setattr(dedup, "_measured", lambda pairs, *a, **k: (measured.append(pairs.count()), real(pairs, *a, **k))[1])
+    counts = {}
+    for n in (100, 200):
+        rng = random.Random(n)
+        blocks = [[texts_of(rng, 25) for _ in range(3)] for _ in range(12)]
+        docs = [(i, " ".join(rng.choice(forms) for forms in blocks)) for i in range(n)]
+        measured.clear()
+        got = {r["doc_id"]: tuple(r)[1:] for r in near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+        assert got == groups_by_hand(docs)
+        counts[n] = sum(measured)
+    # Of 4,950 and 19,900 pairs.
+    assert counts[100] < 500 and counts[200] < 2_000
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(i, i + 1) for i in range(1, 60)] + [(100 + rng.randrange(40), 100) for _ in range(60)]
@@ -223,14 +281,16 @@ def lines_by_hand(docs, min_docs):
     def key(line):
         return re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(strip))
 
-    seen = {}
-    for _, text in docs:
-        for k in {key(x) for x in (text or "").split("\n")}:
-            seen[k] = seen.get(k, 0) + 1
+    documents = {}
+    for i, text in docs:
+        if i is not None:
+            for x in (text or "").split("\n"):
+                documents.setdefault(key(x), set()).add(i)
+    seen = {k: len(ids) for k, ids in documents.items()}
     out = []
     for i, text in docs:
         lines = (text or "").split("\n")
-        kept = [x for x in lines if not key(x) or seen[key(x)] < min_docs]
+        kept = [x for x in lines if not key(x) or seen.get(key(x), 0) < min_docs]
         out.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
     return out
 
@@ -246,5 +306,9 @@ def test_lines(spark, odd_docs, no_docs):
     assert sorted(map(tuple, rows), key=order) == sorted(lines_by_hand(docs, 12), key=order)
     got = {r["doc_id"]: r for r in drop_common_lines(odd_docs, min_docs=2).collect()}
     assert got[2]["n_dropped"] == 1 and got[7]["n_lines"] == 3 and got[7]["n_dropped"] == 0
+    # One document on many rows is one document.
+    one = spark.createDataFrame([(1, "a\nb")] * 10 + [(2, "b")] + [(None, "a")] * 9, "doc_id long, text string")
+    assert {r["n_dropped"] for r in drop_common_lines(one, min_docs=3).collect()} == {0}
+    assert sorted(r["n_dropped"] for r in drop_common_lines(one, min_docs=2).collect()) == [0] * 9 + [1] * 11
     assert drop_common_lines(no_docs).count() == 0
     assert hashlib.sha256(got[6]["text"].encode()).hexdigest()

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm.common import lookup, store
 from tidemark.llm.graph import components
@@ -50,25 +51,35 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
+def _sums(shingles: np.ndarray) -> tuple[np.int64, np.int64]:
+    """Sums of hashes: equal sets, and no others, have equal sums."""
+    x = shingles.view(np.uint64)
+    first = mix(x + np.uint64(1)).sum(dtype=np.uint64)
+    second = mix(x ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
+    return first.view(np.int64), second.view(np.int64)
+
+
+def _own_node(sums: tuple[np.int64, np.int64]) -> int:
+    """The node of a text whose id is on several rows, a negative number."""
+    both = mix(np.array(sums, np.int64).view(np.uint64))
+    return -1 - int((both[0] ^ mix(both[1:] + np.uint64(1))[0]) >> np.uint64(1))
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n, first, second, sketch = [], [], [], []
-        for shingles in _shingle_sets(batch.column(1)):
-            n.append(len(shingles))
-            # Sums of hashes: equal sets, and no others, have equal sums.
-            x = shingles.view(np.uint64)
-            first.append(mix(x + np.uint64(1)).sum(dtype=np.uint64))
-            second.append(mix(x ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64))
-            sketch.append(shingles[:SKETCH])
+        found = list(_shingle_sets(batch.column(1)))
+        sums = [_sums(shingles) for shingles in found]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
-                pa.array(n, pa.int64()),
-                pa.array(np.array(first, np.uint64).view(np.int64)),
-                pa.array(np.array(second, np.uint64).view(np.int64)),
-                _lists(sketch),
+                pa.array([len(shingles) for shingles in found], pa.int64()),
+                pa.array([s[0] for s in sums], pa.int64()),
+                pa.array([s[1] for s in sums], pa.int64()),
+                pa.array(map(_own_node, sums), pa.int64()),
+                # Copies, so that whole sets are let go.
+                _lists([shingles[:SKETCH].copy() for shingles in found]),
             ],
-            names=["doc_id", "n", "s1", "s2", "sketch"],
+            names=["doc_id", "n", "s1", "s2", "own", "sketch"],
         )
 
 
@@ -77,8 +88,23 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin in range(0, batch.num_rows, 500):
             part = batch.slice(begin, 500)
-            sets = _lists(list(_shingle_sets(part.column(1))))
-            yield pa.RecordBatch.from_arrays([part.column(0), sets], names=["doc_id", "shingles"])
+            sets = list(_shingle_sets(part.column(1)))
+            ids = [
+                _own_node(_sums(shingles)) if many else i
+                for i, many, shingles in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), sets)
+            ]
+            columns = [pa.array(ids, pa.int64()), _lists(sets)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "shingles"])
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the number and the sums of their shingles."""
+    for batch in batches:
+        found = [(len(x), *_sums(x)) for x in _shingle_sets(batch.column("text"))]
+        columns = [pa.array(list(column), pa.int64()) for column in zip(*found)] or [pa.array([], pa.int64())] * 3
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, *columns], names=[*batch.schema.names, "_n", "_s1", "_s2"]
+        )
 
 
 def _near_in_size(a: Column, b: Column, percent: int) -> Column:
@@ -91,19 +117,23 @@ def _estimate(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union)
 
 
-def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _measured(pairs: DataFrame, sets: DataFrame, percent: int, hot: bool = False) -> DataFrame:
     """The pairs ``a, b`` that are ``percent`` alike by their full sets."""
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     either = F.size("x") + F.size("y") - F.col("both")
-    measured = _with_side(pairs, sets, "shingles").join(right, "b").withColumn("both", both)
+    measured = _with_sides(pairs, sets, "shingles", hot).withColumn("both", both)
     return measured.where(100 * F.col("both") >= percent * either).select("a", "b")
 
 
-def _with_side(pairs: DataFrame, source: DataFrame, column: str) -> DataFrame:
-    """Adds ``x``, what ``source`` has for ``a``; one ``a`` may have very many pairs."""
-    asked = source.join(pairs.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return lookup(pairs, asked.select(F.col("doc_id").alias("a"), F.col(column).alias("x")), ["a"], "inner")
+def _with_sides(pairs: DataFrame, source: DataFrame, column: str, hot: bool) -> DataFrame:
+    """Adds what ``source`` has for ``a`` and ``b``. If ``hot``, one ``a`` may have very many
+    pairs, and they are dealt to several tasks."""
+    left = source.select(F.col("doc_id").alias("a"), F.col(column).alias("x"))
+    right = source.select(F.col("doc_id").alias("b"), F.col(column).alias("y"))
+    if hot:
+        left = left.join(pairs.select("a").distinct(), "a", "left_semi")
+        return lookup(pairs, left, ["a"], "inner").join(right, "b")
+    return pairs.join(left, "a").join(right, "b")
 
 
 def _short_pairs(index: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -115,11 +145,10 @@ def _short_pairs(index: DataFrame, sketches: DataFrame, percent: int) -> DataFra
     return _similar(pairs, sketches, percent)
 
 
-def _similar(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    right = sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("y"))
+def _similar(pairs: DataFrame, sketches: DataFrame, percent: int, hot: bool = False) -> DataFrame:
     least = (SKETCH + 1 - _never_lacking(SKETCH, percent)) / SKETCH
     near = _estimate(F.col("x"), F.col("y")) >= least
-    return _with_side(pairs, sketches, "sketch").join(right, "b").where(near).select("a", "b")
+    return _with_sides(pairs, sketches, "sketch", hot).where(near).select("a", "b")
 
 
 def _never_lacking(values: int, percent: int) -> int:
@@ -251,8 +280,8 @@ def _by_leaders(
         once = F.col("leads").isNull() | (F.col("a") < F.col("doc_id"))
         met = met.where(_may_link(of_a, of_b, percent) & once & (F.col("a") != F.col("doc_id")) & here)
         pairs = store(met.select("a", F.col("doc_id").alias("b")).distinct())
-        near = store(_similar(pairs, sketches, percent))
-        found = store(_measured(near, sets, percent))
+        near = store(_similar(pairs, sketches, percent, hot=True))
+        found = store(_measured(near, sets, percent, hot=True))
         links = links.unionByName(found)
         linked = found.select(F.col("b").alias("doc_id")).unionByName(chosen).distinct()
         ready = store(ready.join(linked, "doc_id", "left_anti"))
@@ -280,8 +309,55 @@ def _by_leaders(
     right = right.withColumn("size", size)
     pairs = left.join(right, ["v", "digit", "rest", "bit", "size"]).where(apart)
     pairs = store(pairs.select("a", F.col("doc_id").alias("b")).distinct())
-    near = store(_similar(pairs, sketches, percent))
-    return links.unionByName(store(_measured(near, sets, percent)))
+    near = store(_similar(pairs, sketches, percent, hot=True))
+    return links.unionByName(store(_measured(near, sets, percent, hot=True)))
+
+
+def _grouped(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows ``doc_id, n, s1, s2``, classes of equal sets ``n, s1, s2, component, grp``, and the
+    ids that are on several rows. ``component`` is the least id of the group ``grp``; texts of
+    one id may be in several groups."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent is not in (0, 100]: {percent}")
+    schema = "doc_id long, n long, s1 long, s2 long, own long, sketch array<long>"
+    seen = store(texts.mapInArrow(_sketches, schema))
+    key = ["s1", "s2", "n"]
+    real = seen.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    repeated = real.groupBy("doc_id").count().where("count > 1")
+    repeated = store(repeated.select("doc_id", F.lit(True).alias("many")))
+    classes = real.groupBy(*key).agg(
+        F.min("doc_id").alias("doc_id"), F.first("own").alias("own"), F.first("sketch").alias("sketch")
+    )
+    # A node is a class. The least id of its rows names it, unless other texts have that id too.
+    node = F.when(F.col("many"), F.col("own")).otherwise(F.col("doc_id"))
+    classes = classes.join(repeated, "doc_id", "left").withColumn("node", node)
+    classes = store(classes.select(*key, "doc_id", "many", "node", "sketch"))
+    sketches = classes.select(F.col("node").alias("doc_id"), "n", "sketch")
+
+    index = sketches.select("doc_id", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("v"))
+    lengths = index.groupBy("v").agg(F.count("*").alias("m")).where(F.col("m") > 1)
+    counted = store(lookup(index, lengths, ["v"], "inner"))
+    short = store(_short_pairs(counted.where(F.col("m") <= SHORT), sketches, percent))
+    members = store(_long_list_members(counted, percent))
+
+    wanted = short.select(F.explode(F.array("a", "b")).alias("node"))
+    wanted = wanted.unionByName(members.select(F.col("doc_id").alias("node"))).distinct()
+    wanted = classes.join(wanted, "node", "left_semi")
+    once = texts.join(wanted.where(F.col("many").isNull()).select("doc_id"), "doc_id", "left_semi")
+    several = wanted.where("many").select("doc_id").distinct()
+    several = texts.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    needed = once.withColumn("many", F.lit(False)).unionByName(several.withColumn("many", F.lit(True)))
+    sets = store(needed.mapInArrow(_sets, "doc_id long, shingles array<long>"))
+
+    links = store(_measured(short, sets, percent))
+    links = links.unionByName(_by_leaders(members, sketches, sets, percent))
+    groups = components(links).withColumnRenamed("id", "node")
+    linked = classes.select("node", "doc_id").join(groups, "node")
+    least = linked.groupBy("component").agg(F.min("doc_id").alias("least"))
+    least = linked.join(least, "component").select("node", "least", F.col("component").alias("grp"))
+    classes = classes.select(*key, "doc_id", "node").join(least, "node", "left")
+    component = F.coalesce("least", "doc_id").alias("component")
+    return seen, classes.select(*key, component, F.coalesce("grp", "node").alias("grp")), repeated
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -296,7 +372,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     A NULL or empty text, or one of white space, has no shingles and is linked to nothing. A
     row with a NULL ``doc_id`` is linked to nothing, has a NULL ``component_id`` and is kept.
     Rows with one ``doc_id`` are grouped each by their own text; repeated rows are returned
-    each. An empty table gives no rows. Other columns are not read.
+    each. Texts of any length are read whole. An empty table gives no rows. Other columns are
+    not read.
 
     Texts with equal sets become one class, so that copies never meet as pairs. Each class
     keeps the 64 smallest of its hashed shingles, one hash function for all. Inverted lists of
@@ -306,36 +383,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     thousand at 80 or more: all bounds follow from the percentage. Without long lists it is
     that of 32 values lacking, 0.15 ** 32 at 85.
     """
-    if not 0 < percent <= 100:
-        raise ValueError(f"percent is not in (0, 100]: {percent}")
-    ids = F.col("doc_id").cast("long").alias("doc_id")
-    texts = docs.select(ids, "text")
-    schema = "doc_id long, n long, s1 long, s2 long, sketch array<long>"
-    seen = store(texts.mapInArrow(_sketches, schema))
-    key = ["s1", "s2", "n"]
-    real = seen.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = store(real.groupBy(*key).agg(F.min("doc_id").alias("doc_id")))
-    sketches = store(
-        real.join(classes, ["doc_id", *key], "left_semi").select("doc_id", "n", "sketch")
-    )
-
-    index = sketches.select("doc_id", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("v"))
-    lengths = index.groupBy("v").agg(F.count("*").alias("m")).where(F.col("m") > 1)
-    counted = store(lookup(index, lengths, ["v"], "inner"))
-    short = store(_short_pairs(counted.where(F.col("m") <= SHORT), sketches, percent))
-    members = store(_long_list_members(counted, percent))
-
-    wanted = short.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    wanted = wanted.unionByName(members.select("doc_id")).distinct()
-    wanted = classes.join(wanted, "doc_id", "left_semi").select("doc_id")
-    sets = store(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>"))
-
-    links = store(_measured(short, sets, percent))
-    links = links.unionByName(_by_leaders(members, sketches, sets, percent))
-    groups = components(links)
-    classes = classes.join(groups, classes["doc_id"] == groups["id"], "left")
-    classes = classes.select(*key, F.coalesce("component", "doc_id").alias("component"))
-    found = lookup(seen.drop("sketch"), classes, key, "left")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    seen, classes, _ = _grouped(texts, percent)
+    found = lookup(seen.drop("sketch", "own"), classes.drop("grp"), ["s1", "s2", "n"], "left")
     own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), own)
     return found.select(
@@ -349,8 +399,30 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each group, that of the least id, with all columns.
 
-    Documents are dropped by id: repeated rows of a kept id all stay.
+    Of several rows of that id in the group one stays: the first by its text's shingles and
+    then by a hash of all columns. Rows without words, or without an id, all stay.
     """
-    groups = near_duplicates(docs, percent)
-    gone = groups.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    ids = F.col("doc_id").cast("long")
+    texts = docs.select(ids.alias("doc_id"), "text")
+    seen, classes, repeated = _grouped(texts, percent)
+    key = ["s1", "s2", "n"]
+    found = lookup(seen.select("doc_id", *key).where("n > 0"), classes, key, "inner")
+    found = store(found.join(repeated, "doc_id", "left"))
+    gone = found.where(F.col("many").isNull() & (F.col("doc_id") > F.col("component")))
+    once = gone.select(F.col("doc_id").alias("_gone"))
+    left = docs.join(once, ids == F.col("_gone"), "left_anti")
+
+    # Rows of ids that are on several rows go by their own text.
+    several = repeated.select(F.col("doc_id").alias("_many"))
+    single = left.join(several, ids == F.col("_many"), "left_anti")
+    rows = left.join(several, ids == F.col("_many"), "left_semi")
+    keys = {"_n": "long", "_s1": "long", "_s2": "long"}
+    schema = StructType([*docs.schema.fields, *(StructField(c, LongType()) for c in keys)])
+    rows = rows.mapInArrow(_keyed, schema)
+    named = classes.select(*[F.col(c).alias(f"_{c}") for c in (*key, "component", "grp")])
+    placed = lookup(rows, named, ["_s1", "_s2", "_n"], "left")
+    order = Window.partitionBy("_grp").orderBy("_s1", "_s2", "_n", F.xxhash64(*docs.columns))
+    first = placed.where((F.col("_n") > 0) & (ids == F.col("_component")))
+    first = first.withColumn("_place", F.row_number().over(order)).where("_place = 1")
+    empty = placed.where(F.col("_n") == 0)
+    return single.unionByName(first.select(*docs.columns)).unionByName(empty.select(*docs.columns))
