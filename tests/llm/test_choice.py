@@ -82,6 +82,21 @@ def test_mix(spark, odd_docs, no_docs):
     assert mixed_documents(odd_docs).columns == odd_docs.columns
 
 
+def test_repeated_rows_come_as_often_as_the_mix_takes_them(spark):
+    rows = [(i, "one two three four", s) for i in (1, 1, 1, 2) for s in ("a", "b", "c", None) for _ in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    for settings in ({}, {"weights": (1, 5, 9, 2)}):
+        mixed = mix_sources(df, **settings)
+        expected = {(r["doc_id"], r["source"]): r["n"] for r in
+                    mixed.groupBy("doc_id", "source").agg(F.sum("copies").alias("n")).where("n > 0").collect()}
+        got = mixed_documents(df, **settings)
+        assert got.columns == df.columns
+        assert {(r["doc_id"], r["source"]): r["count"] for r in got.groupBy("doc_id", "source").count().collect()} == expected
+    ten = spark.createDataFrame([(7, "a b c d", s) for s in "xyz" for _ in range(10)], "doc_id long, text string, source string")
+    taken = mixed_documents(ten).groupBy("source").count().collect()
+    assert {r["source"]: 4 * r["count"] for r in taken} == {"x": 20, "y": 40, "z": 60}
+
+
 def test_heavier_documents_come_first(spark):
     docs = spark.range(4000).select(
         F.col("id").alias("doc_id"),

@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import store, word_count
+from tidemark.llm.common import lookup, store, word_count
 
 # Sampling keys are histogrammed in this many steps per doubling of the key.
 STEPS = 4096
+# Parts into which equal rows are cut to be numbered.
+PARTS = 64
 
 
 def letter_share(text: Column) -> Column:
@@ -129,16 +131,38 @@ def mix_sources(
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, each as often as :func:`mix_sources` takes it, with all columns.
 
-    Rows equal in id and text are not told apart: each comes as often as they do on average.
+    Rows equal in id, text and source are not told apart by the draw. Their copies are dealt
+    to them in equal shares, and what is left over to the first of them, so that together they
+    come exactly as often as the mix takes them. They are numbered by the parts of the input
+    they are read from, and only where there are several, so that a row that is there very
+    often does not meet in one task.
     """
-    copies = mix_sources(docs, **settings).groupBy("digest").agg(
-        F.round(F.avg("copies")).cast("int").alias("copies")
-    )
-    copies = copies.where(F.col("copies") > 0)
-    joined = docs.join(copies, _digest(docs) == copies["digest"])
+    src = F.coalesce(F.concat(F.lit("="), docs["source"]), F.lit("")).alias("_src")
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    repeated = F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")
-    return joined.select(row, copies["copies"].alias("copies")).select("row", repeated).select("row.*")
+    part = F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("_part")
+    rows = docs.select(_digest(docs).alias("_digest"), src, part, row)
+    group = ["_digest", "_src"]
+    mixed = mix_sources(docs, **settings)
+    mixed_src = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("_src")
+    taken = mixed.groupBy(F.col("digest").alias("_digest"), mixed_src).agg(
+        F.sum("copies").alias("_copies"), F.count("*").alias("_n")
+    )
+    taken = store(taken.where(F.col("_copies") > 0))
+    single = rows.join(taken.where(F.col("_n") == 1).drop("_n"), group).select("row", "_copies")
+
+    several = lookup(rows, taken.where(F.col("_n") > 1), group, "inner")
+    per_part = several.groupBy(*group, "_part").agg(F.count("*").alias("_rows"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = per_part.select(
+        *group, "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+    )
+    inside = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(F.lit(0))) - 1
+    numbered = several.withColumn("_inside", inside).join(per_part, [*group, "_part"])
+    over = F.col("_before") + F.col("_inside") < F.col("_copies") % F.col("_n")
+    share = F.floor(F.col("_copies") / F.col("_n")) + over.cast("long")
+    dealt = single.unionByName(numbered.select("row", share.alias("_copies")))
+    repeated = F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))).alias("_copy")
+    return dealt.select("row", repeated).select("row.*")
 
 
 def _digest(docs: DataFrame) -> Column:
