@@ -52,22 +52,25 @@ def drop_common_lines(docs: DataFrame, min_chars: int = 1, min_docs: int = 10) -
     fewer than ``min_chars`` code points never count. Returns ``doc_id, text, n_lines,
     n_dropped``; ``text`` holds the lines that stay, joined by newlines.
 
-    A document is a row: repeated rows, and rows with one ``doc_id``, count one by one, and
-    each is returned. A NULL or empty text is one empty line and stays an empty text; so does
-    a text that loses all its lines. A NULL ``doc_id`` is kept. Other columns are not read.
-
-    Lines travel as hashes: they are counted with map-side sums, and only the positions of
-    dropped lines come back to a document, by a hash of its id and text. A line that very many
-    documents share is looked up in several tasks. Explodes are outer, as inner ones would
+    Documents are told apart by ``doc_id``: rows with one id are one document where lines are
+    counted, and rows without an id are none; each row is returned, without the common lines.
+    A NULL or empty text is one empty line and stays an empty text; so does a text that loses
+    all its lines. Texts of any length are read whole. Other columns are not read.
+
+    Lines travel as hashes: each is kept once per document, documents are counted with map-side
+    sums, and only the positions of dropped lines come back to a document, by a hash of its id
+    and text. A line that very many documents share is looked up in several tasks. Explodes are outer, as inner ones would
     first ask for the number of lines and so split each text twice.
     """
     doc_id, text = F.col("doc_id"), F.col("text")
     docs = docs.select("doc_id", "text")
     row = [F.xxhash64(doc_id, text), F.xxhash64(F.lit("row"), doc_id, text)]
 
-    seen = docs.select(F.explode_outer(F.array_distinct(_keys(text))).alias("key"))
-    seen = seen.where(F.length("key") >= min_chars).select(*_hashes(F.col("key")))
-    common = seen.groupBy("h1", "h2").count().where(F.col("count") >= min_docs)
+    seen = docs.where(doc_id.isNotNull()).select(
+        "doc_id", F.explode_outer(F.array_distinct(_keys(text))).alias("key")
+    )
+    seen = seen.where(F.length("key") >= min_chars).select("doc_id", *_hashes(F.col("key")))
+    common = seen.distinct().groupBy("h1", "h2").count().where(F.col("count") >= min_docs)
 
     placed = docs.select(
         row[0].alias("r1"), row[1].alias("r2"), F.posexplode_outer(_keys(text)).alias("pos", "key")
