@@ -153,6 +153,8 @@ def test_flatten(spark):
     flat = flatten(df)
     assert flat.columns == ["a_b", "a_c_d", "x_y", "m"]
     assert tuple(flat.first()) == (1, 2, "[1,2]", '{"k":1}')
+    with pytest.raises(ValueError, match="a_b"):
+        flatten(spark.sql("select named_struct('b', 1) as a, 2 as a_b"))
 
 
 def test_unions(spark):

@@ -35,7 +35,9 @@ def test_query_gives_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
-@pytest.mark.parametrize("name", ["activity_labels", "retention_chart"])
+@pytest.mark.parametrize(
+    "name", ["activity_labels", "retention_chart", "retention_observed_salted"]
+)
 def test_every_table_is_read_once(spark, name):
     df = QUERIES[name](spark, SF_DIR)
     df.collect()

@@ -52,12 +52,12 @@ def test_clusters_that_enter_whole_are_exact(spark, monkeypatch, room):
 def test_the_exact_mean_is_within_the_error(blobs, squared):
     exact = silhouette(blobs) if squared else sum(values(silhouette_values(blobs)).values()) / 900
     off = []
-    for seed in range(12):
+    for seed in range(6):
         row = silhouette_of_sample(blobs, 40, squared, seed).first()
         assert row["n"] == 900 and 0 < row["standard_error"] < 0.05
         assert abs(row["silhouette"] - exact) <= row["bound"] < 0.2
         off.append(abs(row["silhouette"] - exact) / row["standard_error"])
-    assert sum(o < 3 for o in off) >= 10
+    assert sum(o < 3 for o in off) >= 5
 
 
 def test_every_point_is_near_its_own_value(blobs):
@@ -72,10 +72,10 @@ def test_chances_make_sums_unbiased(blobs):
     """Over many seeds the weights of a cluster's sample add up to its size."""
     sizes = {r["label"]: r["count"] for r in blobs.groupBy("label").count().collect()}
     totals = dict.fromkeys(sizes, 0.0)
-    for seed in range(30):
-        drawn = cluster_samples(blobs, 4, 30, seed)
+    for seed in range(12):
+        drawn = cluster_samples(blobs, 4, 60, seed)
         for r in drawn.groupBy("label").agg(F.sum(1 / F.col("chance")).alias("n")).collect():
-            totals[r["label"]] += r["n"] / 30
+            totals[r["label"]] += r["n"] / 12
     for label, n in sizes.items():
         assert totals[label] == pytest.approx(n, rel=0.1)
 

@@ -34,7 +34,8 @@ def lookup_join(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     )
     columns = [spread_by] if isinstance(spread_by, str) else spread_by
-    spread = left.withColumn(
-        "_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
-    )
+    # Never NULL, and known not to be: a filter for that would keep Spark from using one
+    # shuffle for both sides where the lookup table is made of the same rows.
+    salt = F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+    spread = left.withColumn("_salt", F.coalesce(salt, F.lit(0)))
     return spread.join(salted, [on, "_salt"]).drop("_salt")

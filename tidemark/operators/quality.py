@@ -310,7 +310,7 @@ def silhouette_to_centres(points: DataFrame) -> DataFrame:
             "part", F.explode(_numbers(arrays))
         )
         sides = (
-            held.join(F.broadcast(parts), "part")
+            lookup_join(held, parts, "part", "id")
             .select("id", side("everyone", True).alias("a"), side("everyone", False).alias("b"))
             .groupBy("id")
             .agg(F.min("a").alias("a"), F.min("b").alias("b"))

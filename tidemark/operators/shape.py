@@ -26,14 +26,19 @@ def _leaves(column: Column, path: str, dtype: T.DataType) -> list[Column]:
 
 
 def flatten(df: DataFrame) -> DataFrame:
-    """One column per leaf, named by its path with ``_``; a list is kept as JSON text."""
-    return df.select(
+    """One column per leaf, named by its path with ``_``; a list is kept as JSON text. Two
+    leaves of one name, as of ``a.b`` and ``a_b``, are an error."""
+    flat = df.select(
         *[
             leaf
             for f in df.schema.fields
             for leaf in _leaves(quoted(f.name), f.name, f.dataType)
         ]
     )
+    twice = sorted({c for c in flat.columns if flat.columns.count(c) > 1})
+    if twice:
+        raise ValueError(f"several leaves are named {', '.join(twice)}")
+    return flat
 
 
 def with_key(df: DataFrame, value: str, name: str = "player_id") -> DataFrame:

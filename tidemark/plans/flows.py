@@ -4,9 +4,11 @@ step, so a lost executor costs tasks and never a whole lineage."""
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tidemark.operators.clusters import (
     GridResult,
@@ -58,20 +60,32 @@ class RunParams:
     last_days: int = 30
 
 
-def _stored(df: DataFrame, base: str, name: str, partition_by=()) -> DataFrame:
+def _stored(df: DataFrame, base: str, name: str) -> DataFrame:
     path = table_path(base, name)
-    write_parquet(df, path, partition_by)
+    write_parquet(df, path)
     return df.sparkSession.read.parquet(path)
 
 
+def _stored_and_counted(
+    df: DataFrame, base: str, name: str, partition_by: Sequence[str]
+) -> tuple[DataFrame, int]:
+    """The stored table, and its rows as the write has seen them."""
+    path, counts = table_path(base, name), Observation()
+    observed = df.observe(counts, F.count(F.lit(1)).alias("rows"))
+    write_parquet(observed, path, partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path), counts.get["rows"]
+
+
 def retention_flow(
     logs: DataFrame, base: str, params: RunParams
 ) -> dict[str, DataFrame]:
     """Raw logs to cohort logs, event tables, user activity and the ratio report."""
-    require_rows(logs, "battle logs")
-    cohort_logs = _stored(
+    cohort_logs, n_logs = _stored_and_counted(
         cohort_filter(logs, params.cohorts), base, "cohort_logs", ["cohort"]
     )
+    if not n_logs:
+        # The write tells; only where it has no row the input is looked at.
+        require_rows(logs, "battle logs")
     tables = {"cohort_logs": cohort_logs}
     # One pass and one table, with a folder for each family.
     families = split_event_families(
