@@ -148,9 +148,8 @@ def test_repeated_ids_go_by_their_text(spark):
     )
 
 
-@pytest.mark.parametrize("short", [48, 3])
-def test_one_id_with_two_texts_joins_no_groups(spark, monkeypatch, short):
-    monkeypatch.setattr(dedup, "SHORT", short)
+def test_one_id_with_two_texts_joins_no_groups(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "SHORT", 3)
     rng = random.Random(16)
     one, two = texts_of(rng), texts_of(rng)
     # Id 9 has a copy of either text; ids 20 and up are near copies of one, 40 and up of two.

@@ -243,9 +243,9 @@ def _by_leaders(
 
     Shingles that no other member has bound what a document can have in common with others,
     and the smaller document of a link must have few of them. Such rich documents lead, those
-    with the least of their own first: each round some of a list are held against it, by
-    sketches and then by full sets, eight times as many as in the round before, and members
-    linked to a leader lead no more. What belongs together is then one component, as a rule. At
+    with the least of their own first: each round some of those with one first list are held
+    against their lists, by sketches and then by full sets, eight times as many as in the round
+    before, and members linked to a leader lead no more. What belongs together is then one component, as a rule. At
     last rich documents meet those of other components that they can link with by numbers
     alone; that leaves no link out.
 
@@ -268,7 +268,8 @@ def _by_leaders(
     ready, waiting, per_list = docs.where(rich), docs, 1
     links = docs.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
     while True:
-        ranked = ready.select("doc_id", "n", "shared", F.explode(F.slice("lists", 1, most)).alias("v"))
+        # By the first list of each, so that a family has few leaders.
+        ranked = ready.select("doc_id", "n", "shared", F.get("lists", F.lit(0)).alias("v"))
         ranked = ranked.withColumn("rank", F.row_number().over(by_own))
         chosen = store(ranked.where(F.col("rank") <= per_list).select("doc_id").distinct())
         if chosen.isEmpty():
