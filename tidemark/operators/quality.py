@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import quoted
 from tidemark.functions.numbers import squared_distance
 from tidemark.operators.lookup import lookup_join
+from tidemark.operators.neighbours import stored, worst_ratios
 
 # Centres that may be shared with every task; at 4,096 dimensions they take 32 MB.
 CENTRE_ROWS = 1_000
 
+# Points of a cluster that one task may join.
+LARGE_ROWS = 1_000_000
+
 # Rows of one block of a measure over all pairs; a task holds two blocks.
 BLOCK_ROWS = 2_048
 
@@ -56,10 +60,13 @@ def with_own_centre(points: DataFrame, n_clusters: int) -> DataFrame:
     """Add the centre of each point's own cluster.
 
     Up to a bounded number of clusters the centres are one map, used as a scalar subquery,
-    and no point is moved. Beyond it they are joined with salted labels.
+    and no point is moved. Beyond it they are joined, with salted labels if any cluster is large.
     """
     table = centres(points).select("label", "centre")
     if n_clusters > CENTRE_ROWS:
+        large = points.groupBy("label").count().where(F.col("count") > LARGE_ROWS)
+        if large.isEmpty():
+            return points.join(table, "label")
         spread_by = "key" if "key" in points.columns else "x"
         return lookup_join(points, table, "label", spread_by)
     whole = table.agg(F.map_from_entries(F.collect_list(F.struct("label", "centre"))))
@@ -140,27 +147,24 @@ def _davies_bouldin(spread: DataFrame, n_clusters: int) -> DataFrame:
     """One row (davies_bouldin_score): mean over the clusters of their largest
     (spread + spread) / distance to another cluster; 0 for an equal centre.
 
-    The clusters are cut into arrays of bounded size, and each cluster is held against each
-    array, by direct differences of the centres.
+    Up to a bounded number of clusters each is held against one array of all, by direct
+    differences of the centres. Beyond it the largest ratio is searched for in blocks of near
+    centres, by the same differences.
     """
-    arrays = max(1, -(-n_clusters // CENTRE_ROWS))
-    part = F.pmod(F.xxhash64("label"), F.lit(arrays)).alias("part")
-    others = spread.groupBy(part).agg(
-        F.collect_list(F.struct("centre", "mean_distance")).alias("others")
-    )
+    if n_clusters > CENTRE_ROWS:
+        worst = worst_ratios(spread, n_clusters).agg(F.avg("worst").alias("mean")).scalar()
+        totals = spread.agg(F.count("*").alias("k"), F.sum("n").alias("n")).withColumn("mean", worst)
+        score = _for_clusters(F.col("mean"), F.col("k"), F.col("n"))
+        return totals.select(score.alias("davies_bouldin_score"))
+    others = spread.agg(F.collect_list(F.struct("centre", "mean_distance"))).scalar()
 
     def ratio(other: Column) -> Column:
         gap = F.sqrt(squared_distance(F.col("centre"), other["centre"]))
         both = F.col("mean_distance") + other["mean_distance"]
         return F.when(gap == 0, F.lit(0.0)).otherwise(both / gap)
 
-    held = spread.withColumn(
-        "part", F.explode(_numbers(arrays))
-    )
-    worst = (
-        held.join(others, "part")
-        .groupBy("label", "n")
-        .agg(F.max(F.array_max(F.transform("others", ratio))).alias("worst"))
+    worst = spread.withColumn("others", others).select(
+        "n", F.array_max(F.transform("others", ratio)).alias("worst")
     )
     score = _for_clusters(F.avg("worst"), F.count("*"), F.sum("n"))
     return worst.agg(score.alias("davies_bouldin_score"))
@@ -177,6 +181,8 @@ def separation(points: DataFrame, n_clusters: int | None = None) -> DataFrame:
     if n_clusters is None:
         n_clusters = cluster_count(points)
     spread = cluster_spread(points, n_clusters)
+    if n_clusters > CENTRE_ROWS:
+        spread = stored(spread)
     davies_bouldin = _davies_bouldin(spread, n_clusters).scalar()
     return _calinski_harabasz(spread).withColumn("davies_bouldin_score", davies_bouldin)
 
