@@ -143,6 +143,24 @@ def test_other_ways_of_writing_agree_with_matches(spark):
         assert more == ([cases[i][1]] if i in cases else []), i
 
 
+def test_texts_without_a_match_are_solved_too(spark):
+    failing = "4000123456789027"
+    cases = [
+        ("Call (377) 555-0271 or so.", [("phone", "(377) 555-0271")]),
+        (f"Only {failing} here.", []),
+        ("Nothing but 20 boats in 1999.", []),
+    ]
+    docs = corpus(150) + [(20_000 + i, text) for i, (text, _) in enumerate(cases)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in find_personal_data(df).collect()}
+    for i, (text, expected) in enumerate(cases):
+        row = rows[20_000 + i]
+        assert row["base"] == [] and [(k, text[a:b]) for k, a, b in spans_of(row["spans"])] == expected
+    assert all(pii._passes(2, x) for x in ("1.2.3.255", "01-02-03-04")) and not pii._passes(2, "1.2.3.256")
+    assert pii._passes(3, "4000.1234 56789017") and not pii._passes(3, failing)
+    assert list(pii._groups(["no node", "1", "", "a@b.cc"])) == [[1, 3]]
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     rows = find_personal_data(odd_docs.withColumns({"base": F.lit(1), "spans": F.lit("x")})).collect()
     assert len(rows) == odd_docs.count() and {len(r["spans"]) for r in rows} == {0}

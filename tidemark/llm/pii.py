@@ -140,10 +140,20 @@ class _Field:
         self.edges = np.array([(a, b, k) for (a, b), k in edges.items()], np.int64).reshape(-1, 3)
 
 
+def _passes(label: int, piece: str) -> bool:
+    """Whether a piece passes the test of its kind, however it is written."""
+    numbers = re.findall("[0-9]+", piece)
+    if KINDS[label - 1] == "ip":
+        return all(len(n.lstrip("0")) <= 3 and int(n) <= 255 for n in numbers)
+    return KINDS[label - 1] != "card" or _luhn("".join(numbers))
+
+
 def _added(text: str, field: _Field, chance: np.ndarray) -> list[tuple[int, int, int]]:
     """Spans of tokens that no base span touches and that are surely of a kind: neighbours of
     one kind are one span. A span has to look like its kind, but for the detail that kept it
-    from being matched."""
+    from being matched. Where the text has no match, nothing speaks for a number that fails
+    the test of its kind, and only the way of writing may differ."""
+    alone = not field.labels.any()
     best = chance.argmax(1)
     sure = (field.labels == 0) & (best > 0) & (chance.max(1) >= LEAST)
     found, node = [], 0
@@ -166,7 +176,7 @@ def _added(text: str, field: _Field, chance: np.ndarray) -> list[tuple[int, int,
         digits = len(_NO_DIGIT.sub("", inner))
         groups = len(re.findall("[0-9]+", inner))
         fits = ("@" in inner.strip("@"), groups == 4 <= digits, 13 <= digits <= 19, 9 <= digits <= 15)
-        if inner and fits[label - 1]:
+        if inner and fits[label - 1] and (not alone or _passes(label, inner)):
             found.append((label, start, start + len(inner)))
     return found
 
@@ -207,13 +217,14 @@ def fit_fields(docs: DataFrame) -> Potentials:
     return fit_potentials(features, edges, skips=(REPEATED, SIMILAR))
 
 
-def _groups(texts: list[str], base: list[list]) -> Iterator[list[int]]:
-    """Rows with base spans, cut so that the fields of a group have a bounded number of nodes."""
+def _groups(texts: list[str]) -> Iterator[list[int]]:
+    """Rows whose texts have nodes, with matches or without, cut so that the fields of a group
+    have a bounded number of nodes."""
     group, nodes = [], 0
-    for row, found in enumerate(base):
-        if found:
+    for row, text in enumerate(texts):
+        if _MARK.search(text):
             group.append(row)
-            nodes += len(_TOKEN.findall(texts[row]))
+            nodes += len(_TOKEN.findall(text))
         if nodes >= NODES:
             yield group
             group, nodes = [], 0
@@ -222,7 +233,7 @@ def _groups(texts: list[str], base: list[list]) -> Iterator[list[int]]:
 
 
 def _solved(texts: list[tuple[str, list]], potentials: Potentials) -> Iterator[list]:
-    """All spans of texts that have base spans, solved together as one field."""
+    """All spans of texts that have nodes, solved together as one field."""
     fields = [_Field(text, base) for text, base in texts]
     at = np.cumsum([0, *(len(f.spans) for f in fields)])
     unary = np.array([potentials.node(x) for f in fields for x in f.features])
@@ -252,7 +263,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     without those that fail the bound of a part, the check digit, or the number of digits.
     ``spans`` holds these and the ones that a skip-chain random field adds: a number or address
     that is written in a way that no pattern matches, but is repeated, or nearly, as a match
-    of the same text. A text without a match gets none.
+    of the same text, or looks like the matches of other texts. In a text without a match it
+    has to pass the test of its kind as well.
 
     A NULL or empty text has no spans. Repeated rows, also of one ``doc_id``, are returned
     each; a NULL ``doc_id`` is kept. Ties between kinds on one token go to the kind first named.
@@ -272,7 +284,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
             texts = [text or "" for text in batch.column("text").to_pylist()]
             base = [base_spans(text) for text in texts]
             spans = list(base)
-            for rows in _groups(texts, base):
+            for rows in _groups(texts):
                 solved = _solved([(texts[r], base[r]) for r in rows], potentials)
                 for row, found in zip(rows, solved):
                     spans[row] = found
