@@ -247,6 +247,30 @@ def test_near_centres_count_the_same_for_any_number_of_clusters(spark, monkeypat
         silhouette_values(rows.union(rows))
 
 
+def test_copies_of_points_do_not_grow_with_their_number(spark):
+    assert [quality.slice_count(n, 256, 64, 10) for n in (0, 100, 2_000, 20_000, 900_000)] == [1, 1, 8, 16, 16]
+    assert quality.slice_count(2_000_000, 256, 64, 10) == 32
+    assert quality.slice_count(20_000, 256, 64, 20_000) == 79
+    copies = [
+        quality.block_pairs(spark.range(n), "id", quality.slice_count(n, 2, 2, 3)).count() / n
+        for n in (100, 1000)
+    ]
+    assert copies == [16, 16]
+
+
+def test_slices_of_many_blocks_by_hand(spark):
+    rng = random.Random(8)
+    data = [(i, i % 3, [rng.random(), rng.random()]) for i in range(130)]
+    points = as_points(
+        spark.createDataFrame(data, "id int, label int, x array<double>"), "x", "label", "id"
+    )
+    got = {(r["key"], r["other"]): (r["total"], r["n"]) for r in quality.distance_sums(points, 3).collect()}
+    for i, label, x in data:
+        for other in range(3):
+            gaps = [math.dist(x, y) for j, g, y in data if g == other and j != i]
+            assert got[i, other] == (pytest.approx(sum(gaps)), len(gaps))
+
+
 def test_points_are_summed_without_a_sort(spark):
     rows = spark.range(100).selectExpr("cast(id % 3 as int) label", "array(cast(id as double)) x")
     spread = quality.cluster_spread(as_points(rows, "x", "label"), 3)

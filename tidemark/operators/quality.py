@@ -22,9 +22,12 @@ CENTRE_ROWS = 1_000
 # Points of a cluster that one task may join.
 LARGE_ROWS = 1_000_000
 
-# Rows of one block of a measure over all pairs; a task holds two blocks.
+# Rows of one block of a measure over all pairs; a task measures two blocks at a time.
 BLOCK_ROWS = 2_048
 
+# Slices of a measure over all pairs, and values that a task may hold of one: 32 MB of doubles.
+SLICES, SLICE_VALUES = 16, 4_000_000
+
 
 def as_points(
     df: DataFrame,
@@ -196,19 +199,28 @@ def silhouette(points: DataFrame) -> float:
     return ClusteringEvaluator(predictionCol="label", featuresCol="x").evaluate(vectors)
 
 
+def slice_count(n: int, block_rows: int, dims: int, n_clusters: int) -> int:
+    """Slices of n points: enough to share the work, more only where a slice would hold too many
+    values, or sums of too many clusters."""
+    most = max(min(SLICE_VALUES // dims, SLICE_VALUES // max(n_clusters, 1)), block_rows)
+    return max(1, min(SLICES, -(-n // block_rows)), -(-n // most))
+
+
 def distance_sums(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(key, label, other, total, n): per point and cluster, the sum of the Euclidean
     distances to the cluster's points (itself left out), and their number.
 
-    Points are cut by a hash of their key into blocks of about ``block_rows``; a task
-    measures one pair of blocks and gives sums only. The work is quadratic in the number of
-    points, as the measure is; ``silhouette`` and ``silhouette_to_centres`` are the linear
-    ones. A repeated ``key`` raises.
+    Points are cut by a hash of their key into slices; a task measures one pair of slices, about
+    ``block_rows`` of each at a time, and gives sums only. There are a fixed number of slices
+    until they would be too large for a task, so each point is copied as often for any number of
+    points up to there. The work is quadratic in the number of points, as the measure is;
+    ``silhouette`` and ``silhouette_to_centres`` are the linear ones. A repeated ``key`` raises.
     """
     n = points.count()
     if points.select("key").distinct().count() != n:
         raise ValueError("keys of points must be unique")
-    blocks = max(1, -(-n // block_rows))
+    dims = points.agg(F.max(F.size("x"))).first()[0] or 1
+    slices = slice_count(n, block_rows, dims, cluster_count(points))
 
     def measure(pdf):
         import numpy as np
@@ -221,19 +233,33 @@ def distance_sums(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             return pd.DataFrame(
                 {"key": [], "label": [], "other": [], "total": [], "n": []}
             )
-        xa = np.stack(a["x"].to_numpy()).astype("float64")
-        xb = np.stack(b["x"].to_numpy()).astype("float64")
-        # Direct differences, one dimension at a time: exact for near and for far points.
-        squares = np.zeros((len(xa), len(xb)))
-        for i in range(xa.shape[1]):
-            squares += (xa[:, i, None] - xb[None, :, i]) ** 2
-        distances = np.sqrt(squares)
-
-        def side(rows, others, matrix):
-            labels, codes = np.unique(others["label"].to_numpy(), return_inverse=True)
+
+        def held(rows):
+            """Coordinates, labels, and which row has which label."""
+            x = np.stack(rows["x"].to_numpy()).astype("float64")
+            labels, codes = np.unique(rows["label"].to_numpy(), return_inverse=True)
             member = np.zeros((len(codes), len(labels)))
             member[np.arange(len(codes)), codes] = 1.0
-            totals = matrix @ member
+            return x, labels, member
+
+        xa, labels_a, member_a = held(a)
+        xb, labels_b, member_b = (xa, labels_a, member_a) if lo == hi else held(b)
+        totals_a = np.zeros((len(xa), len(labels_b)))
+        totals_b = totals_a if lo == hi else np.zeros((len(xb), len(labels_a)))
+        for i in range(0, len(xa), block_rows):
+            one = slice(i, i + block_rows)
+            for j in range(i if lo == hi else 0, len(xb), block_rows):
+                two = slice(j, j + block_rows)
+                # Direct differences, one dimension at a time: exact for near and for far points.
+                squares = np.zeros((len(xa[one]), len(xb[two])))
+                for d in range(xa.shape[1]):
+                    squares += (xa[one, d, None] - xb[None, two, d]) ** 2
+                distances = np.sqrt(squares)
+                totals_a[one] += distances @ member_b[two]
+                if lo != hi or j > i:
+                    totals_b[two] += distances.T @ member_a[one]
+
+        def side(rows, labels, member, totals):
             counts = np.broadcast_to(member.sum(0), totals.shape).copy()
             if lo == hi:
                 counts -= labels[None, :] == rows["label"].to_numpy()[:, None]
@@ -248,11 +274,13 @@ def distance_sums(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             )
 
         if lo == hi:
-            return side(a, b, distances)
-        return pd.concat([side(a, b, distances), side(b, a, distances.T)])
+            return side(a, labels_b, member_b, totals_a)
+        return pd.concat(
+            [side(a, labels_b, member_b, totals_a), side(b, labels_a, member_a, totals_b)]
+        )
 
     types = dict(points.dtypes)
-    copies = block_pairs(points, "key", blocks)
+    copies = block_pairs(points, "key", slices)
     partial = copies.groupBy("lo", "hi").applyInPandas(
         measure,
         f"key {types['key']}, label {types['label']}, other {types['label']}, "
