@@ -174,3 +174,24 @@ def test_model_of_given_centres(spark, tmp_path):
     assert type(model).load(str(tmp_path / "m")).getMaxIter() == 77
     with pytest.raises(ValueError, match="nothing to cluster"):
         model_of(spark, centres[:1], point, 0.25)
+
+
+@pytest.mark.parametrize(("few", "near"), [(64, 131_072), (1, 131_072), (64, 1)])
+def test_points_of_models_of_one_size_are_added_at_once(monkeypatch, few, near):
+    monkeypatch.setattr(lloyd, "FEW_CENTRES", few)
+    monkeypatch.setattr(lloyd, "NEAR_DISTANCES", near)
+    rng = np.random.default_rng(few)
+    x, fold = rng.normal(size=(500, 3)), rng.integers(0, 3, 500)
+    centres = [rng.normal(size=(5, 3)) for _ in range(4)]
+    # Of two equal centres the first one gets the points.
+    centres[2][3] = centres[2][1]
+    folds = [0, 1, lloyd.EVERYTHING, 2]
+    models = lloyd._Models(centres, folds, np.zeros(3))
+    got = models.added(0, 4, 5, x, fold).reshape(5, 4, 6)
+    for i, (c, f) in enumerate(zip(centres, folds)):
+        gaps = ((x[:, None] - c) ** 2).sum(2)
+        place = np.where(fold == f, 5, gaps.argmin(1))
+        for j in range(6):
+            mine = place == j
+            np.testing.assert_allclose(got[:2, i, j], [mine.sum(), gaps.min(1)[mine].sum()])
+            np.testing.assert_allclose(got[2:, i, j], x[mine].sum(0), atol=1e-9)

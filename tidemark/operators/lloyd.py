@@ -23,6 +23,9 @@ from tidemark.sources.writers import write_parquet
 
 # Doubles that a task holds at once for the distances of some points to all centres.
 DISTANCES = 2_000_000
+# Distances that fit the caches of a core, points measured at once at least, and centres that
+# are compared one by one, for all models of that size together.
+NEAR_DISTANCES, LEAST_ROWS, FEW_CENTRES = 131_072, 64, 64
 # Values of centres that travel with the tasks of a pass: 16 MB of doubles.
 CENTRE_VALUES = 2_000_000
 # Rounds of oversampling when centres are seeded, and candidates of a round per cluster.
@@ -138,6 +141,38 @@ class _Models:
             least[:, a:b] = np.take_along_axis(block, best[:, :, None], 2)[:, :, 0]
         return places, np.maximum(least, 0.0)
 
+    def added(self, a: int, b: int, size: int, x: np.ndarray, fold: np.ndarray) -> np.ndarray:
+        """For a run of models of one size: numbers, costs and sums of components of the points
+        at each centre of each model, and behind these of the points of its fold."""
+        models, dims = b - a, x.shape[1]
+        own = slice(self.offsets[a], self.offsets[b])
+        # The first centres of all models, the second ones, and so on, less the square of x.
+        sides = np.column_stack([-2 * self.all[own], self.squares[own]])
+        sides = sides.reshape(models, size, dims + 1).swapaxes(0, 1).reshape(-1, dims + 1)
+        first = np.arange(models)[:, None] * (size + 1)
+        slots = models * (size + 1)
+        out = np.zeros((2 + dims, slots))
+        rows = max(1, min(DISTANCES // len(sides), max(LEAST_ROWS, NEAR_DISTANCES // len(sides))))
+        for i in range(0, len(x), rows):
+            part = np.vstack([x[i : i + rows].T, np.ones(len(x[i : i + rows]))])
+            gaps = (sides @ part).reshape(size, models, -1)
+            if size > FEW_CENTRES:
+                place = gaps.argmin(0)
+                least = np.take_along_axis(gaps, place[None], 0)[0]
+            else:
+                least, place = gaps[0].copy(), np.zeros(gaps.shape[1:], np.int8)
+                for c in range(1, size):
+                    np.maximum(place, (gaps[c] < least) * np.int8(c), out=place)
+                    np.minimum(least, gaps[c], out=least)
+            least = np.maximum(least + (part[:dims] ** 2).sum(0), 0.0)
+            place[self.folds[a:b, None] == fold[i : i + rows]] = size
+            flat = (first + place).ravel()
+            out[0] += np.bincount(flat, minlength=slots)
+            out[1] += np.bincount(flat, least.ravel(), slots)
+            for d in range(dims):
+                out[2 + d] += np.bincount(flat, np.tile(part[d], models), slots)
+        return out
+
 
 def step_sums(
     rows: DataFrame,
@@ -162,18 +197,16 @@ def step_sums(
         for batch in batches:
             whole = _matrix(batch, dims) - models.origin
             fold = batch.column("fold").to_numpy(zero_copy_only=False)
-            for part in models.chunks(whole):
-                x = whole[part]
-                places, gaps = models.nearest(x)
-                held = fold[part][:, None] == models.folds
-                held_n += held.sum(0)
-                held_cost += (gaps * held).sum(0)
-                flat = places[~held]
-                n += np.bincount(flat, minlength=total)
-                cost += np.bincount(flat, gaps[~held], total)
-                belongs = np.zeros((len(x), total))
-                np.put_along_axis(belongs, places, ~held, 1)
-                sums += belongs.T @ x
+            for a, b, size in models.runs:
+                own = slice(models.offsets[a], models.offsets[b])
+                shape = b - a, size + 1
+                found = models.added(a, b, size, whole, fold)
+                n[own] += found[0].reshape(shape)[:, :size].ravel()
+                cost[own] += found[1].reshape(shape)[:, :size].ravel()
+                for d in range(dims):
+                    sums[own, d] += found[2 + d].reshape(shape)[:, :size].ravel()
+                held_n[a:b] += found[0].reshape(shape)[:, size]
+                held_cost[a:b] += found[1].reshape(shape)[:, size]
         sums += n[:, None] * models.origin
         owner = np.repeat(np.arange(len(models.ids)), models.sizes)
         some, apart = np.flatnonzero(n), np.flatnonzero(held_n)
