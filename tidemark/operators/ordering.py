@@ -82,56 +82,80 @@ def _ranks(n: int, parts: int) -> list[int]:
     return [i * small + min(i, more) for i in range(1, parts)]
 
 
-def _refined(rows: DataFrame, open_cuts: list[dict]) -> None:
-    """Narrow the ranges of some cuts by one histogram pass over all of them."""
+def _flipped(x: int) -> int:
+    """A long as a number from 0 on that keeps its order; the bits are those of x with the first
+    one turned."""
+    return x + (1 << 63)
 
-    # As decimals, since a range may be wider than a long.
-    def whole(x: Column) -> Column:
-        return x.cast("decimal(20,0)")
 
-    histograms = []
-    for cut in open_cuts:
-        cut["width"] = -(-(cut["high"] - cut["low"] + 1) // STEPS)
-        above = whole(F.col("value")) - whole(F.lit(str(cut["low"])))
-        step = F.call_function("div", above, whole(F.lit(str(cut["width"])))).cast("int")
-        inside = F.col(cut["held"]) & F.col("value").between(cut["low"], cut["high"])
-        entry = F.struct(F.lit(cut["held"]).alias("cut"), step.alias("step"))
-        histograms.append(F.when(inside, entry))
-    seen = rows.select(F.explode(F.array_compact(F.array(*histograms))).alias("h"))
-    counts: dict[str, dict[int, int]] = {cut["held"]: {} for cut in open_cuts}
-    # At most STEPS rows per cut.
-    for r in seen.groupBy("h.cut", "h.step").count().collect():
-        counts[r["cut"]][r["step"]] = r["count"]
+def _refined(rows: DataFrame, open_cuts: list[dict]) -> None:
+    """Narrow the ranges of some cuts by one histogram pass. A row is held by one condition at
+    most.
+
+    Cuts of one condition and range share a histogram, and ranges of one condition are equal or
+    apart, so each row is counted once. A cell goes from the least to the greatest value in it.
+    """
+    flipped = F.col("value").bitwiseXOR(F.lit(_LOWEST))
+    ranges: dict[tuple, list[dict]] = {}
     for cut in open_cuts:
-        for step, found in sorted(counts[cut["held"]].items()):
-            if cut["ahead"] + found > cut["rank"]:
-                cut["low"] += step * cut["width"]
-                cut["high"] = min(cut["high"], cut["low"] + cut["width"] - 1)
-                break
-            cut["ahead"] += found
+        ranges.setdefault((cut["held"], cut["low"], cut["high"]), []).append(cut)
+    cell = None
+    for number, (held, low, high) in enumerate(ranges):
+        least, most, bits = _flipped(low), _flipped(high), 0
+        while (most >> bits) - (least >> bits) >= STEPS:
+            bits += 1
+        # What is left of 64 bits after a shift is a long.
+        value, first = (F.shiftrightunsigned(flipped, bits), least >> bits) if bits else (F.col("value"), low)
+        entry = F.struct(F.lit(number).alias("range"), F.try_subtract(value, F.lit(first)).alias("step"))
+        inside = F.col("value").between(low, high)
+        inside = inside if held is None else F.col(held) & inside
+        cell = F.when(inside, entry) if cell is None else cell.when(inside, entry)
+    seen = rows.select("value", cell.alias("h")).where("h is not null")
+    # At most STEPS rows per range.
+    found = seen.groupBy("h.range", "h.step").agg(
+        F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    cells: dict[int, list] = {number: [] for number in range(len(ranges))}
+    for r in found.collect():
+        cells[r["range"]].append(r)
+    for number, cuts in enumerate(ranges.values()):
+        for cut in cuts:
+            for r in sorted(cells[number], key=lambda r: r["step"]):
+                if cut["ahead"] + r["n"] > cut["rank"]:
+                    cut["low"], cut["high"] = r["low"], r["high"]
+                    break
+                cut["ahead"] += r["n"]
 
 
 def exact_quantiles(
-    df: DataFrame, number: Column, ranks: Sequence[int], held: Sequence[Column] | None = None
+    df: DataFrame,
+    number: Column,
+    ranks: Sequence[int],
+    held: Sequence[Column] | None = None,
+    bounds: tuple[int, int] | None = None,
+    apart: bool = False,
 ) -> list[tuple[int, int]]:
     """For each rank the value of the row that so many rows are ahead of in the order of
     ``number``, a long, and how many rows are below that value.
 
     Each pass cuts the range that holds the value into thousands and counts them, for all ranks
     at once, so a long takes six passes at most, and no rows are sorted or moved. ``held`` may
-    restrict each rank to some of the rows.
+    restrict each rank to some of the rows; with ``apart`` a row is held by one column object
+    at most, else each takes passes of its own. ``bounds`` are those of all values, if known.
     """
     if not ranks:
         return []
-    flags = [h.alias(f"held{i}") for i, h in enumerate(held or [F.lit(True)] * len(ranks))]
-    rows = df.select(number.alias("value"), *flags)
-    low, high = rows.agg(F.min("value"), F.max("value")).first()
+    # Columns cannot be compared; the same object is the same condition.
+    flags = {id(h): h.alias(f"held{i}") for i, h in enumerate(held or ())}
+    names = {key: f"held{i}" for i, key in enumerate(map(id, held or ()))}
+    rows = df.select(number.alias("value"), *flags.values())
+    low, high = bounds or rows.agg(F.min("value"), F.max("value")).first()
     cuts = [
-        {"rank": r, "low": low, "high": high, "ahead": 0, "held": f"held{i}"}
+        {"rank": r, "low": low, "high": high, "ahead": 0, "held": names[id(held[i])] if held else None}
         for i, r in enumerate(ranks)
     ]
     while open_cuts := [c for c in cuts if c["low"] < c["high"]]:
-        _refined(rows, open_cuts)
+        _refined(rows, [c for c in open_cuts if apart or c["held"] == open_cuts[0]["held"]])
     return [(c["low"], c["ahead"]) for c in cuts]
 
 
@@ -144,14 +168,16 @@ def contiguous_parts(df: DataFrame, key: str, parts: int, name: str = "fold") ->
     they can make sizes differ by more than one.
     """
     first, second = order_number(df, key), F.xxhash64(*[quoted(c) for c in (key, *df.columns)])
-    n = df.count()
+    n, *bounds = df.agg(F.count("*"), F.min(first), F.max(first)).first()
     ranks = [r for r in _ranks(n, parts) if r < n]
-    cuts = [(rank - ahead, value) for rank, (value, ahead) in zip(ranks, exact_quantiles(df, first, ranks))]
+    found = exact_quantiles(df, first, ranks, bounds=bounds)
+    cuts = [(rank - ahead, value) for rank, (value, ahead) in zip(ranks, found)]
     # Where rows of one key are on both sides of a cut, cut them by the hash.
     split = [(rank, value) for rank, value in cuts if rank]
-    found = exact_quantiles(
-        df, second, [rank for rank, _ in split], [first == value for _, value in split]
-    )
+    tied = {value: first == value for _, value in split}
+    held = [tied[value] for _, value in split]
+    whole = (_LOWEST, -1 - _LOWEST)
+    found = exact_quantiles(df, second, [rank for rank, _ in split], held, whole, apart=True)
     hashes = dict(zip(split, (h for h, _ in found)))
     behind = [
         F.when((first > value) | ((first == value) & (second >= hashes.get((rank, value), _LOWEST))), 1)
