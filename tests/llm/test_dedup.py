@@ -182,6 +182,77 @@ def test_rich_families_without_links_are_told_by_sketches(spark, monkeypatch):
     assert counts[100] < 500 and counts[200] < 2_000
 
 
+def edited(rng, n, most):
+    """Texts of one body, each with up to so many words changed, some in a common way."""
+    base = [f"w{i}" for i in range(146)]
+    docs = []
+    for i in range(n):
+        text = list(base)
+        for _ in range(rng.randrange(most + 1)):
+            at = rng.randrange(len(text))
+            text[at] = f"x{at}" if rng.random() < 0.3 else f"y{rng.randrange(10**9)}"
+        docs.append((i, " ".join(text)))
+    return docs
+
+
+def test_a_family_of_near_copies_meets_few_times(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "SHORT", 8)
+    met, sides = [], []
+    similar, across = dedup._similar, dedup._across
+
+    def by_leaders(pairs, *a, hot=False):
+        met.append(pairs.count() if hot else 0)
+        return similar(pairs, *a, hot=hot)
+
+    def copied(rows):
+        out = across(rows)
+        sides.append(out.count())
+        return out
+
+    monkeypatch.setattr(dedup, "_similar", by_leaders)
+    monkeypatch.setattr(dedup, "_across", copied)
+    for n in (150, 300):
+        docs = edited(random.Random(n), n, 6)
+        met.clear(), sides.clear()
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        got = {r["doc_id"]: tuple(r)[1:] for r in near_duplicates(df).collect()}
+        assert got == groups_by_hand(docs)
+        # Of 11,175 and 44,850 pairs; each document is in up to 16 lists.
+        assert sum(met) < 12 * n, met
+        assert sum(sides) < 20 * n, sides
+
+
+@pytest.mark.parametrize("percent", [30, 80, 85, 100])
+def test_documents_of_a_home_are_linked_by_differences(spark, percent):
+    rng = random.Random(percent)
+    body = range(60)
+    sets = {0: set(body), 500: set(range(1000, 1050))}
+    homes = []
+    for i in range(1, 120):
+        lost = rng.sample(body, rng.randrange(12))
+        sets[i] = (set(body) - set(lost)) | {rng.randrange(100, 130) for _ in range(rng.randrange(8))}
+        homes.append((0, i))
+    for i in range(501, 504):
+        sets[i] = set(range(1000 + i - 500, 1050 + i))
+        homes.append((500, i))
+    df = spark.createDataFrame([(i, sorted(x)) for i, x in sets.items()], "doc_id long, shingles array<long>")
+    homes_df = spark.createDataFrame(homes, "home long, doc_id long")
+    found = [tuple(r) for r in dedup._at_home(homes_df, df, percent).collect()]
+    alike = lambda a, b: 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    assert all(alike(a, b) for a, b in found)
+
+    def groups(links):
+        group = {i: i for _, i in homes}
+        for a, b in links:
+            old, new = group[a], group[b]
+            group = {i: new if g == old else g for i, g in group.items()}
+        return {frozenset(i for i in group if group[i] == g) for g in group.values()}
+
+    every = [(a, b) for h, a in homes for k, b in homes if h == k and a < b and alike(a, b)]
+    assert groups(found) == groups(every)
+    assert len(found) <= len(every)
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(i, i + 1) for i in range(1, 60)] + [(100 + rng.randrange(40), 100) for _ in range(60)]

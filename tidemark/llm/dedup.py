@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil, comb, log
 
 import numpy as np
@@ -20,6 +21,8 @@ SHINGLE = 5
 SKETCH, LISTED = 64, 32
 # A list up to this long gives all its pairs; longer ones go by leaders.
 SHORT = 48
+# A leader is home to documents at least this many percent like it, if links need as many.
+HOME = 50
 # Accepted chance that a link does not show in lists.
 MISSED = 3e-7
 # Linked if intersection / union is at least this many percent, unless a caller says otherwise.
@@ -118,11 +121,13 @@ def _estimate(a: Column, b: Column) -> Column:
 
 
 def _measured(pairs: DataFrame, sets: DataFrame, percent: int, hot: bool = False) -> DataFrame:
-    """The pairs ``a, b`` that are ``percent`` alike by their full sets."""
+    """The pairs ``a, b`` that are ``percent`` alike by their full sets, with ``both, either``,
+    the sizes of intersection and union."""
     both = F.size(F.array_intersect("x", "y"))
     either = F.size("x") + F.size("y") - F.col("both")
     measured = _with_sides(pairs, sets, "shingles", hot).withColumn("both", both)
-    return measured.where(100 * F.col("both") >= percent * either).select("a", "b")
+    measured = measured.select("a", "b", "both", either.alias("either"))
+    return measured.where(100 * F.col("both") >= percent * F.col("either"))
 
 
 def _with_sides(pairs: DataFrame, source: DataFrame, column: str, hot: bool) -> DataFrame:
@@ -236,6 +241,84 @@ def _across(rows: DataFrame) -> DataFrame:
     return numbered.withColumns({"bit": above.bitwiseAND(1), "rest": rest}).drop("number", "most")
 
 
+def _homes(found: DataFrame) -> DataFrame:
+    """``home, doc_id``: of the leaders ``a`` that a document ``b`` is like, the one of the most
+    documents, so that a family has one home."""
+    size = found.groupBy("a").agg(F.count("*").alias("size"))
+    sized = lookup(found.select("a", "b"), size, ["a"], "inner")
+    best = sized.groupBy("b").agg(F.min(F.struct((-F.col("size")).alias("size"), "a")).alias("best"))
+    return best.select(F.col("best.a").alias("home"), F.col("b").alias("doc_id"))
+
+
+def _differing(x: Column, y: Column) -> Column:
+    """What is in one of two arrays only."""
+    return F.array_union(F.array_except(x, y), F.array_except(y, x))
+
+
+def _at_home(homes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` that connect what is linked among the documents of each home.
+
+    A document is told by how it differs from the home's middle, the set of what more than half
+    of the home's documents have. Two documents differ by what is in one of their differences
+    only: with ``off``, (100 + percent) times a difference's size less (100 - percent) times the
+    document's, they are linked exactly if ``off`` of both is 2 * (100 + percent) times what
+    their differences have in common, or less. So all that can do without anything in common are
+    linked to the document of the least ``off``, and the others, loose, need so much in common
+    that pairs show in the rarest of it, by prefixes.
+    """
+    unit = 2 * (100 + percent)
+    pairs = homes.select(F.col("home").alias("a"), F.col("doc_id").alias("b"))
+    differing = _differing(F.col("x"), F.col("y")).alias("differs")
+    own = _with_sides(pairs, sets, "shingles", hot=True)
+    own = store(own.select(F.col("a").alias("home"), F.col("b").alias("doc_id"), F.size("y").alias("n"), differing))
+    docs = own.groupBy("home").agg(F.count("*").alias("docs"))
+    held = own.select("home", F.explode("differs").alias("w")).groupBy("home", "w").agg(F.count("*").alias("held"))
+    middle = lookup(held, docs, ["home"], "inner").where(2 * F.col("held") > F.col("docs"))
+    middle = middle.groupBy("home").agg(F.collect_list("w").alias("middle"))
+    own = lookup(own, middle, ["home"], "left")
+    from_middle = F.when(F.col("middle").isNull(), F.col("differs")).otherwise(
+        _differing(F.col("differs"), F.col("middle"))
+    )
+    own = own.withColumn("differs", from_middle).drop("middle")
+    off = (100 + percent) * F.size("differs") - (100 - percent) * F.col("n")
+    own = store(own.select("home", "doc_id", "differs", off.cast("long").alias("off")))
+
+    centre = own.groupBy("home").agg(F.min(F.struct("off", "doc_id")).alias("centre"))
+    centre = centre.select("home", F.col("centre.off").alias("least"), F.col("centre.doc_id").alias("centre"))
+    placed = lookup(own, centre, ["home"], "inner")
+    placed = store(placed.withColumn("loose", F.col("off") + F.col("least") > 0))
+    sure = placed.where(~F.col("loose") & (F.col("doc_id") != F.col("centre")))
+    sure = sure.select(F.col("centre").alias("a"), F.col("doc_id").alias("b"))
+
+    # What others have too, rarest first.
+    each = placed.select("home", "doc_id", "off", "least", "loose", F.explode("differs").alias("w"))
+    held = each.groupBy("home", "w").agg(F.count("*").alias("held")).where("held > 1")
+    common = lookup(each, held, ["home", "w"], "inner")
+    common = common.groupBy("home", "doc_id", "off", "least", "loose").agg(
+        F.array_sort(F.collect_list(F.struct("held", "w"))).alias("common")
+    )
+    # The least that a link needs in common: a loose document with any, the others with a loose one.
+    needs = lambda other: F.greatest(F.lit(1), F.ceil((F.col("off") + F.col(other)) / unit))
+    common = store(common.where(~F.col("loose") | (F.size("common") >= needs("least"))))
+    looser = common.where("loose").groupBy("home").agg(F.min("off").alias("looser"))
+    common = lookup(common, looser, ["home"], "inner")
+    common = common.withColumn("needed", F.when(F.col("loose"), needs("least")).otherwise(needs("looser")).cast("int"))
+    common = common.where(F.size("common") >= F.col("needed"))
+    prefix = F.slice("common", F.lit(1), F.size("common") - F.col("needed") + 1)
+    each = common.select("home", "doc_id", "off", "loose", F.size("common").alias("size"), F.posexplode(prefix).alias("at", "x"))
+    # So much may come from the first that two have in common on.
+    each = store(each.select("home", F.col("x.w").alias("w"), "doc_id", "off", "loose", (F.col("size") - F.col("at")).alias("rest")))
+    left = each.where("loose").select("home", "w", F.col("doc_id").alias("a"), F.col("off").alias("oa"), F.col("rest").alias("ra"))
+    right = each.select("home", "w", F.col("doc_id").alias("b"), F.col("off").alias("ob"), F.col("rest").alias("rb"), "loose")
+    once = (F.col("a") < F.col("b")) | (~F.col("loose") & (F.col("a") != F.col("b")))
+    needed = F.col("oa") + F.col("ob")
+    fits = once & (unit * F.least("ra", "rb") >= needed)
+    pairs = left.join(right, ["home", "w"]).where(fits).select("a", "b", needed.alias("needed")).distinct()
+    both = F.size(F.array_intersect("x", "y"))
+    met = _with_sides(store(pairs), own, "differs", hot=True).where(unit * both >= F.col("needed"))
+    return sure.unionByName(met.select("a", "b"))
+
+
 def _by_leaders(
     members: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
@@ -245,15 +328,15 @@ def _by_leaders(
     and the smaller document of a link must have few of them. Such rich documents lead, those
     with the least of their own first: each round some of those with one first list are held
     against their lists, by sketches and then by full sets, eight times as many as in the round
-    before, and members linked to a leader lead no more. What belongs together is then one component, as a rule. At
-    last rich documents meet those of other components that they can link with by numbers
-    alone; that leaves no link out.
+    before, and members that are at home with a leader lead no more. Documents of one home are
+    linked by how they differ from it. At last rich documents meet those of other homes and
+    components that they can link with by numbers alone; that leaves no link out.
 
     A document leads in the first of its lists, eight at 85 percent, and is met in twice as
     many, lists being in one order for all; a partner misses all of them as rarely as sketches
     fail each other. Between the joins there is one row for each document.
     """
-    most = _leading(percent)
+    most, at_home = _leading(percent), min(HOME, percent)
     docs = store(_with_shared(members, sets, percent))
     rich = (100 + percent) * F.col("shared") >= 2 * percent * F.col("n")
     led = F.slice("lists", 1, most).alias("led")
@@ -266,7 +349,7 @@ def _by_leaders(
 
     # Documents that may still lead, and those that have not met all leaders.
     ready, waiting, per_list = docs.where(rich), docs, 1
-    links = docs.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
+    alike = []
     while True:
         # By the first list of each, so that a family has few leaders.
         ranked = ready.select("doc_id", "n", "shared", F.get("lists", F.lit(0)).alias("v"))
@@ -279,30 +362,39 @@ def _by_leaders(
         mates = waiting.join(chosen.withColumn("leads", F.lit(True)), "doc_id", "left")
         met = lookup(mates.select("*", F.explode("lists").alias("v")), leaders, ["v"], "inner")
         once = F.col("leads").isNull() | (F.col("a") < F.col("doc_id"))
-        met = met.where(_may_link(of_a, of_b, percent) & once & (F.col("a") != F.col("doc_id")) & here)
+        # Who cannot link with a leader may have it for a home.
+        like = 100 * F.least("na", "n") >= at_home * F.greatest("na", "n")
+        met = met.where((_may_link(of_a, of_b, percent) | like) & once & (F.col("a") != F.col("doc_id")) & here)
         pairs = store(met.select("a", F.col("doc_id").alias("b")).distinct())
         near = store(_similar(pairs, sketches, percent, hot=True))
-        found = store(_measured(near, sets, percent, hot=True))
-        links = links.unionByName(found)
-        linked = found.select(F.col("b").alias("doc_id")).unionByName(chosen).distinct()
-        ready = store(ready.join(linked, "doc_id", "left_anti"))
+        found = store(_measured(near, sets, at_home, hot=True))
+        alike.append(found)
+        housed = found.select(F.col("b").alias("doc_id")).unionByName(chosen).distinct()
+        ready = store(ready.join(housed, "doc_id", "left_anti"))
         waiting = store(waiting.join(chosen, "doc_id", "left_anti"))
         per_list *= 8
 
-    links = store(links)
+    if not alike:
+        return docs.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
+    found = reduce(DataFrame.unionByName, alike)
+    links = found.where(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
     # Leaders have met everyone; what waits may still have links among itself.
-    groups = components(links).withColumnRenamed("id", "doc_id")
-    grouped = F.coalesce("component", "doc_id")
-    placed = waiting.join(groups, "doc_id", "left").withColumn("component", grouped)
+    homes = store(_homes(found.join(waiting.select(F.col("doc_id").alias("b")), "b", "left_semi")))
+    links = store(links.unionByName(_at_home(homes, sets, percent)))
+    groups = components(links).withColumnRenamed("id", "doc_id").withColumnRenamed("component", "grp")
+    placed = waiting.join(groups, "doc_id", "left").withColumn("grp", F.coalesce("grp", "doc_id"))
+    # Documents without a home are not rich, and have no link among themselves.
+    home = F.coalesce(F.col("home").cast("string"), F.lit("")).alias("component")
+    placed = placed.join(homes, "doc_id", "left").select("doc_id", "n", "shared", "lists", "grp", home)
     placed = store(placed.select("*", rich.alias("rich"), F.explode("lists").alias("v")))
     leads = F.col("rich") & F.array_contains(F.slice("lists", 1, most), F.col("v"))
     # Lists in which nobody is left to lead show no pair.
     sides = _across(lookup(placed, placed.where(leads).select("v").distinct(), ["v"], "left_semi"))
-    left = sides.where(leads).select("v", "digit", "rest", "bit", *names)
+    left = sides.where(leads).select("v", "digit", "rest", "bit", F.col("grp").alias("ga"), *names)
     right = sides.withColumn("bit", 1 - F.col("bit"))
-    right = right.select("v", "digit", "rest", "bit", "doc_id", "n", "shared", "lists")
+    right = right.select("v", "digit", "rest", "bit", "doc_id", "n", "shared", "lists", "grp")
     smaller = (F.col("na") < F.col("n")) | ((F.col("na") == F.col("n")) & (F.col("a") < F.col("doc_id")))
-    apart = smaller & _may_link(of_a, of_b, percent) & here
+    apart = smaller & (F.col("ga") != F.col("grp")) & _may_link(of_a, of_b, percent) & here
     # Sizes of a link are in one class or in neighbouring ones, each class a step of the ratio.
     step = log(100 / percent) if percent < 100 else 1.0
     size = F.floor(F.log("n") / step + 1e-9)
@@ -311,7 +403,7 @@ def _by_leaders(
     pairs = left.join(right, ["v", "digit", "rest", "bit", "size"]).where(apart)
     pairs = store(pairs.select("a", F.col("doc_id").alias("b")).distinct())
     near = store(_similar(pairs, sketches, percent, hot=True))
-    return links.unionByName(store(_measured(near, sets, percent, hot=True)))
+    return links.unionByName(store(_measured(near, sets, percent, hot=True)).select("a", "b"))
 
 
 def _grouped(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -350,7 +442,7 @@ def _grouped(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, Data
     needed = once.withColumn("many", F.lit(False)).unionByName(several.withColumn("many", F.lit(True)))
     sets = store(needed.mapInArrow(_sets, "doc_id long, shingles array<long>"))
 
-    links = store(_measured(short, sets, percent))
+    links = store(_measured(short, sets, percent)).select("a", "b")
     links = links.unionByName(_by_leaders(members, sketches, sets, percent))
     groups = components(links).withColumnRenamed("id", "node")
     linked = classes.select("node", "doc_id").join(groups, "node")
