@@ -253,6 +253,24 @@ def test_documents_of_a_home_are_linked_by_differences(spark, percent):
     assert len(found) <= len(every)
 
 
+def test_lists_of_one_home_are_not_copied_by_the_pipeline_stage(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "SHORT", 8)
+    copied, across = [], dedup._across
+
+    def counted(rows):
+        out = across(rows)
+        copied.append(out.count())
+        return out
+
+    monkeypatch.setattr(dedup, "_across", counted)
+    docs = edited(random.Random(8), 300, 8)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = dict(STAGES)["minhash near-dedup"](spark, df, "").count()
+    assert 1 < kept < 300
+    # Each document is in up to 20 lists.
+    assert len(copied) == 1 and copied[0] < 20 * 300, copied
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(i, i + 1) for i in range(1, 60)] + [(100 + rng.randrange(40), 100) for _ in range(60)]
