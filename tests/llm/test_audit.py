@@ -97,6 +97,19 @@ def test_odd_and_empty_tables(spark, odd_docs, no_docs, no_labels):
     assert audit_filters(no_docs, no_labels).count() == 0
 
 
+def test_no_table_goes_through_the_driver(spark, tmp_path):
+    """A stored table is small by its files, however many rows they hold."""
+    docs = spark.range(2000).selectExpr("id as doc_id", "concat('text ', id div 2) as text", "'en' as lang")
+    labels = spark.range(2000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    for name, table in (("docs", docs), ("labels", labels)):
+        table.write.parquet(f"{tmp_path}/{name}")
+    audit = audit_filters(spark.read.parquet(f"{tmp_path}/docs"), spark.read.parquet(f"{tmp_path}/labels"))
+    found = {(r["filter_order"], r["step"]): r for r in audit.collect()}
+    assert (found["EABCD", 1]["removed"], found["ABCDE", 1]["good_lost"]) == (1000, 2000)
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_own_filters(spark, no_labels):
     docs = spark.createDataFrame(
         [(1, "a", 5), (2, "a", 50), (3, "b", 50)], "doc_id long, text string, size int"

@@ -40,11 +40,17 @@ def default_filters(text: Column) -> dict[str, Column]:
     }
 
 
+def _never_sent(counts: DataFrame) -> DataFrame:
+    """The frame, joined by sorting. Spark goes by the size of its files, and the salted copies of
+    a few MB of them can be more than the driver holds."""
+    return counts.hint("merge")
+
+
 def _copies(marked: DataFrame) -> DataFrame:
     """Adds ``copy``: whether a smaller id has the same text."""
     least, most = F.min("doc_id").alias("least"), F.max("doc_id").alias("most")
     firsts = marked.groupBy("h1", "h2").agg(least, most).where("least < most").drop("most")
-    joined = lookup(marked, firsts, ["h1", "h2"], "left")
+    joined = lookup(marked, _never_sent(firsts), ["h1", "h2"], "left")
     return joined.withColumn("copy", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False)))
 
 
@@ -73,7 +79,7 @@ def failure_cells(
     flags = labels.select(ids, (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"))
     flags = flags.groupBy("doc_id").agg(F.max("good").alias("good"), F.max("toxic").alias("toxic"))
     flags = flags.where(F.col("doc_id").isNotNull() & (F.col("good") | F.col("toxic")))
-    marks = lookup(placed, flags, ["doc_id"], "left")
+    marks = lookup(placed, _never_sent(flags), ["doc_id"], "left")
     return marks.groupBy("part", "mask").agg(
         F.count("*").alias("n"), F.count_if("good").alias("good"), F.count_if("toxic").alias("toxic")
     )
