@@ -15,6 +15,7 @@ from tidemark.functions.names import quoted
 from tidemark.functions.numbers import squared_distance
 from tidemark.operators.lookup import lookup_join
 from tidemark.operators.neighbours import stored, worst_ratios
+from tidemark.operators.pairs import pair_sums
 
 # Centres that may be shared with every task; at 4,096 dimensions they take 32 MB.
 CENTRE_ROWS = 1_000
@@ -210,84 +211,42 @@ def distance_sums(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(key, label, other, total, n): per point and cluster, the sum of the Euclidean
     distances to the cluster's points (itself left out), and their number.
 
-    Points are cut by a hash of their key into slices; a task measures one pair of slices, about
-    ``block_rows`` of each at a time, and gives sums only. There are a fixed number of slices
-    until they would be too large for a task, so each point is copied as often for any number of
-    points up to there. The work is quadratic in the number of points, as the measure is;
+    Points are cut by a hash of their key into slices; a task measures one pair of slices, tiles of
+    ``block_rows`` at most of each at a time, and gives lists of sums. There are a fixed number of
+    slices until they would be too large for a task, so each point is copied as often for any
+    number of points up to there. The work is quadratic in the number of points, as the measure is;
     ``silhouette`` and ``silhouette_to_centres`` are the linear ones. A repeated ``key`` raises.
     """
-    n = points.count()
+    n, dims = points.agg(F.count("*"), F.max(F.size("x"))).first()
     if points.select("key").distinct().count() != n:
         raise ValueError("keys of points must be unique")
-    dims = points.agg(F.max(F.size("x"))).first()[0] or 1
-    slices = slice_count(n, block_rows, dims, cluster_count(points))
-
-    def measure(pdf):
-        import numpy as np
-        import pandas as pd
-
-        lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
-        sides = [pdf[pdf["block"] == b] for b in ([lo] if lo == hi else [lo, hi])]
-        a, b = sides[0], sides[-1]
-        if a.empty or b.empty:
-            return pd.DataFrame(
-                {"key": [], "label": [], "other": [], "total": [], "n": []}
-            )
-
-        def held(rows):
-            """Coordinates, labels, and which row has which label."""
-            x = np.stack(rows["x"].to_numpy()).astype("float64")
-            labels, codes = np.unique(rows["label"].to_numpy(), return_inverse=True)
-            member = np.zeros((len(codes), len(labels)))
-            member[np.arange(len(codes)), codes] = 1.0
-            return x, labels, member
-
-        xa, labels_a, member_a = held(a)
-        xb, labels_b, member_b = (xa, labels_a, member_a) if lo == hi else held(b)
-        totals_a = np.zeros((len(xa), len(labels_b)))
-        totals_b = totals_a if lo == hi else np.zeros((len(xb), len(labels_a)))
-        for i in range(0, len(xa), block_rows):
-            one = slice(i, i + block_rows)
-            for j in range(i if lo == hi else 0, len(xb), block_rows):
-                two = slice(j, j + block_rows)
-                # Direct differences, one dimension at a time: exact for near and for far points.
-                squares = np.zeros((len(xa[one]), len(xb[two])))
-                for d in range(xa.shape[1]):
-                    squares += (xa[one, d, None] - xb[None, two, d]) ** 2
-                distances = np.sqrt(squares)
-                totals_a[one] += distances @ member_b[two]
-                if lo != hi or j > i:
-                    totals_b[two] += distances.T @ member_a[one]
-
-        def side(rows, labels, member, totals):
-            counts = np.broadcast_to(member.sum(0), totals.shape).copy()
-            if lo == hi:
-                counts -= labels[None, :] == rows["label"].to_numpy()[:, None]
-            return pd.DataFrame(
-                {
-                    "key": np.repeat(rows["key"].to_numpy(), len(labels)),
-                    "label": np.repeat(rows["label"].to_numpy(), len(labels)),
-                    "other": np.tile(labels, len(rows)),
-                    "total": totals.ravel(),
-                    "n": counts.ravel().astype("int64"),
-                }
-            )
-
-        if lo == hi:
-            return side(a, labels_b, member_b, totals_a)
-        return pd.concat(
-            [side(a, labels_b, member_b, totals_a), side(b, labels_a, member_a, totals_b)]
-        )
-
+    slices = slice_count(n, block_rows, dims or 1, cluster_count(points))
     types = dict(points.dtypes)
-    copies = block_pairs(points, "key", slices)
-    partial = copies.groupBy("lo", "hi").applyInPandas(
+    # Half the bytes where single precision has the same numbers.
+    single = F.col("x").cast("array<float>")
+    same = F.coalesce(single.cast("array<double>") == F.col("x"), F.lit(False))
+    sent = points.select(
+        "key", "label", F.when(same, single).alias("single"), F.when(~same, F.col("x")).alias("x")
+    )
+    # One pair a task.
+    pair = (F.col("hi") * (F.col("hi") + 1) / 2 + F.col("lo")).cast("int").alias("pair")
+    copies = block_pairs(sent, "key", slices).select(pair, "block", "key", "label", "single", "x")
+    dealt = copies.repartitionById(slices * (slices + 1) // 2, "pair")
+
+    def measure(batches):
+        return pair_sums(batches, block_rows)
+
+    sums = dealt.mapInArrow(
         measure,
-        f"key {types['key']}, label {types['label']}, other {types['label']}, "
-        "total double, n bigint",
+        f"key {types['key']}, label {types['label']}, others array<{types['label']}>, "
+        "totals array<double>, ns array<bigint>",
+    )
+    # Lists are moved, not their entries: a key's sums come together before they are taken apart.
+    together = sums.repartition("key").select(
+        "key", "label", F.explode(F.arrays_zip("others", "totals", "ns")).alias("s")
     )
-    return partial.groupBy("key", "label", "other").agg(
-        F.sum("total").alias("total"), F.sum("n").alias("n")
+    return together.groupBy("key", "label", F.col("s.others").alias("other")).agg(
+        F.sum("s.totals").alias("total"), F.sum("s.ns").alias("n")
     )
 
 
