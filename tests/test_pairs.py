@@ -8,14 +8,13 @@ import pyarrow as pa
 import pytest
 
 from tidemark.operators import pairs, quality
-from tidemark.operators.pairs import Side, add_distances, slices_of
+from tidemark.operators.pairs import Side, add_distances, packed, slices_of
 from tidemark.operators.quality import as_points, distance_sums
 
 
 def side(x, labels):
-    single = pa.nulls(len(x), pa.list_(pa.float32()))
-    rows = {"key": np.arange(len(x)), "label": labels, "x": pa.array(list(x)), "single": single}
-    return Side(pa.table(rows))
+    rows = {"key": np.arange(len(x)), "label": labels, "x": pa.array(list(x))}
+    return Side(pa.Table.from_batches(packed(pa.table(rows).to_batches())))
 
 
 def by_hand(a, b):

@@ -23,14 +23,57 @@ NEAR = 1e-5
 DIFFERENCES, SUMS = 32_768, 262_144
 
 
+def _matrix(x: pa.Array) -> np.ndarray:
+    """Coordinates of lists of the same length."""
+    sizes = x.value_lengths().to_numpy(zero_copy_only=False)
+    if x.null_count or len(np.unique(sizes)) > 1:
+        raise ValueError("points must have the same number of dimensions")
+    return x.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(len(x), int(sizes[0]))
+
+
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, label, wide, x) with coordinates as bytes: of doubles where ``wide``, elsewhere of
+    single precision, which has the same numbers."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x = _matrix(batch.column("x"))
+        with np.errstate(over="ignore"):
+            single = x.astype(np.float32)
+        same = ((single == x) | np.isnan(x)).all(1)
+        for wide, rows in ((False, same), (True, ~same)):
+            if rows.any():
+                values = (x if wide else single)[rows]
+                ends = np.arange(len(values) + 1, dtype=np.int32) * (values.itemsize * values.shape[1])
+                data = [None, pa.py_buffer(ends), pa.py_buffer(values.tobytes())]
+                columns = [batch.column(c).filter(pa.array(rows)) for c in ("key", "label")]
+                columns += [pa.array(np.full(len(values), wide)), pa.Array.from_buffers(pa.binary(), len(values), data)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "label", "wide", "x"])
+
+
+def _unpacked(rows: pa.Table, kind: type) -> np.ndarray:
+    """Coordinates from bytes."""
+    x = rows["x"].combine_chunks()
+    sizes = np.unique(pc.binary_length(x).to_numpy())
+    if len(sizes) > 1:
+        raise ValueError("points must have the same number of dimensions")
+    dims = int(sizes[0]) // np.dtype(kind).itemsize
+    if not dims:
+        return np.zeros((len(x), 0))
+    begin = int(np.frombuffer(x.buffers()[1], np.int32)[x.offset])
+    return np.frombuffer(x.buffers()[2], kind, len(x) * dims, begin).reshape(-1, dims)
+
+
 class Side:
-    """The points of a slice in the order of their labels."""
+    """The points of a slice in the order of their labels, from what :func:`packed` gives."""
 
     def __init__(self, rows: pa.Table):
-        x = _coordinates(rows)
-        sizes = x.value_lengths().to_numpy(zero_copy_only=False)
-        if len(np.unique(sizes)) > 1:
+        parts = [(rows.filter(pc.equal(rows["wide"], wide)), kind) for wide, kind in ((False, np.float32), (True, float))]
+        parts = [(part, kind) for part, kind in parts if part.num_rows]
+        found = [_unpacked(part, kind) for part, kind in parts]
+        if len({x.shape[1] for x in found}) > 1:
             raise ValueError("points must have the same number of dimensions")
+        rows = pa.concat_tables([part.drop_columns("x") for part, _ in parts])
         label = rows["label"].combine_chunks().dictionary_encode()
         codes = label.indices.to_numpy()
         order = np.argsort(codes, kind="stable")
@@ -38,8 +81,7 @@ class Side:
         self.codes = codes[order]
         self.key = rows["key"].combine_chunks().take(pa.array(order))
         self.label = rows["label"].combine_chunks().take(pa.array(order))
-        values = x.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
-        self.x = values.reshape(len(sizes), int(sizes[0]))[order]
+        self.x = np.concatenate(found, dtype=float)[order]
         self.sums = np.zeros((0, 0))
 
     def tiles(self, rows: int) -> list[tuple[slice, slice, np.ndarray]]:
@@ -53,16 +95,6 @@ class Side:
         return out
 
 
-def _coordinates(rows: pa.Table) -> pa.Array:
-    """Lists of numbers, sent in single precision where that keeps them as they are."""
-    x = rows["single"]
-    if x.null_count:
-        x = pc.coalesce(rows["x"], x.cast(pa.list_(pa.float64())))
-    if x.null_count:
-        raise ValueError("points must have coordinates")
-    return x.combine_chunks()
-
-
 def _middle(x: np.ndarray) -> np.ndarray:
     """The median of each dimension, over points without infinite or missing values."""
     whole = np.isfinite(x).all(1)
@@ -100,26 +132,31 @@ def add_distances(a: Side, b: Side, rows: int) -> None:
     A tile of squares is one matrix product, -2xy + |x|^2 + |y|^2 over coordinates from the middle
     of a slice.
     """
+    rows = min(rows, TILE_ROWS)
+    a.sums = np.zeros((len(a.x), len(b.labels)))
+    b.sums = a.sums if a is b else np.zeros((len(b.x), len(a.labels)))
+    held = np.empty(rows * rows)
     with np.errstate(all="ignore"):
         middle, dims = _middle(b.x), b.x.shape[1]
-        right = np.ones((dims + 2, len(b.x)))
-        np.subtract(b.x.T, middle[:, None], out=right[:dims])
-        ny = right[-1] = np.einsum("ij,ij->j", right[:dims], right[:dims])
-        right[:dims] *= -2
-        a.sums = np.zeros((len(a.x), len(b.labels)))
-        b.sums = a.sums if a is b else np.zeros((len(b.x), len(a.labels)))
-        rows = min(rows, TILE_ROWS)
-        tiles_b = b.tiles(rows)
+        tiles = []
+        for two, labels_b, member_b in b.tiles(rows):
+            right = np.ones((dims + 2, len(member_b)))
+            np.subtract(b.x[two].T, middle[:, None], out=right[:dims])
+            ny = right[-1] = np.einsum("ij,ij->j", right[:dims], right[:dims])
+            right[:dims] *= -2
+            tiles.append((two, labels_b, member_b, right, ny, ny.max()))
         for one, labels_a, member_a in a.tiles(rows):
             left = a.x[one] - middle
             nx = np.einsum("ij,ij->i", left, left)
             left = np.column_stack([left, nx, np.ones(len(nx))])
-            for two, labels_b, member_b in tiles_b:
+            most = nx.max()
+            for two, labels_b, member_b, right, ny, most_b in tiles:
                 if a is b and two.start < one.start:
                     continue
-                gaps = left @ right[:, two]
-                if not gaps.min() > NEAR * (nx.max() + ny[two].max()):
-                    _measure_again(gaps, a.x[one], b.x[two], nx, ny[two])
+                gaps = held[: len(nx) * len(ny)].reshape(len(nx), len(ny))
+                np.matmul(left, right, out=gaps)
+                if not gaps.min() > NEAR * (most + most_b):
+                    _measure_again(gaps, a.x[one], b.x[two], nx, ny)
                 np.sqrt(gaps, out=gaps)
                 a.sums[one, labels_b] += _by_label(gaps, member_b)
                 if a is not b or two.start > one.start:
@@ -152,8 +189,8 @@ def _rows(side: Side, other: Side) -> Iterator[pa.RecordBatch]:
 
 
 def pair_sums(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """What :func:`add_distances` finds for each pair of slices, among rows of (pair, block, key,
-    label, single, x) with coordinates in one of the last two."""
+    """What :func:`add_distances` finds for each pair of slices, among rows of (pair, block) and
+    what :func:`packed` gives."""
     found: dict[int, dict[int, list[pa.RecordBatch]]] = {}
     for batch in batches:
         pair, block = (batch.column(c).to_numpy() for c in ("pair", "block"))

@@ -15,7 +15,7 @@ from tidemark.functions.names import quoted
 from tidemark.functions.numbers import squared_distance
 from tidemark.operators.lookup import lookup_join
 from tidemark.operators.neighbours import stored, worst_ratios
-from tidemark.operators.pairs import pair_sums
+from tidemark.operators.pairs import packed, pair_sums
 
 # Centres that may be shared with every task; at 4,096 dimensions they take 32 MB.
 CENTRE_ROWS = 1_000
@@ -222,15 +222,11 @@ def distance_sums(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         raise ValueError("keys of points must be unique")
     slices = slice_count(n, block_rows, dims or 1, cluster_count(points))
     types = dict(points.dtypes)
-    # Half the bytes where single precision has the same numbers.
-    single = F.col("x").cast("array<float>")
-    same = F.coalesce(single.cast("array<double>") == F.col("x"), F.lit(False))
-    sent = points.select(
-        "key", "label", F.when(same, single).alias("single"), F.when(~same, F.col("x")).alias("x")
-    )
+    kinds = f"key {types['key']}, label {types['label']}"
     # One pair a task.
     pair = (F.col("hi") * (F.col("hi") + 1) / 2 + F.col("lo")).cast("int").alias("pair")
-    copies = block_pairs(sent, "key", slices).select(pair, "block", "key", "label", "single", "x")
+    sent = points.select("key", "label", "x").mapInArrow(packed, f"{kinds}, wide boolean, x binary")
+    copies = block_pairs(sent, "key", slices).select(pair, "block", "key", "label", "wide", "x")
     dealt = copies.repartitionById(slices * (slices + 1) // 2, "pair")
 
     def measure(batches):
@@ -238,8 +234,7 @@ def distance_sums(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
     sums = dealt.mapInArrow(
         measure,
-        f"key {types['key']}, label {types['label']}, others array<{types['label']}>, "
-        "totals array<double>, ns array<bigint>",
+        f"{kinds}, others array<{types['label']}>, totals array<double>, ns array<bigint>",
     )
     # Lists are moved, not their entries: a key's sums come together before they are taken apart.
     together = sums.repartition("key").select(
