@@ -5,8 +5,11 @@ import time
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
+import __spark_entry__ as entry
+from tests.oracle import differences, duck
 from tidemark.operators import pairs, quality
 from tidemark.operators.pairs import Side, add_distances, packed, slices_of
 from tidemark.operators.quality import as_points, distance_sums
@@ -111,3 +114,18 @@ def test_batches_of_sums_are_bounded(monkeypatch):
     batches = list(pairs._rows(a, a))
     assert {b.num_rows for b in batches} == {4} and sum(b.num_rows for b in batches) == 40
     assert all(sum(n) == 39 for b in batches for n in b.column("ns").to_pylist())
+
+
+def test_query_matches_sql_where_vectors_hold_no_numbers(spark, tmp_path):
+    rng = np.random.default_rng(0)
+    x, label = rng.normal(size=(600, 64)).astype(np.float32), np.arange(600, dtype=np.int32) % 10
+    label[:4] = 10, 10, 11, 11
+    x[0, 3], x[2, 5] = np.nan, np.inf
+    x[100:140], x[200:220] = x[100], x[200] + 1e-6
+    vectors = pa.array(list(x), pa.list_(pa.float32()))
+    pq.write_table(
+        pa.table({"vec_id": np.arange(600), "embedding": vectors, "label": label}),
+        f"{tmp_path}/embeddings.parquet",
+    )
+    found = entry.queries()["silhouette_exact"](spark, str(tmp_path))
+    assert differences(found, duck(tmp_path), entry.oracle_sql()["silhouette_exact"]) == []
